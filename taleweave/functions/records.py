@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taleweave.functions import lexicon as X
-from taleweave.functions.text import col, traits_text
-
-HISTORY_TYPE = "array<struct<role:string,content:string>>"
-RECORD_SCHEMA = (
-    "npc_id string, name string, race string, primary_class string, subclass string, "
-    "background string, alignment string, emotional_state string, weapon string, "
-    "level int, hp int, ac int, str int, dex int, con int, `int` int, wis int, cha int, "
-    "story string, goal string, quirk string, secret string, "
-    "extra_traits map<string,string>, notes array<string>, source_prompt string, "
-    f"history {HISTORY_TYPE}"
+from taleweave.functions.text import col
+
+_TEXT, _WHOLE = T.StringType(), T.IntegerType()
+TURN = T.StructType([T.StructField("role", _TEXT), T.StructField("content", _TEXT)])
+RECORD_SCHEMA = T.StructType(
+    [T.StructField(n, _TEXT) for n in ("npc_id", "name", "race", "primary_class", "subclass", "background",
+                                       "alignment", "emotional_state", "weapon")]
+    + [T.StructField(n, _WHOLE) for n in X.NUMBER_FIELDS]
+    + [T.StructField(n, _TEXT) for n in ("story", "goal", "quirk", "secret")]
+    + [T.StructField("extra_traits", T.MapType(_TEXT, _TEXT)), T.StructField("notes", T.ArrayType(_TEXT)),
+       T.StructField("source_prompt", _TEXT), T.StructField("history", T.ArrayType(TURN))]
 )
+STORED_SCHEMA = T.StructType(RECORD_SCHEMA.fields + [T.StructField("seq", T.LongType())])
 # Display names of the number fields in records written as JSON.
 DISPLAY = {"hp": "HP", "ac": "AC", "str": "Str", "dex": "Dex", "con": "Con", "int": "Int", "wis": "Wis", "cha": "Cha"}
 
@@ -68,6 +71,3 @@ def locked_json(fields) -> Column:
         F.array(*[F.lit(DISPLAY.get(f, f)) for f in fields]), F.array(*[F.col(f).cast("string") for f in fields]))
     return F.to_json(F.map_filter(given, lambda k, v: v.isNotNull() & (v != "")))
 
-
-__all__ = ["record_id", "stat_block", "list_line", "draft_text", "sorted_json", "locked_json",
-           "traits_text", "RECORD_SCHEMA", "HISTORY_TYPE", "DISPLAY"]

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from taleweave.functions import lexicon as X
 from taleweave.functions.text import col, extract_answer, norm_label, preview, prompt_of, slug
@@ -28,7 +29,7 @@ def score(examples: DataFrame, scorer: Callable[[pd.Series], pd.Series], prompt:
                 made = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             yield batch.assign(**{out: made})
 
-    schema = examples.schema.add(out, "string")
+    schema = T.StructType([*examples.schema.fields, T.StructField(out, T.StringType())])
     return examples.mapInPandas(run, schema)
 
 

@@ -11,7 +11,7 @@ from taleweave.functions.records import RECORD_SCHEMA, record_id
 from taleweave.functions.text import blank_to_null, strip, to_int
 from taleweave.operators import ordering
 
-FIELDS = T._parse_datatype_string(RECORD_SCHEMA)
+FIELDS = RECORD_SCHEMA
 
 
 def conform(df: DataFrame, key="npc_id") -> DataFrame:

@@ -51,12 +51,11 @@ def _merge(column: Column, pairs: list[tuple[str, str]]) -> Column:
 
 
 def pair_counts(counted: DataFrame) -> DataFrame:
-    parts = F.regexp_extract_all("symbols", F.lit("<([0-9A-F]+)>"), F.lit(1))
-    pairs = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return (
-        counted.select("n", F.inline(F.filter(pairs, lambda p: p["b"].isNotNull())))
-        .groupBy("a", "b").agg(F.sum("n").alias("n"))
-    )
+    # the look-ahead leaves the right symbol in place to open the next pair
+    pairs = F.regexp_extract_all("symbols", F.lit("<(?=([0-9A-F]+><[0-9A-F]+)>)"), F.lit(1))
+    counted = counted.select("n", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n"))
+    return counted.select(F.split_part("pair", F.lit("><"), F.lit(1)).alias("a"),
+                          F.split_part("pair", F.lit("><"), F.lit(2)).alias("b"), "n")
 
 
 def safe_prefix(ranked: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
@@ -85,8 +84,10 @@ def learn_merges(docs: DataFrame, vocab_size: int = 2000, min_freq: int = 2, tex
     """(alphabet, merges in order). Learning is a loop by nature: every round
     counts pairs over the distinct-word table and brings back a bounded top
     list. The lineage is cut through the checkpoint folder."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    table = word_counts(docs, text).checkpoint()
+    spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
+    # every round is work per word, so the small table is spread over all cores
+    table = word_counts(docs, text).repartition(spark.sparkContext.defaultParallelism, "word").checkpoint()
     alphabet = sorted(r["s"] for r in table.select(
         F.explode(F.regexp_extract_all("symbols", F.lit("<([0-9A-F]+)>"), F.lit(1))).alias("s")).distinct().collect())
     merges: list[tuple[str, str, int]] = []

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taleweave.functions import lexicon as X
-from taleweave.functions.records import DISPLAY, RECORD_SCHEMA
+from taleweave.functions.records import DISPLAY, RECORD_SCHEMA, STORED_SCHEMA
 from taleweave.functions.text import extract_answer, strip
 from taleweave.operators import ordering
 from taleweave.operators import registry as registry_ops
@@ -17,7 +17,6 @@ from taleweave.operators import relational as R
 RUN_SCHEMA = (
     "run string, steps array<int>, train_loss array<double>, val_loss array<double>, elapsed_minutes double"
 )
-EMPTY_RECORD = "npc_id string, seq long"
 
 
 def read_characters(spark: SparkSession, path: str) -> DataFrame:
@@ -53,14 +52,14 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     file gives no rows. A later duplicate id replaces the values but keeps the
     first position.
     """
-    record = T._parse_datatype_string(RECORD_SCHEMA)
+    record = RECORD_SCHEMA
     shown = T.StructType([T.StructField(DISPLAY.get(f.name, f.name), f.dataType) for f in record.fields])
     schema = T.StructType(shown.fields + [T.StructField("npcs", T.ArrayType(shown)), T.StructField("_bad", T.StringType())])
     try:
         # one small JSON document per file, as the format requires
         raw = spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
     except AnalysisException:
-        return spark.createDataFrame([], RECORD_SCHEMA + ", seq long")
+        return spark.createDataFrame([], STORED_SCHEMA)
     raw = raw.where(F.col("_bad").isNull()).withColumn("_row", F.monotonically_increasing_id())
     own = F.struct(*[F.col(f.name) for f in shown.fields])
     listed = F.when(F.col("npcs").isNotNull(), F.col("npcs")).when(
@@ -89,7 +88,7 @@ def read_registry_table(spark: SparkSession, path: str, below: int | None = None
     """Newest version of a Parquet registry; no table gives no rows."""
     version = latest_version(spark, path, below)
     if version is None:
-        return spark.createDataFrame([], RECORD_SCHEMA + ", seq long")
+        return spark.createDataFrame([], STORED_SCHEMA)
     return spark.read.parquet(path).where(F.col("version") == version).drop("version")
 
 
