@@ -150,7 +150,7 @@ def slug(c) -> Column:
 def stringify_json(c) -> Column:
     """Text of one JSON value: arrays become comma-separated items."""
     items = F.from_json(col(c), "array<string>")
-    kept = F.filter(F.transform(items, strip), lambda i: i != "")
+    kept = F.filter(F.transform(items, lambda i: strip(i)), lambda i: i != "")
     return F.when(strip(c).startswith("["), F.array_join(kept, ", ")).otherwise(strip(c))
 
 
@@ -183,8 +183,9 @@ def first_json_object(c) -> Column:
         return F.when(s["stop"] > 0, F.struct(s["start"].alias("start"), s["stop"].alias("stop")))
 
     span = F.aggregate(F.split(text, ""), zero, step, finish)
-    found = text.substr(span["start"], span["stop"] - span["start"] + 1)
-    return F.when(F.contains(text, F.lit("{")), found)
+    # the span is bound to one lambda variable, so the scan runs once
+    found = F.transform(F.array(span), lambda s: text.substr(s["start"], s["stop"] - s["start"] + 1))
+    return F.when(F.contains(text, F.lit("{")), F.get(found, F.lit(0)))
 
 
 def parse_object(c) -> Column:

@@ -84,7 +84,8 @@ def encode(c, vocab: DataFrame, oov: str = "fail") -> Column:
     dense: list[int | None] = [None] * (high - low + 1)
     for point, token_id in zip(points, ids):
         dense[point - low] = token_id
-    table = F.array(*[F.lit(i).cast("int") for i in dense])
+    # one literal that the optimiser folds, instead of one node per code point
+    table = F.from_json(F.lit("[" + ",".join("null" if i is None else str(i) for i in dense) + "]"), "array<int>")
     if oov == "skip":
         known = F.transform(F.split(col(c), ""), lambda ch: F.get(table, F.ascii(ch) - F.lit(low)))
         return F.filter(known, lambda i: i.isNotNull())

@@ -65,7 +65,7 @@ def extract_fields(docs: DataFrame, terms: DataFrame, class_of_subclass: DataFra
     raw = docs.select(key, T.strip(text).alias("_text")).where("_text <> ''")
     said = _long(raw.select(key, *[c.alias(f) for f, c in regex_fields("_text").items()]), key,
                  list(regex_fields("_text")))
-    every = terms.unionByName(fixed_terms(docs.sparkSession))
+    every = R.settle(terms.unionByName(fixed_terms(docs.sparkSession)))
     known = matching.match_dictionary(raw, every, key, "_text")
     known = known.withColumn("value", F.when(F.col("field") == "weapon", T.title("value")).otherwise(F.col("value")))
     # dictionary values come before what was said after a label
@@ -78,7 +78,7 @@ def extract_fields(docs: DataFrame, terms: DataFrame, class_of_subclass: DataFra
     # a repeated key keeps its last value; a text has few pairs
     pairs = pairs.groupBy(key, "said_key").agg(F.max_by("value", "pos").alias("value"), F.min("pos").alias("pos"))
     pairs = pairs.withColumn("field", canonical_field("said_key"))
-    pairs = _normalise_pairs(pairs, every)
+    pairs = _normalise_pairs(pairs, every, key)
     is_field = F.col("field").isin(FIELDS)
     canonical = pairs.where(is_field).select(key, "field", "value", (F.lit(2) + F.col("pos")).alias("rank"))
     # a key whose field was read by another pattern is not repeated as a trait
@@ -86,23 +86,32 @@ def extract_fields(docs: DataFrame, terms: DataFrame, class_of_subclass: DataFra
         key, F.concat(F.lit(TRAIT), F.col("field")).alias("field"), "value", F.lit(0).alias("rank"))
     best = direct.unionByName(canonical).unionByName(trait).groupBy(key, "field").agg(
         F.min_by("value", "rank").alias("value"), F.min("rank").cast("double").alias("rank"))
-    # a subclass names its class right after it was found itself
-    inferred = best.where(F.col("field") == "subclass").withColumn("name", F.lower("value")) \
-        .join(class_of_subclass, "name").select(
-            key, F.lit("primary_class").alias("field"), F.col("owner").alias("value"),
-            (F.col("rank") + 0.5).alias("rank"))
-    return best.unionByName(inferred).groupBy(key, "field").agg(F.min_by("value", "rank").alias("value"))
+    return _with_class(best, class_of_subclass, key)
 
 
-def _normalise_pairs(pairs: DataFrame, terms: DataFrame) -> DataFrame:
+def _with_class(ranked: DataFrame, class_of_subclass: DataFrame, key: str) -> DataFrame:
+    """Add the class of a subclass right after the subclass in rank, so it
+    yields to a class found before. Rows of a text are few, so they are held
+    as one array and read once."""
+    def of(field, column):
+        return F.max(F.when(F.col("field") == field, F.col(column)))
+
+    rows = ranked.groupBy(key).agg(
+        F.collect_list(F.struct("field", "value")).alias("_rows"),
+        F.lower(of("subclass", "value")).alias("name"),
+        of("subclass", "rank").alias("_sub"), of("primary_class", "rank").alias("_cls"))
+    named = rows.join(class_of_subclass, "name", "left")
+    wins = F.col("owner").isNotNull() & (F.col("_cls").isNull() | (F.col("_sub") + 0.5 < F.col("_cls")))
+    given = F.struct(F.lit("primary_class").alias("field"), F.col("owner").alias("value"))
+    others = F.filter("_rows", lambda r: r["field"] != "primary_class")
+    final = F.when(wins, F.concat(others, F.array(given))).otherwise(F.col("_rows"))
+    return named.select(key, F.inline(final))
+
+
+def _normalise_pairs(pairs: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     """Dictionary fields of labelled pairs take the known spelling."""
-    asked = pairs.where(F.col("field").isin(DICTIONARY_FIELDS + ["alignment", "emotional_state"]))
-    values = asked.select(F.concat_ws("\u0001", "field", "value").alias("id"), "field", F.col("value").alias("text")).distinct()
-    known = matching.match_dictionary(values, terms, "id", "text")
-    known = known.join(values.select("id", F.col("field").alias("own"), F.col("text").alias("given")), "id") \
-        .where(F.col("field") == F.col("own")).select("field", F.col("given").alias("value"), F.col("value").alias("_known"))
-    joined = pairs.join(known, ["field", "value"], "left")
-    return joined.withColumn("value", F.coalesce(F.col("_known"), plain_value("field", "value"))).drop("_known")
+    spelled = matching.spell(pairs, terms, [key, "said_key"])
+    return spelled.withColumn("value", F.coalesce("known", plain_value("field", "value"))).drop("known")
 
 
 def plain_value(field, value) -> Column:

@@ -52,6 +52,7 @@ def norm_payload(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
 def norm_field(rows: DataFrame, terms: DataFrame, key: str = "doc_id", cutoff: float = X.VALUE_CUTOFF) -> DataFrame:
     """Clean values by field: whole numbers, names, dictionary spellings."""
     every = terms.unionByName(extract.fixed_terms(rows.sparkSession))
+    rows = rows.persist()  # read for the distinct values and again for the join
     asked = rows.where(F.col("field").isin(MATCHED)).select("field", F.col("value").alias("given"))
     known = matching.match_value(asked, every, cutoff).select("field", F.col("given").alias("value"), F.col("value").alias("_known"))
     field = F.col("field")

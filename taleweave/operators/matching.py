@@ -22,18 +22,31 @@ def words_of(c) -> Column:
 
 def windows(tokens: Column, widths) -> Column:
     """Distinct runs of neighbouring tokens of the given widths, space-joined."""
-    runs = [
-        F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))),
-                     lambda i, w=w: i + F.lit(w - 1) <= F.size(tokens)),
-            lambda i, w=w: F.array_join(F.slice(tokens, i, F.lit(w)), " "))
-        for w in widths
-    ]
-    return F.array_distinct(F.flatten(F.array(*runs)))
+    def of_width(w: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))),
+                          lambda i: i + F.lit(w - 1) <= F.size(tokens))
+        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(w)), " "))
+
+    return F.array_distinct(F.flatten(F.array(*[of_width(w) for w in widths])))
 
 
 # --- containment -------------------------------------------------------------
 
+def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Dictionary with the word run each term is looked up by, and run widths."""
+    keyed = R.settle(
+        terms.select("field", "term").distinct()
+        .withColumn("_words", words_of("term"))
+        .withColumn("_run", F.array_join("_words", " "))
+        .withColumn("_width", F.size("_words")).drop("_words"))
+    widths = keyed.where("_width > 0").agg(F.collect_set("_width").alias("w")).first()["w"]
+    return keyed.drop("_width"), sorted(widths) or [1]
+
+
+def _whole_words(text: str, term: str) -> Column:
+    return F.regexp_like(text, F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.lower(term), F.lit(r"\E(?!\w)")))
+
+
 def match_dictionary(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Longest dictionary term of each field found as whole words in each text.
 
@@ -43,22 +56,34 @@ def match_dictionary(docs: DataFrame, terms: DataFrame, key: str = "doc_id", tex
     punctuation (`Half-Elf` against `half elf`). Equal lengths go to the
     alphabetically first term. Returns (key, field, value).
     """
-    keyed = R.settle(
-        terms.select("field", "term").distinct()
-        .withColumn("_words", words_of("term"))
-        .withColumn("_run", F.array_join("_words", " "))
-        .withColumn("_width", F.size("_words")).drop("_words"))
-    widths = sorted(keyed.where("_width > 0").agg(F.collect_set("_width").alias("w")).first()["w"]) or [1]
+    keyed, widths = _keyed_terms(terms)
     lowered = docs.select(key, F.lower(F.col(text)).alias("_text"))
     runs = lowered.select(key, "_text", F.explode(windows(words_of("_text"), widths)).alias("_run"))
-    found = runs.join(keyed, "_run")
-    boundary = F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.lower("term"), F.lit(r"\E(?!\w)"))
-    sure = found.where(F.regexp_like("_text", boundary)).select(key, "field", "term")
+    sure = runs.join(keyed, "_run").where(_whole_words("_text", "term")).select(key, "field", "term")
     best = F.min(F.struct((-F.length("term")).alias("size"), F.col("term").alias("term")))
     return sure.groupBy(key, "field").agg(best.alias("_best")).select(
         key, "field", F.col("_best.term").alias("value"))
 
 
+def spell(rows: DataFrame, terms: DataFrame, by: list[str], field: str = "field", value: str = "value",
+          out: str = "known") -> DataFrame:
+    """Adds the longest dictionary term inside each row's own value, or null.
+
+    One pass over the rows: word runs are looked up by (field, run) in a left
+    join and folded back per row. `by` identifies a row.
+    """
+    keyed, widths = _keyed_terms(terms)
+    keyed = keyed.withColumnRenamed("field", field)
+    runs = rows.withColumn("_text", F.lower(value)) \
+        .withColumn("_run", F.explode_outer(windows(words_of("_text"), widths)))
+    joined = runs.join(keyed, [field, "_run"], "left")
+    hit = F.when(_whole_words("_text", "term"),
+                 F.struct((-F.length("term")).alias("size"), F.col("term").alias("term")))
+    others = [c for c in rows.columns if c not in by]
+    folded = joined.groupBy(*by).agg(*[F.first(c).alias(c) for c in others], F.min(hit).alias("_best"))
+    return folded.select(*rows.columns, F.col("_best.term").alias(out))
+
+
 # --- similarity --------------------------------------------------------------
 
 @F.pandas_udf(T.DoubleType())
@@ -177,20 +202,24 @@ def match_value(values: DataFrame, terms: DataFrame, cutoff: float) -> DataFrame
     on what the last one left: equal phrases, containment either way (longest
     term first), similarity at or above the cut-off.
     """
-    asked = values.select("field", "given").distinct().withColumn("_v", norm_phrase("given")).where("_v <> ''")
+    # distinct short values: each step is kept, so later steps do not redo it
+    asked = R.settle(values.select("field", "given").distinct().withColumn("_v", norm_phrase("given")).where("_v <> ''"))
     known = R.settle(terms.select("field", "term").distinct().withColumn("_o", norm_phrase("term")))
     # the last of equal phrases wins, as when a mapping is filled in order
-    equal = asked.join(known, (asked["field"] == known["field"]) & (asked["_v"] == known["_o"])) \
-        .groupBy(asked["field"], "given").agg(F.max("term").alias("value"))
+    equal = R.settle(
+        asked.join(known.withColumnRenamed("_o", "_v"), ["field", "_v"])
+        .groupBy("field", "given").agg(F.max("term").alias("value")))
     rest = asked.join(equal, ["field", "given"], "left_anti")
-    inside = _contained(rest, known)
-    rest = rest.join(inside, ["field", "given"], "left_anti")
+    inside = R.settle(_contained(rest, known))
+    rest = R.settle(rest.join(inside, ["field", "given"], "left_anti"))
+    found = equal.unionByName(inside)
+    if rest.isEmpty():
+        return found
     options = known.where("_o <> ''").select(F.col("_o").alias("option"), F.lit(cutoff - 1e-9).alias("cutoff")).distinct()
     scored = score_phrases(rest.select(F.col("_v").alias("phrase")).distinct(), options)
-    near = rest.join(scored, rest["_v"] == scored["phrase"]) \
-        .join(known.withColumnsRenamed({"field": "_f", "_o": "option"}), "option") \
-        .where(F.col("field") == F.col("_f"))
-    return equal.unionByName(inside).unionByName(_best_term(near, ["field", "given"]))
+    near = rest.withColumnRenamed("_v", "phrase").join(scored, "phrase") \
+        .join(known.withColumnRenamed("_o", "option"), ["field", "option"])
+    return found.unionByName(_best_term(near, ["field", "given"]))
 
 
 def _contained(values: DataFrame, known: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def apply_edits(records: DataFrame, edits: DataFrame, key: str = "npc_id", order
     joined = records.join(wide, key, "left")
     changes = {f: F.coalesce(F.col("_e_" + f), F.col(f)) for f in texts}
     changes.update({f: F.coalesce(to_int("_e_" + f), F.col(f)) for f in numbers})
-    items = F.filter(F.transform(F.split("_e_notes", ","), strip), lambda i: i != "")
+    items = F.filter(F.transform(F.split("_e_notes", ","), lambda i: strip(i)), lambda i: i != "")
     changes["notes"] = F.coalesce(items, F.col("notes"))
     present = {f: c for f, c in changes.items() if f in records.columns}
     edited = joined.withColumns(present).drop(*["_e_" + f for f in picks])

@@ -47,7 +47,7 @@ def first_of_list(c, separator: str = "|") -> Column:
 
 def list_items(c, separator: str = "|") -> Column:
     """Stripped, non-blank items of a delimited text."""
-    items = F.transform(F.split(col(c), r"\Q" + separator + r"\E"), strip)
+    items = F.transform(F.split(col(c), r"\Q" + separator + r"\E"), lambda i: strip(i))
     return F.filter(items, lambda i: i != "")
 
 

@@ -57,7 +57,7 @@ def parse_speeches(docs: DataFrame, key="doc_id", text: str = "text", min_chars:
         return F.when(line == "", F.lit(MARK)).when(
             is_header(line), F.concat(F.lit(MARK), norm_speaker(line))).otherwise(line)
 
-    marked = F.transform(F.transform(F.split(clean, "\n"), strip), rewrite)
+    marked = F.transform(F.transform(F.split(clean, "\n"), lambda i: strip(i)), rewrite)
     segments = F.transform(F.split(F.array_join(marked, "\n"), MARK), lambda segment, n: F.struct(
         n.alias("speech_no"), segment.alias("segment")))
     # what precedes the first mark has no speaker, nor has what follows a blank
