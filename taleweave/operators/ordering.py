@@ -83,7 +83,11 @@ def running_total(df: DataFrame, order, weight: Column, keys=(), out: str = "sta
     all its buckets. Keys and order columns must not be null.
     """
     order, keys = _names(order), _names(keys)
-    tagged = df.withColumn("_bucket", bucket_of(df, *bucket_edges(df, order, buckets)))
+    by, edges = bucket_edges(df, order, buckets)
+    if not edges:  # fewer rows than the sample: one small window
+        whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(weight).over(whole), F.lit(0)))
+    tagged = df.withColumn("_bucket", bucket_of(df, by, edges))
     before = W.orderBy("_bucket") if not keys else W.partitionBy(*keys).orderBy("_bucket")
     offsets = (
         tagged.groupBy(*keys, "_bucket")
@@ -115,7 +119,10 @@ def previous_value(df: DataFrame, order, value: str, keys=(), out: str = "previo
     bucket of its key, found on one row per (key, bucket).
     """
     order, keys = _names(order), _names(keys)
-    tagged = df.withColumn("_bucket", bucket_of(df, *bucket_edges(df, order, buckets)))
+    by, edges = bucket_edges(df, order, buckets)
+    if not edges:  # fewer rows than the sample: one small window
+        return df.withColumn(out, F.lag(value).over(W.partitionBy(*keys).orderBy(*order)))
+    tagged = df.withColumn("_bucket", bucket_of(df, by, edges))
     before = W.orderBy("_bucket") if not keys else W.partitionBy(*keys).orderBy("_bucket")
     tails = (
         tagged.groupBy(*keys, "_bucket")
@@ -141,7 +148,8 @@ def exact_median(df: DataFrame, value: str, keys=(), out: str = "median",
     buffer; ranking (key, value) counts keeps a hot key distributed.
     """
     keys = _names(keys)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    # pre-counted rows are read by the edge sample, the ranking and the totals
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")).persist()
     ranked = running_total(counted, value, F.col("_c"), keys, "_before", buckets)
     totals = counted.groupBy(*keys).agg(F.sum("_c").alias("_total"))
     joined = ranked.join(totals, keys) if keys else ranked.join(totals)

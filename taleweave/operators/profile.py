@@ -36,7 +36,7 @@ def value_dist(df: DataFrame, column: str, known=None) -> DataFrame:
     source = df.where(F.col(column).isNotNull())
     if known is not None:
         source = R.filter_known(source, column, known)
-    counted = source.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    counted = R.settle(source.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")))
     placed = ordering.running_total(counted, "value", F.col("n"), out="before")
     total = counted.agg(F.sum("n").alias("total"))
     return placed.join(total).select(  # one-row side

@@ -386,7 +386,7 @@ def dictionary_matches(spark, sf):
 
 @query("extract_fields", f"""
 WITH {SQL_PROMPTS}
-SELECT doc_id, first || ' ' || last AS name, race, cls AS primary_class, bg AS background, CAST(lv AS INTEGER) AS level, CAST(hp AS INTEGER) AS hp,
+SELECT doc_id, replace(first, 'Isolde', 'Olde') || ' ' || last AS name, race, cls AS primary_class, bg AS background, CAST(lv AS INTEGER) AS level, CAST(hp AS INTEGER) AS hp,
   CASE WHEN doc_id % 3 IN (0, 1) THEN 'Blade ' || upper(substr(race, 1, 1)) || lower(substr(race, 2)) END AS weapon,
   CASE WHEN doc_id % 2 = 0 THEN al END AS alignment,
   CASE WHEN doc_id % 2 = 0 AND doc_id % 7 = 0 THEN greatest_mood(mood, 'calm') WHEN doc_id % 2 = 0 THEN mood WHEN doc_id % 7 = 0 THEN 'calm' END AS emotional_state,
@@ -394,6 +394,7 @@ SELECT doc_id, first || ' ' || last AS name, race, cls AS primary_class, bg AS b
   'eye_color: ' || tint || '; hometown: ' || bg AS traits
 FROM prompts""".replace("greatest_mood(mood, 'calm')", "CASE WHEN length(mood) > 4 THEN mood ELSE 'calm' END"))
 def extract_fields(spark, sf):
+    # `named Isolde` reads as `named is olde`: the optional `is` needs no space
     clean = _clean(spark, sf)
     found = extract.extract_fields(_prompts(spark, sf), _terms(clean), profile.subclass_to_class(clean, "id"))
     wide = extract.pivot_fields(found)
