@@ -34,19 +34,25 @@ def _filled(value: Column) -> Column:
 def norm_payload(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
     """Members as rows (key, field, value): empty members dropped, keys
     renamed, unknown keys and nested traits turned into `trait:<key>`."""
-    rows = parsed.select(key, F.explode("payload").alias("raw_key", "raw")).where(_filled(F.col("raw")))
-    rows = rows.withColumn("field", extract.canonical_field(T.key_slug("raw_key"), X.PAYLOAD_ALIASES))
-    nested = (F.col("field") == "extra_traits") & F.col("raw").startswith("{")
-    inner = rows.where(nested).select(key, F.explode(T.parse_object("raw")).alias("k", "v")).select(
-        key, F.concat(F.lit(extract.TRAIT), T.key_slug("k")).alias("field"), T.stringify_json("v").alias("value"))
-    plain = rows.where(~nested)
-    canonical = F.col("field").isin(CANONICAL)
-    named = plain.select(
-        key, F.when(canonical, F.col("field")).otherwise(F.concat(F.lit(extract.TRAIT), F.col("field"))).alias("field"),
-        T.stringify_json("raw").alias("value"))
-    both = named.unionByName(inner).where(F.col("value").isNotNull() & (F.col("value") != "") & (F.col("field") != extract.TRAIT))
+    def attribute(field, value):
+        return F.struct(field.alias("field"), value.alias("value"))
+
+    def named(e):
+        return F.struct(extract.canonical_field(T.key_slug(e["key"]), X.PAYLOAD_ALIASES).alias("field"), e["value"].alias("raw"))
+
+    def members(m):
+        nested = (m["field"] == "extra_traits") & F.startswith(m["raw"], F.lit("{"))
+        inner = F.transform(F.map_entries(T.parse_object(m["raw"])), lambda t: attribute(
+            F.concat(F.lit(extract.TRAIT), T.key_slug(t["key"])), T.stringify_json(t["value"])))
+        label = F.when(m["field"].isin(CANONICAL), m["field"]).otherwise(F.concat(F.lit(extract.TRAIT), m["field"]))
+        return F.when(nested, inner).otherwise(F.array(attribute(label, T.stringify_json(m["raw"]))))
+
+    # one array expression per response, so the text is scanned and parsed once
+    filled = F.filter(F.map_entries("payload"), lambda e: _filled(e["value"]))
+    every = F.flatten(F.transform(F.transform(filled, named), members))
+    kept = F.filter(every, lambda a: a["value"].isNotNull() & (a["value"] != "") & (a["field"] != extract.TRAIT))
     # two spellings of one field: keep one, independent of row order
-    return both.groupBy(key, "field").agg(F.max("value").alias("value"))
+    return parsed.select(key, F.inline(kept)).groupBy(key, "field").agg(F.max("value").alias("value"))
 
 
 def norm_field(rows: DataFrame, terms: DataFrame, key: str = "doc_id", cutoff: float = X.VALUE_CUTOFF) -> DataFrame:
@@ -70,7 +76,7 @@ def land_responses(docs: DataFrame, terms: DataFrame, explicit: DataFrame | None
                    key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(attributes, rejects). Explicit attributes beat what the model wrote."""
     parsed = parse_responses(docs, key, text)
-    landed = norm_field(norm_payload(parsed.where(F.col("payload").isNotNull()), key), terms, key)
+    landed = norm_field(norm_payload(parsed, key), terms, key)
     if explicit is not None:
         landed = extract.merge_sources(explicit, landed, key=key).drop("source_rank")
     return landed, quarantine(parsed)

@@ -38,13 +38,16 @@ def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int]]:
         terms.select("field", "term").distinct()
         .withColumn("_words", words_of("term"))
         .withColumn("_run", F.array_join("_words", " "))
-        .withColumn("_width", F.size("_words")).drop("_words"))
+        .withColumn("_width", F.size("_words"))
+        # a term of one plain word needs no further check once its run is found
+        .withColumn("_plain", F.regexp_like(F.lower("term"), F.lit(r"(?U)^\w+$"))).drop("_words"))
     widths = keyed.where("_width > 0").agg(F.collect_set("_width").alias("w")).first()["w"]
     return keyed.drop("_width"), sorted(widths) or [1]
 
 
 def _whole_words(text: str, term: str) -> Column:
-    return F.regexp_like(text, F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.lower(term), F.lit(r"\E(?!\w)")))
+    found = F.regexp_like(text, F.concat(F.lit(r"(?U)(?<!\w)\Q"), F.lower(term), F.lit(r"\E(?!\w)")))
+    return F.when(F.col("_plain"), True).otherwise(found)
 
 
 def match_dictionary(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

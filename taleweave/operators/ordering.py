@@ -67,10 +67,15 @@ def _key(order: list[str]) -> Column:
 
 def bucket_of(df: DataFrame, order: list[str], edges: list[tuple]) -> Column:
     """Index of the range a row falls in: how many edges are <= its key."""
-    if not edges:
-        return F.lit(0)
-    points = F.array(*[_literal(df, order, e) for e in edges])
-    return F.size(F.filter(points, lambda edge: edge <= _key(order)))
+    key, points = _key(order), [_literal(df, order, e) for e in edges]
+
+    def search(low: int, high: int) -> Column:  # the answer lies in [low, high]
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key < points[middle], search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(edges))
 
 
 def running_total(df: DataFrame, order, weight: Column, keys=(), out: str = "start",

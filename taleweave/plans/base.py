@@ -25,12 +25,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The text table. A small file has fewer row groups than there are cores;
-    only then are its rows spread. A large table is read as it lies."""
-    docs = table(spark, folder, "documents")
+def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table that heavy per-row work reads. A small file has fewer row groups
+    than there are cores; only then are its rows spread. A large table is read
+    as it lies."""
+    df = table(spark, folder, name)
     cores = spark.sparkContext.defaultParallelism
-    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores, "doc_id")
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread_table(spark, folder, "documents", "doc_id")
 
 
 def sql_uniform(seed: int, purpose: str, *keys: str, first: int = 1) -> str:

@@ -18,7 +18,7 @@ from taleweave.operators import dialogue as D
 from taleweave.operators import extract, landing, matching, ordering, profile, render
 from taleweave.operators import registry as G
 from taleweave.operators import relational as R
-from taleweave.plans.base import query, sql_digest, sql_list, sql_normal, sql_pick, sql_uniform, table
+from taleweave.plans.base import query, sql_digest, sql_list, sql_normal, sql_pick, sql_uniform, spread_table, table
 from taleweave.session import working_dir
 from taleweave.sources import readers, writers
 
@@ -53,7 +53,8 @@ JOIN {nation} n ON c_nationkey = n_nationkey JOIN {region} r ON n_regionkey = r_
 
 def run_sql(spark, sf, sql: str, names=INPUTS, **frames) -> DataFrame:
     """The shared SELECT on Spark, with the tables handed over as frames."""
-    inputs = {n: table(spark, sf, n) for n in names}
+    keys = {"customer": "c_custkey", "orders": "o_orderkey"}
+    inputs = {n: spread_table(spark, sf, n, keys[n]) if n in keys else table(spark, sf, n) for n in names}
     return spark.sql(sql, **inputs, **frames)
 
 
@@ -230,7 +231,7 @@ PEOPLE = ["id", "name", "race", "primary_class", "subclass", "background", "alig
 
 def _people(spark, sf, **kwargs):
     learned = profile.Learned(_clean(spark, sf))
-    keys = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    keys = spread_table(spark, sf, "customer", "c_custkey").select(F.col("c_custkey").alias("id"))
     return profile.synthesise(keys, learned, SEED, **kwargs)
 
 
@@ -380,7 +381,7 @@ hits AS (SELECT doc_id, field, term FROM prompts JOIN terms
          ON regexp_matches(lower(text), '(^|\\W)' || regexp_escape(lower(term)) || '(\\W|$)'))
 SELECT doc_id, field, arg_min(term, (-length(term), term)) AS value FROM hits GROUP BY doc_id, field""")
 def dictionary_matches(spark, sf):
-    terms = _terms(_clean(spark, sf)).unionByName(extract.fixed_terms(spark))
+    terms = _terms(_clean(spark, sf).persist()).unionByName(extract.fixed_terms(spark))
     return matching.match_dictionary(_prompts(spark, sf), terms)
 
 
@@ -395,7 +396,7 @@ SELECT doc_id, replace(first, 'Isolde', 'Olde') || ' ' || last AS name, race, cl
 FROM prompts""".replace("greatest_mood(mood, 'calm')", "CASE WHEN length(mood) > 4 THEN mood ELSE 'calm' END"))
 def extract_fields(spark, sf):
     # `named Isolde` reads as `named is olde`: the optional `is` needs no space
-    clean = _clean(spark, sf)
+    clean = _clean(spark, sf).persist()
     found = extract.extract_fields(_prompts(spark, sf), _terms(clean), profile.subclass_to_class(clean, "id"))
     wide = extract.pivot_fields(found)
     return wide.select("doc_id", "name", "race", "primary_class", "background", "level", "hp", "weapon", "alignment",
@@ -410,7 +411,7 @@ SELECT doc_id, 'the ' || substr(lower(cls), 1, 2) || substr(lower(cls), 4) || '
 @query("fuzzy_repair")
 def fuzzy_repair(spark, sf):
     """Typed errors in class, alignment and mood, repaired by similarity."""
-    clean = _clean(spark, sf)
+    clean = _clean(spark, sf).persist()
     typed = run_sql(spark, sf, TYPOS, (), prompts=_prompts(spark, sf))
     nothing = spark.createDataFrame([], "doc_id long, field string, value string")
     return extract.infer_fuzzy(typed, _terms(clean), nothing, profile.subclass_to_class(clean, "id"),
@@ -445,7 +446,7 @@ UNION ALL SELECT doc_id, 'hp', hp FROM good UNION ALL SELECT doc_id, 'trait:lvl'
 UNION ALL SELECT doc_id, 'trait:eye_color', tint FROM good UNION ALL SELECT doc_id, 'trait:tags', 'a, b' FROM good
 UNION ALL SELECT doc_id, 'story', 'Born in {{' || bg || '}}.' FROM good""".replace("{{", "{").replace("}}", "}"))
 def land_responses(spark, sf):
-    landed, _ = landing.land_responses(_responses(spark, sf), _terms(_clean(spark, sf)))
+    landed, _ = landing.land_responses(_responses(spark, sf), _terms(_clean(spark, sf).persist()))
     return landed
 
 
@@ -467,7 +468,7 @@ model AS (SELECT doc_id, 'name' AS field, first AS value FROM good UNION ALL SEL
 SELECT doc_id, field, coalesce(a.value, m.value) AS value, CASE WHEN a.value IS NULL THEN 1 ELSE 0 END AS source_rank
 FROM asked a FULL JOIN model m USING (doc_id, field)""")
 def merged_sources(spark, sf):
-    landed, _ = landing.land_responses(_responses(spark, sf), _terms(_clean(spark, sf)))
+    landed, _ = landing.land_responses(_responses(spark, sf), _terms(_clean(spark, sf).persist()))
     said = extract._long(_prompts(spark, sf).select("doc_id", F.concat_ws(" ", "first", "last").alias("name"), "hp"), "doc_id", ["name", "hp"])
     return extract.merge_sources(said, landed.where(F.col("field").isin("name", "emotional_state")))
 
@@ -591,7 +592,7 @@ FROM registry r LEFT JOIN f ON f.npc_id = r.npc_id LEFT JOIN n ON n.npc_id = r.n
 def apply_updates(spark, sf):
     log = run_sql(spark, sf, UPDATES, ("orders",))
     # extraction runs per log line, keyed by its sequence number
-    clean = _clean(spark, sf)
+    clean = _clean(spark, sf).persist()
     found = extract.extract_fields(log.select(F.col("seq").alias("doc_id"), "text"), _terms(clean), profile.subclass_to_class(clean, "id"))
     attributes = found.withColumnRenamed("doc_id", "seq").join(log.select("npc_id", "seq"), "seq")
     updated = extract.apply_updates(G.conform(_registry(spark, sf)), log, attributes)
