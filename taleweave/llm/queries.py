@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from taleweave.llm import bpe, tokencount
 from taleweave.llm.common import settled, whole_text
 from taleweave.llm.fingerprints import fingerprint_edits
 from taleweave.llm.mixing import count_tokens, mix_sources
@@ -31,6 +32,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """A vocabulary file of the public tokenizers, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op1_source_mix")
 def op1(spark, folder):
     docs = table(spark, folder, "documents")
@@ -49,11 +57,30 @@ def op3(spark, folder):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op6_token_counts")
+def op6(spark, folder):
+    return tokencount.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query("op7_imatch")
 def op7(spark, folder):
     return fingerprint_edits(table(spark, folder, "documents"))
 
 
+def digests(encoded: DataFrame) -> DataFrame:
+    """Counts and digests of ids and of the text they decode to."""
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op9_bpe")
+def op9(spark, folder):
+    path = vocabulary("word_bpe_49k.json")
+    return digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path))
+
+
 _TOP_K_SQL = """
 WITH v AS (
     SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
