@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taleweave.llm import bpe, tokencount
+from taleweave.llm import bpe, kneser_ney, tokencount
 from taleweave.llm.common import settled, whole_text
 from taleweave.llm.fingerprints import fingerprint_edits
 from taleweave.llm.mixing import count_tokens, mix_sources
@@ -46,6 +46,11 @@ def op1(spark, folder):
     return mix_sources(narrow)
 
 
+@query("op2_kneser_ney")
+def op2(spark, folder):
+    return kneser_ney.perplexity_scores(table(spark, folder, "documents"))
+
+
 @query("op3_shards")
 def op3(spark, folder):
     docs = table(spark, folder, "documents")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def _pack(rows: int, key: str):
                 ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 order = np.argsort(ids, kind="stable")
                 lists = part.column(1).take(pa.array(order))
-                sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 row = np.repeat(np.arange(len(ids)), sizes)
                 term = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
