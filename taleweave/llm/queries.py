@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taleweave.llm import bpe, kneser_ney, tokencount
+from taleweave.llm import bpe, kneser_ney, quality, tokencount, toxicity
 from taleweave.llm.common import settled, whole_text
 from taleweave.llm.fingerprints import fingerprint_edits
 from taleweave.llm.mixing import count_tokens, mix_sources
@@ -62,6 +62,21 @@ def op3(spark, folder):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op4_toxicity")
+def op4(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), labels)
+    return scored.select("doc_id", "p_toxic", "p_toxic_prose", "p_toxic_junk", toxicity.is_toxic().alias("toxic"))
+
+
+@query("op5_quality_rules")
+def op5(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    out = kneser_ney.held_out(parts=5)
+    scored = quality.score_quality(docs.select("doc_id", "text"), labels, train=~out)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 @query("op6_token_counts")
 def op6(spark, folder):
     return tokencount.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
