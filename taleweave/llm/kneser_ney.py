@@ -49,16 +49,17 @@ def unmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(30)) ^ (x >> _U(60))
 
 
-def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of some texts, A-Z in lower case, and the number of
-    words of each text."""
+def hash_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of some texts, A-Z in lower case if asked for, and
+    the number of words of each text."""
     raw = texts.cast(pa.large_binary())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
     data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
     if not len(data):
         return np.zeros(0, _U), np.zeros(len(texts), np.int64)
-    data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+    if lower:
+        data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
     solid = (data != 32) & ((data < 9) | (data > 13))
     first = np.zeros(len(data), bool)
     first[offsets[:-1][offsets[:-1] < len(data)]] = True

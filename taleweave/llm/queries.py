@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taleweave.llm import bpe, kneser_ney, quality, tokencount, toxicity
+from taleweave.llm import bpe, kneser_ney, neardup, quality, tokencount, toxicity
 from taleweave.llm.common import settled, whole_text
 from taleweave.llm.fingerprints import fingerprint_edits
 from taleweave.llm.mixing import count_tokens, mix_sources
@@ -87,6 +87,11 @@ def op7(spark, folder):
     return fingerprint_edits(table(spark, folder, "documents"))
 
 
+@query("op8_near_duplicates")
+def op8(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "stays")
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """Counts and digests of ids and of the text they decode to."""
     return encoded.select(

@@ -18,16 +18,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from taleweave.llm.common import whole_text
 
 #: Labelled rows that the chain is fitted on at most, features of a category,
 #: documents that must hold a feature, folds, and the penalty on weights.
 SAMPLE_ROWS, FEATURES, LEAST_DOCS, FOLDS, PENALTY = 20_000, 400, 5, 4, 0.05
+CATEGORIES = ["toxic", "toxic_prose", "toxic_junk"]
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -161,7 +162,7 @@ def _mark(features: dict[str, int], texts) -> np.ndarray:
     hits = np.zeros((len(texts), len(features)), np.float32)
     of_word: dict[str, list[int]] = {}
     for i, text in enumerate(texts):
-        for word in set(_WORD.findall(text.as_py().lower())):
+        for word in set(_WORD.findall(text.lower())):
             found = of_word.get(word)
             if found is None:
                 names = [word, *[f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n]]
@@ -188,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], key: str = "d
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = _mark(features, batch.column("text"))
+            hits = _mark(features, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([np.flatnonzero(h).tolist() for h in hits], pa.list_(pa.int32())),
                  *[batch.column(c) for c in categories]], names=["key", "hits", *categories])
@@ -207,24 +208,24 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], key: str = "d
     return fit_chain(hits, marks, folds, categories, features)
 
 
+def chances(chain: Chain, text: Column) -> Column:
+    """Array of the categories' probabilities; only the text goes to Python."""
+    @F.pandas_udf("array<double>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            step = 2000  # rows of the feature matrix at a time
+            found = [chain.probabilities(_mark(chain.features, texts[i:i + step])) for i in range(0, len(texts), step)]
+            yield pd.Series([p for part in found for p in part.tolist()])
+
+    return run(F.coalesce(text, F.lit("")))
+
+
 def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     """The given columns, with `p_<category>` for every category. A null text
     is empty. Given columns of these names are replaced."""
     names = [f"p_{c}" for c in chain.categories]
-    kept = docs.drop(*names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(text).fill_null("")
-            step = 2000  # rows of the feature matrix at a time
-            found = [chain.probabilities(_mark(chain.features, texts.slice(i, step))) for i in range(0, len(texts), step)]
-            found = np.concatenate(found) if found else np.zeros((0, len(names)))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(np.ascontiguousarray(found[:, k])) for k in range(len(names))]],
-                names=[*batch.schema.names, *names])
-
-    schema = T.StructType([*kept.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
-    return kept.mapInArrow(run, schema)
+    scored = docs.drop(*names, "_chances").withColumn("_chances", chances(chain, F.col(text)))
+    return scored.withColumns({n: F.col("_chances")[k] for k, n in enumerate(names)}).drop("_chances")
 
 
 def is_toxic(threshold: float = 0.35) -> Column:
@@ -235,5 +236,4 @@ def is_toxic(threshold: float = 0.35) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fit on the labels (key, toxic, quality) and score all rows. Every given
     row comes back once, repeated rows too."""
-    categories = ["toxic", "toxic_prose", "toxic_junk"]
-    return score(docs, fit(docs, label_categories(labels, key), categories, key, text), text)
+    return score(docs, fit(docs, label_categories(labels, key), CATEGORIES, key, text), text)
