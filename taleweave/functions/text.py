@@ -148,10 +148,12 @@ def slug(c) -> Column:
 
 
 def stringify_json(c) -> Column:
-    """Text of one JSON value: arrays become comma-separated items."""
+    """Text of one JSON value: arrays become comma-separated items. A text that
+    only starts like an array is plain text."""
     items = F.from_json(col(c), "array<string>")
     kept = F.filter(F.transform(items, lambda i: strip(i)), lambda i: i != "")
-    return F.when(strip(c).startswith("["), F.array_join(kept, ", ")).otherwise(strip(c))
+    is_array = strip(c).startswith("[") & items.isNotNull()
+    return F.when(is_array, F.array_join(kept, ", ")).otherwise(strip(c))
 
 
 def first_json_object(c) -> Column:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from taleweave.functions.draws import uniform
 from taleweave.functions.text import col
 from taleweave.operators import ordering
 
 MAX_TOKEN_ID = 65_535
+CODE_POINTS = 0x110000
 
 
 def normalise_line_ends(c) -> Column:
@@ -65,10 +68,11 @@ def corpus_stats(docs: DataFrame, text: str = "text") -> DataFrame:
 # --- encoding ----------------------------------------------------------------
 
 def _lookup_arrays(vocab: DataFrame) -> tuple[list[str], list[int]]:
-    """Vocabulary on the driver. Its size is checked: ids must fit 16 bits."""
-    rows = vocab.select("token", "id").orderBy("id").limit(MAX_TOKEN_ID + 2).collect()
-    if len(rows) > MAX_TOKEN_ID + 1 or any(r["id"] > MAX_TOKEN_ID for r in rows):
-        raise ValueError(f"token ids must not pass {MAX_TOKEN_ID}")
+    """Vocabulary on the driver: characters, so at most one for each code point.
+    Whether ids fit the 16 bits of a stored dataset is checked on writing."""
+    rows = vocab.select("token", "id").orderBy("id").limit(CODE_POINTS + 1).collect()
+    if len(rows) > CODE_POINTS:
+        raise ValueError("more tokens than characters")
     return [r["token"] for r in rows], [r["id"] for r in rows]
 
 
@@ -98,7 +102,8 @@ def decode(c, vocab: DataFrame) -> Column:
     """Text of an array of ids."""
     tokens, ids = _lookup_arrays(vocab)
     by_id = {i: t for i, t in zip(ids, tokens)}
-    names = F.array(*[F.lit(by_id.get(i, "")) for i in range(max(ids, default=-1) + 1)])
+    # one literal that the optimiser folds, instead of one node per token
+    names = F.from_json(F.lit(json.dumps([by_id.get(i, "") for i in range(max(ids, default=-1) + 1)])), "array<string>")
     return F.array_join(F.transform(col(c), lambda i: F.get(names, i)), "")
 
 
@@ -157,29 +162,67 @@ def encode_split(docs: DataFrame, vocab: DataFrame, order="doc_id", fraction: fl
 
 # --- blocks ------------------------------------------------------------------
 
-def make_blocks(tokens: DataFrame, block: int, stride: int | None = None, ids: str = "ids") -> DataFrame:
-    """Fixed-length (x, y) windows, y one token ahead; starts every `stride`."""
-    last = F.size(ids) - F.lit(block + 1)  # start must leave room for y
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride or block)))
-    opened = tokens.withColumn("block_start", F.explode(starts))
-    at = F.col("block_start") + 1
-    return opened.select(
-        *[c for c in tokens.columns if c != ids], "block_start",
-        F.slice(ids, at, F.lit(block)).alias("x"), F.slice(ids, at + 1, F.lit(block)).alias("y"))
-
-
-def draw_blocks(tokens: DataFrame, key: str, block: int, per_row: int, seed: int, ids: str = "ids") -> DataFrame:
-    """`per_row` windows per row at seeded random starts."""
-    from taleweave.functions.draws import uniform
-
-    room = F.size(ids) - F.lit(block)
-    opened = tokens.where(room > 0).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(per_row - 1))))
-    start = F.floor(uniform(seed, "block", key, "draw") * room).cast("int")
-    opened = opened.withColumn("block_start", start)
-    at = F.col("block_start") + 1
-    return opened.select(
-        *[c for c in tokens.columns if c != ids], "draw", "block_start",
-        F.slice(ids, at, F.lit(block)).alias("x"), F.slice(ids, at + 1, F.lit(block)).alias("y"))
+def place_tokens(tokens: DataFrame, order, keys=(), ids: str = "ids") -> DataFrame:
+    """Adds `at`, the offset of a row's first token in its corpus (per key)."""
+    return ordering.running_total(tokens, order, F.size(ids).cast("long"), keys, "at")
+
+
+def make_blocks(tokens: DataFrame, block: int, order, keys=(), ids: str = "ids", stride: int | None = None) -> DataFrame:
+    """Windows (x, y) of `block` tokens, y one token ahead, over the whole
+    corpus (per key): (keys, block, x, y). One starts every `stride` tokens,
+    `block` by default. They cross documents, so only a tail shorter than
+    `block + 1` tokens is left over for each key.
+
+    A block inside one row is cut there; only the parts of blocks that cross
+    rows are brought together, at most `block + 1` tokens for each.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    placed = place_tokens(tokens, order, keys, ids)
+    size, at, width = F.size(ids).cast("long"), F.col("at"), F.lit(block).cast("long")
+    step = F.lit(stride or block).cast("long")
+    # blocks b of which this row holds tokens: b * step <= position <= b * step + width
+    first = F.greatest(F.lit(0).cast("long"), F.floor((at - width + step - 1) / step))
+    last = F.floor((at + size - 1) / step)
+    begin = F.greatest(at, F.col("block") * step)
+    end = F.least(at + size, F.col("block") * step + width + 1)
+    held = placed.where(size > 0).withColumn("block", F.explode(F.when(first <= last, F.sequence(first, last))))
+    held = held.where(end > begin).select(
+        *keys, "block", begin.alias("from"),
+        F.slice(ids, (begin - at + 1).cast("int"), (end - begin).cast("int")).alias("part"))
+    whole = held.where(F.size("part") == block + 1).select(*keys, "block", F.col("part").alias("t"))
+    crossing = held.where(F.size("part") <= block).groupBy(*keys, "block").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("from", "part"))), lambda p: p["part"])).alias("t"))
+    full = whole.unionByName(crossing.where(F.size("t") == block + 1))
+    return full.select(*keys, "block", F.slice("t", 1, block).alias("x"), F.slice("t", 2, block).alias("y"))
+
+
+def draw_blocks(tokens: DataFrame, block: int, draws: int, seed: int, order, key: str, ids: str = "ids") -> DataFrame:
+    """Windows at seeded random positions of the corpus of each key, every
+    position alike: (key, draw, start, x, y). A key with fewer than
+    `block + 1` tokens has none.
+
+    Rows are cut into cells of `block + 1` tokens, and a window meets the two
+    cells it lies in by an equi-join.
+    """
+    placed = place_tokens(tokens, order, [key], ids)
+    width = F.lit(block + 1).cast("long")
+    room = tokens.groupBy(key).agg(F.sum(F.size(ids)).alias("n")).where(F.col("n") > block)
+    drawn = room.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    drawn = drawn.withColumn("start", F.floor(uniform(seed, "block", key, "draw") * (F.col("n") - block)))
+    drawn = drawn.select(key, "draw", "start", F.explode(F.array_distinct(F.array(
+        F.floor(F.col("start") / width), F.floor((F.col("start") + block) / width)))).alias("cell"))
+    size, at = F.size(ids).cast("long"), F.col("at")
+    cells = placed.where(size > 0).withColumn("cell", F.explode(F.sequence(
+        F.floor(at / width), F.floor((at + size - 1) / width))))
+    begin, end = F.greatest(at, F.col("cell") * width), F.least(at + size, F.col("cell") * width + width)
+    cells = cells.select(key, "cell", begin.alias("from"),
+                         F.slice(ids, (begin - at + 1).cast("int"), (end - begin).cast("int")).alias("part"))
+    parts = F.array_sort(F.collect_list(F.struct("from", "part")))
+    met = drawn.join(cells, [key, "cell"]).groupBy(key, "draw", "start").agg(parts.alias("p"))
+    joined = F.flatten(F.transform("p", lambda p: p["part"]))
+    skip = (F.col("start") - F.get("p", F.lit(0))["from"]).cast("int")
+    return met.select(key, "draw", "start", F.slice(joined, skip + 1, F.lit(block)).alias("x"),
+                      F.slice(joined, skip + 2, F.lit(block)).alias("y"))
 
 
 # --- merging -----------------------------------------------------------------

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from taleweave.functions import lexicon as X
 from taleweave.functions.text import col, extract_answer, norm_label, preview, prompt_of, slug
@@ -16,21 +15,30 @@ from taleweave.operators import relational as R
 
 
 def score(examples: DataFrame, scorer: Callable[[pd.Series], pd.Series], prompt: str = "prompt",
-          out: str = "generated") -> DataFrame:
+          out: str = "generated", error: str | None = None) -> DataFrame:
     """Run a text scorer over Arrow batches: prompts in, generated text out.
 
-    A batch that fails yields null texts instead of failing the job.
+    Only the prompts go to Python. When a batch fails its prompts are tried one
+    by one, so a prompt that fails gives a null text and leaves the others
+    alone, whatever the batches; `error` names a column for what it raised.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def one(text) -> tuple:
+        try:
+            return scorer(pd.Series([text], dtype=object)).iloc[0], None
+        except Exception as e:
+            return None, f"{type(e).__name__}: {e}"
+
+    @F.pandas_udf("text string, error string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for prompts in batches:
             try:
-                made = scorer(batch[prompt])
+                made, failed = scorer(prompts), None
             except Exception:
-                made = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            yield batch.assign(**{out: made})
+                made, failed = zip(*[one(p) for p in prompts])
+            yield pd.DataFrame({"text": list(made), "error": failed}, index=prompts.index)
 
-    schema = T.StructType([*examples.schema.fields, T.StructField(out, T.StringType())])
-    return examples.mapInPandas(run, schema)
+    scored = examples.withColumn("_scored", run(prompt)).withColumn(out, F.col("_scored.text"))
+    return (scored.withColumn(error, F.col("_scored.error")) if error else scored).drop("_scored")
 
 
 def keyword_scorer(rules: list[tuple[str, str]], default: str) -> Callable[[pd.Series], pd.Series]:

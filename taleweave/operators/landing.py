@@ -32,8 +32,9 @@ def _filled(value: Column) -> Column:
 
 
 def norm_payload(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Members as rows (key, field, value): empty members dropped, keys
-    renamed, unknown keys and nested traits turned into `trait:<key>`."""
+    """Members as rows (key, field, value, pos): empty members dropped, keys
+    renamed, unknown keys and nested traits turned into `trait:<key>`. A
+    nested object that cannot be parsed stays a trait as its text."""
     def attribute(field, value):
         return F.struct(field.alias("field"), value.alias("value"))
 
@@ -45,20 +46,20 @@ def norm_payload(parsed: DataFrame, key: str = "doc_id") -> DataFrame:
         inner = F.transform(F.map_entries(T.parse_object(m["raw"])), lambda t: attribute(
             F.concat(F.lit(extract.TRAIT), T.key_slug(t["key"])), T.stringify_json(t["value"])))
         label = F.when(m["field"].isin(CANONICAL), m["field"]).otherwise(F.concat(F.lit(extract.TRAIT), m["field"]))
-        return F.when(nested, inner).otherwise(F.array(attribute(label, T.stringify_json(m["raw"]))))
+        whole = F.array(attribute(label, T.stringify_json(m["raw"])))
+        return F.coalesce(F.when(nested, inner), whole)
 
     # one array expression per response, so the text is scanned and parsed once
     filled = F.filter(F.map_entries("payload"), lambda e: _filled(e["value"]))
     every = F.flatten(F.transform(F.transform(filled, named), members))
-    kept = F.filter(every, lambda a: a["value"].isNotNull() & (a["value"] != "") & (a["field"] != extract.TRAIT))
-    # two spellings of one field: keep one, independent of row order
-    return parsed.select(key, F.inline(kept)).groupBy(key, "field").agg(F.max("value").alias("value"))
+    rows = parsed.select(key, F.posexplode(every).alias("pos", "a")).select(key, "a.field", "a.value", "pos")
+    return rows.where(F.col("value").isNotNull() & (F.col("value") != "") & (F.col("field") != extract.TRAIT))
 
 
 def norm_field(rows: DataFrame, terms: DataFrame, key: str = "doc_id", cutoff: float = X.VALUE_CUTOFF) -> DataFrame:
-    """Clean values by field: whole numbers, names, dictionary spellings."""
+    """Clean values by field: whole numbers, names, dictionary spellings. Of
+    two spellings of one field the later member that stays after cleaning wins."""
     every = terms.unionByName(extract.fixed_terms(rows.sparkSession))
-    rows = rows.persist()  # read for the distinct values and again for the join
     asked = rows.where(F.col("field").isin(MATCHED)).select("field", F.col("value").alias("given"))
     known = matching.match_value(asked, every, cutoff).select("field", F.col("given").alias("value"), F.col("value").alias("_known"))
     field = F.col("field")
@@ -68,8 +69,9 @@ def norm_field(rows: DataFrame, terms: DataFrame, key: str = "doc_id", cutoff: f
         .when(field.isin(MATCHED), F.coalesce("_known", extract.plain_value("field", "value")))
         .otherwise(F.col("value"))
     )
-    joined = rows.join(known, ["field", "value"], "left").select(key, "field", cleaned.alias("value"))
-    return joined.where(F.col("value").isNotNull() & (F.col("value") != ""))
+    joined = rows.join(known, ["field", "value"], "left").select(key, "field", cleaned.alias("value"), "pos")
+    kept = joined.where(F.col("value").isNotNull() & (F.col("value") != ""))
+    return kept.groupBy(key, "field").agg(F.max_by("value", "pos").alias("value"))
 
 
 def land_responses(docs: DataFrame, terms: DataFrame, explicit: DataFrame | None = None,

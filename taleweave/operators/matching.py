@@ -20,14 +20,19 @@ def words_of(c) -> Column:
     return F.regexp_extract_all(F.lower(col(c)), F.lit(TOKEN), F.lit(1))
 
 
+def _once(value: Column, use) -> Column:
+    """Apply `use` to a value that is computed once: a lambda variable holds it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def windows(tokens: Column, widths) -> Column:
     """Distinct runs of neighbouring tokens of the given widths, space-joined."""
-    def of_width(w: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))),
-                          lambda i: i + F.lit(w - 1) <= F.size(tokens))
-        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(w)), " "))
+    def of_width(t: Column, w: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1))),
+                          lambda i: i + F.lit(w - 1) <= F.size(t))
+        return F.transform(starts, lambda i: F.array_join(F.slice(t, i, F.lit(w)), " "))
 
-    return F.array_distinct(F.flatten(F.array(*[of_width(w) for w in widths])))
+    return _once(tokens, lambda t: F.array_distinct(F.flatten(F.array(*[of_width(t, w) for w in widths]))))
 
 
 # --- containment -------------------------------------------------------------
@@ -56,13 +61,16 @@ def match_dictionary(docs: DataFrame, terms: DataFrame, key: str = "doc_id", tex
     `terms` has (field, term). Texts are cut into word runs as long as the
     longest term and joined to the dictionary on the run, which costs text
     length and not text x dictionary; the pattern check then settles
-    punctuation (`Half-Elf` against `half elf`). Equal lengths go to the
-    alphabetically first term. Returns (key, field, value).
+    punctuation (`Half-Elf` against `half elf`), and only the hits that need
+    it meet their text again. Equal lengths go to the alphabetically first
+    term. `key` names a text. Returns (key, field, value).
     """
     keyed, widths = _keyed_terms(terms)
     lowered = docs.select(key, F.lower(F.col(text)).alias("_text"))
-    runs = lowered.select(key, "_text", F.explode(windows(words_of("_text"), widths)).alias("_run"))
-    sure = runs.join(keyed, "_run").where(_whole_words("_text", "term")).select(key, "field", "term")
+    hits = lowered.select(key, F.explode(windows(words_of("_text"), widths)).alias("_run")).join(keyed, "_run")
+    unsure = hits.where(~F.col("_plain")).select(key, "field", "term", "_plain")
+    checked = unsure.join(lowered, key).where(_whole_words("_text", "term"))
+    sure = hits.where("_plain").select(key, "field", "term").unionByName(checked.select(key, "field", "term"))
     best = F.min(F.struct((-F.length("term")).alias("size"), F.col("term").alias("term")))
     return sure.groupBy(key, "field").agg(best.alias("_best")).select(
         key, "field", F.col("_best.term").alias("value"))
@@ -102,18 +110,19 @@ def seq_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def phrase_candidates(c, max_words: int = 4) -> Column:
-    """All runs of 1 to `max_words` words plus the whole phrase."""
+def phrase_candidates(c, max_words: int = 4, lengths: tuple[int, int] = (1, 1 << 30)) -> Column:
+    """All runs of 1 to `max_words` words plus the whole phrase, of the given
+    lengths in characters."""
     tokens = F.regexp_extract_all(F.lower(col(c)), F.lit(r"([a-z0-9']+)"), F.lit(1))
-    every = F.concat(windows(tokens, range(1, max_words + 1)), F.array(F.array_join(tokens, " ")))
-    return F.array_distinct(F.filter(every, lambda p: p != ""))
+    every = _once(tokens, lambda t: F.concat(windows(t, range(1, max_words + 1)), F.array(F.array_join(t, " "))))
+    return F.array_distinct(F.filter(every, lambda p: F.length(p).between(*lengths)))
 
 
 def _grams(phrase: Column, size: int) -> Column:
     """Character n-grams numbered by occurrence, so repeats count."""
     runs = F.regexp_extract_all(phrase, F.lit("(?s)(?=(" + "." * size + "))"), F.lit(1))
-    return F.transform(runs, lambda g, i: F.concat(
-        g, F.lit("#"), F.size(F.filter(F.slice(runs, F.lit(1), i), lambda h: h == g)).cast("string")))
+    return _once(runs, lambda r: F.transform(r, lambda g, i: F.concat(
+        g, F.lit("#"), F.size(F.filter(F.slice(r, F.lit(1), i), lambda h: h == g)).cast("string"))))
 
 
 def fuzzy_pairs(phrases: DataFrame, options: DataFrame) -> DataFrame:
@@ -183,8 +192,11 @@ def fuzzy_match(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: st
     before they are scored. Ties go to the longer term, then alphabetically.
     """
     options = terms.select("field", "term", "cutoff", norm_phrase("term").alias("option")).where("option <> ''")
-    said = docs.select(key, F.explode(phrase_candidates(text, max_words)).alias("phrase")) \
-        .where(F.length("phrase") >= min_length)
+    bounds = options.agg(F.min("cutoff").alias("c"), F.max(F.length("option")).alias("n")).first()
+    lowest, longest = float(bounds["c"] or 1.0), int(bounds["n"] or 0)
+    # no longer phrase can pass a cut-off, so none is made
+    lengths = (max(1, min_length), int(longest * (2 - lowest) / max(lowest, 1e-9) + 1))
+    said = docs.select(key, F.explode(phrase_candidates(text, max_words, lengths)).alias("phrase"))
     scored = R.settle(score_phrases(said.select("phrase").distinct(), options.select("option", "cutoff").distinct()))
     hits = said.join(scored, "phrase").join(options, ["option", "cutoff"])
     return _best_term(hits, [key, "field"], keep_score=True)

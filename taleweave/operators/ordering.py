@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-BUCKETS = 64
+# these bound the work of a task and of the driver; no result depends on them
+ROWS_PER_BUCKET = 1_000_000
+BUCKETS, MOST_BUCKETS = 64, 4096
 SAMPLE_PER_BUCKET = 20
 LEAF_ROWS = 100_000
 
@@ -24,13 +26,21 @@ def _names(columns) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def bucket_edges(df: DataFrame, order, buckets: int = BUCKETS) -> tuple[list[str], list[tuple]]:
-    """Columns and at most `buckets - 1` key tuples that cut `df` into even ranges.
+def _sortable(key: tuple) -> tuple:
+    """Python order of key tuples as Spark sorts them: nulls first."""
+    return tuple((v is not None, v) for v in key)
 
-    One pass with a per-partition top-k; the driver sees `20 * buckets` keys.
-    The leading order column alone is used when it has no heavy ties.
+
+def bucket_edges(df: DataFrame, order, buckets: int | None = None) -> tuple[list[str], list[tuple]]:
+    """Columns and key tuples that cut `df` into even ranges.
+
+    One pass with a per-partition top-k; the driver sees 20 keys per bucket.
+    Without a number of buckets it follows from the number of rows, 64 at
+    least. The leading order column alone is used when it has no heavy ties.
     """
     order = _names(order)
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(BUCKETS, df.count() // ROWS_PER_BUCKET))
     wanted = buckets * SAMPLE_PER_BUCKET
     rows = (
         df.select(*order)
@@ -38,14 +48,14 @@ def bucket_edges(df: DataFrame, order, buckets: int = BUCKETS) -> tuple[list[str
         .limit(wanted)
         .collect()
     )
-    sample = sorted(tuple(r) for r in rows)
+    sample = sorted((tuple(r) for r in rows), key=_sortable)
     if len(sample) < wanted:  # the table is smaller than the sample: one bucket does
         return order[:1], []
     step = len(sample) / buckets
-    edges = sorted({sample[int(step * i)] for i in range(1, buckets)})
+    edges = sorted({sample[int(step * i)] for i in range(1, buckets)}, key=_sortable)
     leading = {e[0] for e in edges}
     if len(leading) == len(edges):
-        return order[:1], [e[:1] for e in edges]
+        return order[:1], [e[:1] for e in edges if e[0] is not None]
     return order, edges
 
 
@@ -53,7 +63,7 @@ def _literal(df: DataFrame, order: list[str], edge: tuple) -> Column:
     kinds = {f.name: f.dataType for f in df.schema.fields}
     # a zone-less timestamp goes through its text form, free of any time zone
     parts = [
-        F.lit(str(v) if kinds[c].typeName() == "timestamp_ntz" else v).cast(kinds[c])
+        F.lit(str(v) if v is not None and kinds[c].typeName() == "timestamp_ntz" else v).cast(kinds[c])
         for c, v in zip(order, edge)
     ]
     return parts[0] if len(parts) == 1 else F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
@@ -62,102 +72,117 @@ def _literal(df: DataFrame, order: list[str], edge: tuple) -> Column:
 def _key(order: list[str]) -> Column:
     if len(order) == 1:
         return F.col(order[0])
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    return _whole(order)
+
+
+def _whole(columns: list[str]) -> Column:
+    """Columns as one value that is never null: equal where they are equal or
+    both null, and ordered with nulls first."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
 
 def bucket_of(df: DataFrame, order: list[str], edges: list[tuple]) -> Column:
-    """Index of the range a row falls in: how many edges are <= its key."""
+    """Index of the range a row falls in: how many edges are <= its key. A
+    null key comes first."""
     key, points = _key(order), [_literal(df, order, e) for e in edges]
 
     def search(low: int, high: int) -> Column:  # the answer lies in [low, high]
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
-        return F.when(key < points[middle], search(low, middle)).otherwise(search(middle + 1, high))
+        below = F.coalesce(key < points[middle], F.lit(True))
+        return F.when(below, search(low, middle)).otherwise(search(middle + 1, high))
 
     return search(0, len(edges))
 
 
+def _group(keys: list[str]) -> Column:
+    return _whole(keys) if keys else F.lit(0)
+
+
 def running_total(df: DataFrame, order, weight: Column, keys=(), out: str = "start",
-                  buckets: int = BUCKETS) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """Exclusive prefix sum of `weight` in `order`, per `keys` if given.
 
     Pass narrow rows. The row window is partitioned by (keys, bucket), and the
     carried offsets have one row per (key, bucket); both use the same hash
     partitioning, so the rows are shuffled once and a hot key is spread over
-    all its buckets. Keys and order columns must not be null.
+    all its buckets. Null keys are a key of their own; null order values come
+    first.
     """
     order, keys = _names(order), _names(keys)
     by, edges = bucket_edges(df, order, buckets)
     if not edges:  # fewer rows than the sample: one small window
         whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
         return df.withColumn(out, F.coalesce(F.sum(weight).over(whole), F.lit(0)))
-    tagged = df.withColumn("_bucket", bucket_of(df, by, edges))
-    before = W.orderBy("_bucket") if not keys else W.partitionBy(*keys).orderBy("_bucket")
+    tagged = df.withColumn("_bucket", bucket_of(df, by, edges)).withColumn("_group", _group(keys))
+    before = W.partitionBy("_group").orderBy("_bucket")
     offsets = (
-        tagged.groupBy(*keys, "_bucket")
+        tagged.groupBy("_group", "_bucket")
         .agg(F.sum(weight).alias("_sum"))
         .withColumn("_offset", F.coalesce(
             F.sum("_sum").over(before.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         .drop("_sum")
     )
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_group", "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return (
         tagged.withColumn("_local", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .join(offsets, [*keys, "_bucket"])
+        .join(offsets, ["_group", "_bucket"])
         .withColumn(out, F.col("_offset") + F.col("_local"))
-        .drop("_bucket", "_offset", "_local")
+        .drop("_group", "_bucket", "_offset", "_local")
     )
 
 
-def ordinal(df: DataFrame, order, keys=(), out: str = "ordinal", buckets: int = BUCKETS) -> DataFrame:
+def ordinal(df: DataFrame, order, keys=(), out: str = "ordinal", buckets: int | None = None) -> DataFrame:
     """1-based position of every row in `order` (per key if given)."""
     counted = running_total(df, order, F.lit(1), keys, "_before", buckets)
     return counted.withColumn(out, (F.col("_before") + 1).cast("long")).drop("_before")
 
 
 def previous_value(df: DataFrame, order, value: str, keys=(), out: str = "previous",
-                   buckets: int = BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """`lag(value)` in `order`, per key, with hot keys split over buckets.
 
     The first row of a bucket takes the last value of the nearest earlier
-    bucket of its key, found on one row per (key, bucket).
+    bucket of its key, found on one row per (key, bucket). Null keys are a key
+    of their own; null order values come first.
     """
     order, keys = _names(order), _names(keys)
     by, edges = bucket_edges(df, order, buckets)
     if not edges:  # fewer rows than the sample: one small window
         return df.withColumn(out, F.lag(value).over(W.partitionBy(*keys).orderBy(*order)))
-    tagged = df.withColumn("_bucket", bucket_of(df, by, edges))
-    before = W.orderBy("_bucket") if not keys else W.partitionBy(*keys).orderBy("_bucket")
+    tagged = df.withColumn("_bucket", bucket_of(df, by, edges)).withColumn("_group", _group(keys))
+    before = W.partitionBy("_group").orderBy("_bucket")
     tails = (
-        tagged.groupBy(*keys, "_bucket")
-        .agg(F.max_by(value, _key(order)).alias("_tail"))
+        tagged.groupBy("_group", "_bucket")
+        .agg(F.max_by(F.struct(value), _whole(order))[value].alias("_tail"))
         .withColumn("_carry", F.lag("_tail").over(before))
         .drop("_tail")
     )
-    inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
+    inside = W.partitionBy("_group", "_bucket").orderBy(*order)
     return (
         tagged.withColumn("_n", F.row_number().over(inside))
         .withColumn("_prev", F.lag(value).over(inside))
-        .join(tails, [*keys, "_bucket"])
+        .join(tails, ["_group", "_bucket"])
         .withColumn(out, F.when(F.col("_n") == 1, F.col("_carry")).otherwise(F.col("_prev")))
-        .drop("_bucket", "_n", "_prev", "_carry")
+        .drop("_group", "_bucket", "_n", "_prev", "_carry")
     )
 
 
 def exact_median(df: DataFrame, value: str, keys=(), out: str = "median",
-                 buckets: int = BUCKETS) -> DataFrame:
-    """Exact median per key by rank over pre-counted values.
+                 buckets: int | None = None) -> DataFrame:
+    """Exact median per key by rank over pre-counted values; null keys are a
+    key of their own.
 
     The built-in exact percentile holds all distinct values of a key in one
     buffer; ranking (key, value) counts keeps a hot key distributed.
     """
     keys = _names(keys)
     # pre-counted rows are read by the edge sample, the ranking and the totals
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")).persist()
-    ranked = running_total(counted, value, F.col("_c"), keys, "_before", buckets)
-    totals = counted.groupBy(*keys).agg(F.sum("_c").alias("_total"))
-    joined = ranked.join(totals, keys) if keys else ranked.join(totals)
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
+    ranked = running_total(counted, value, F.col("_c"), keys, "_before", buckets).withColumn("_group", _group(keys))
+    totals = counted.groupBy(_group(keys).alias("_group")).agg(F.sum("_c").alias("_total"))
+    joined = ranked.join(totals, "_group")
     # 0-based middle positions, equal when the count is odd
     low = F.floor((F.col("_total") - 1) / 2)
     high = F.floor(F.col("_total") / 2)
@@ -221,8 +246,8 @@ class Cut:
     `key` is None when the position is the end of the data.
     """
 
-    def __init__(self, position: int, key: tuple | None, offset: int):
-        self.position, self.key, self.offset = position, key, offset
+    def __init__(self, position: int, key: tuple | None, offset: int, tie: int | None = None):
+        self.position, self.key, self.offset, self.tie = position, key, offset, tie
 
     def __repr__(self):
         return f"Cut({self.position}, {self.key}, {self.offset})"
@@ -232,22 +257,34 @@ def total_weight(df: DataFrame, weight: Column) -> int:
     return int(df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).first()["t"])
 
 
+TIE = "_tie"
+
+
+def with_tie(df: DataFrame) -> DataFrame:
+    """A digest of all columns, which settles the order of rows with equal keys."""
+    return df.withColumn(TIE, F.xxhash64(F.to_json(F.struct("*"))))
+
+
 def find_cuts(df: DataFrame, order, weight: Column, positions: list[int],
               buckets: int = BUCKETS, leaf_rows: int = LEAF_ROWS) -> list[Cut]:
     """Locate global positions without giving every row its prefix sum.
 
+    Rows with equal order values follow a digest of all their columns; null
+    values come first. Where rows that are equal in every column straddle a
+    position, no cut can tell them apart and an error says so.
+
     Narrows each position to one key range per round (a scan of the order and
     weight columns only), until the range has at most `leaf_rows` rows, and
     runs a window on that range alone. The driver holds one small row per
     bucket. No row of the table is shuffled.
     """
-    order = _names(order)
-    narrow = df.select(*order, weight.alias("_w"))
+    order = [*_names(order), TIE]
+    narrow = with_tie(df).select(*order, weight.alias("_w"))
     found: dict[int, Cut] = {}
-    # work items: frame restricted to a key range, weight before it, positions
-    work = [(narrow, 0, sorted(set(positions)))]
+    # work items: frame restricted to a key range, its rows if known, weight before it, positions
+    work = [(narrow, None, 0, sorted(set(positions)))]
     while work:
-        frame, base, wanted = work.pop()
+        frame, rows, base, wanted = work.pop()
         by, edges = bucket_edges(frame, order, buckets)
         bucket = bucket_of(frame, by, edges)
         stats = (
@@ -272,15 +309,10 @@ def find_cuts(df: DataFrame, order, weight: Column, positions: list[int],
         leaves = {}
         for slot, ps in groups.items():
             b, n, _ = stats[slot]
-            if n <= leaf_rows or not edges:
+            if n <= leaf_rows or not edges or n == rows:  # small, or of one key
                 leaves[b] = (starts[slot], ps)
             else:
-                part = frame
-                if b > 0:
-                    part = part.where(_key(by) >= _literal(frame, by, edges[b - 1]))
-                if b < len(edges):
-                    part = part.where(_key(by) < _literal(frame, by, edges[b]))
-                work.append((part, starts[slot], ps))
+                work.append((frame.where(bucket == b), n, starts[slot], ps))
         if leaves:
             inside = W.partitionBy("_b").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
             local = (
@@ -293,11 +325,15 @@ def find_cuts(df: DataFrame, order, weight: Column, positions: list[int],
                 for p in ps:
                     hit = hit | ((F.col("_b") == b) & (F.col("_from") <= p - start)
                                  & (F.lit(p - start) < F.col("_from") + F.col("_w")))
+            same = W.partitionBy("_b", *order)
+            local = local.withColumn("_same", F.count("*").over(same))
             for r in local.where(hit).collect():  # at most one row per position
                 start, ps = leaves[r["_b"]]
+                if r["_same"] > 1:
+                    raise ValueError("rows that are equal in every column straddle a cut")
                 for p in ps:
                     if r["_from"] <= p - start < r["_from"] + r["_w"]:
-                        found[p] = Cut(p, tuple(r[c] for c in order), p - start - r["_from"])
+                        found[p] = Cut(p, tuple(r[c] for c in order[:-1]), p - start - r["_from"], r[TIE])
     return [found[p] for p in positions]
 
 
@@ -305,7 +341,7 @@ def _compare(df: DataFrame, order: list[str], cut: Cut, weight: Column) -> Colum
     """Offset inside each row where the cut falls: 0 after it, all before it."""
     if cut.key is None:
         return weight
-    key, point = _key(order), _literal(df, order, cut.key)
+    key, point = _key(order), _literal(df, order, (*cut.key, cut.tie))
     return (
         F.when(key < point, weight)
         .when(key == point, F.lit(cut.offset).cast("long"))
@@ -317,15 +353,17 @@ def pieces(df: DataFrame, order, weight: Column, cuts: list[Cut]) -> DataFrame:
     """Split every row at the cuts: adds `piece`, `piece_from`, `piece_to`.
 
     `piece` i is the part between cut i-1 and cut i. Rows away from a cut keep
-    one piece; nothing is shuffled.
+    one piece; nothing is shuffled. The frame has the columns that the cuts
+    were found on.
     """
-    order = _names(order)
+    order = [*_names(order), TIE]
+    tied = with_tie(df)
     bounds = [F.lit(0).cast("long")]
-    bounds += [_compare(df, order, c, weight.cast("long")) for c in cuts]
+    bounds += [_compare(tied, order, c, weight.cast("long")) for c in cuts]
     bounds += [weight.cast("long")]
     parts = F.array(*[
         F.struct(F.lit(i).alias("piece"), bounds[i].alias("piece_from"), bounds[i + 1].alias("piece_to"))
         for i in range(len(bounds) - 1)
     ])
     kept = F.filter(parts, lambda p: p["piece_to"] > p["piece_from"])
-    return df.select("*", F.inline(kept))
+    return tied.select("*", F.inline(kept)).drop(TIE)

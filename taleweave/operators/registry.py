@@ -42,9 +42,9 @@ def upsert(registry: DataFrame, new: DataFrame, key: str = "npc_id", order: str
     `seq` wins. `min`/`max_by`-style picks combine before the shuffle.
     """
     every = registry.unionByName(new)
-    newest = ordering.first_n(every, key, [F.desc(order)], 1)
-    first = every.groupBy(key).agg(F.min(order).alias("_first"))
-    return newest.join(first, key).withColumn(order, F.col("_first")).drop("_first")
+    row = F.struct(*[c for c in every.columns if c not in (key, order)])
+    picked = every.groupBy(key).agg(F.max_by(row, order).alias("_row"), F.min(order).alias(order))
+    return picked.select(key, "_row.*", order).select(*every.columns)
 
 
 def remove(registry: DataFrame, ids: DataFrame, key: str = "npc_id") -> DataFrame:
@@ -79,7 +79,8 @@ def apply_edits(records: DataFrame, edits: DataFrame, key: str = "npc_id", order
     """Typed single-field edits: (edited records, rejects with a reason).
 
     `edits` has (key, seq, field, value). The last valid edit per field wins;
-    list fields split on commas; a bad number or unknown field is rejected.
+    list fields split on commas; a bad number, an unknown field and an id
+    without a record are rejected.
     """
     kinds = {f.name: f.dataType for f in FIELDS.fields}
     texts = [n for n, t in kinds.items() if isinstance(t, T.StringType) and n != key]
@@ -89,7 +90,9 @@ def apply_edits(records: DataFrame, edits: DataFrame, key: str = "npc_id", order
         F.when(~field.isin(texts + numbers + ["notes"]), "unknown field")
         .when(field.isin(numbers) & to_int("value").isNull(), "expects a number")
     )
-    checked = edits.withColumn("reason", reason)
+    present = records.select(key).distinct().withColumn("_present", F.lit(True))
+    checked = edits.join(present, key, "left").withColumn(
+        "reason", F.coalesce(reason, F.when(F.col("_present").isNull(), "unknown id"))).drop("_present")
     valid = checked.where(F.col("reason").isNull()).groupBy(key, "field").agg(F.max_by("value", order).alias("value"))
     picks = {f: F.max(F.when(field == f, F.col("value"))) for f in texts + numbers + ["notes"]}
     wide = valid.groupBy(key).agg(*[c.alias("_e_" + f) for f, c in picks.items()])
@@ -98,6 +101,6 @@ def apply_edits(records: DataFrame, edits: DataFrame, key: str = "npc_id", order
     changes.update({f: F.coalesce(to_int("_e_" + f), F.col(f)) for f in numbers})
     items = F.filter(F.transform(F.split("_e_notes", ","), lambda i: strip(i)), lambda i: i != "")
     changes["notes"] = F.coalesce(items, F.col("notes"))
-    present = {f: c for f, c in changes.items() if f in records.columns}
-    edited = joined.withColumns(present).drop(*["_e_" + f for f in picks])
+    given = {f: c for f, c in changes.items() if f in records.columns}
+    edited = joined.withColumns(given).drop(*["_e_" + f for f in picks])
     return edited, checked.where(F.col("reason").isNotNull())

@@ -25,13 +25,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: A table in fewer files or splits than this is small (8 GB at the usual split size).
+SMALL_SPLITS = 64
+
+
 def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
     """A table that heavy per-row work reads. A small file has fewer row groups
-    than there are cores; only then are its rows spread. A large table is read
-    as it lies."""
+    than there are cores; only then are its rows spread, and over at most
+    SMALL_SPLITS tasks. A large table is read as it lies on any cluster."""
     df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    wanted = min(spark.sparkContext.defaultParallelism, SMALL_SPLITS)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, key)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

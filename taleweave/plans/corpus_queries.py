@@ -96,32 +96,39 @@ def encode_split(spark, sf):
         F.get("ids", F.lit(0)).alias("first_id"), F.try_element_at("ids", F.lit(-1)).alias("last_id"))
 
 
+SQL_PLACED = """
+flat AS (SELECT split, doc_id, start, unnest(ids) AS id, unnest(range(0, len(ids))) AS n FROM ids),
+tokens AS (SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY doc_id, start, n) - 1 AS p FROM flat)
+"""
+
+
 @query("token_blocks", f"""
-WITH {SQL_CHARS}, {SQL_SPLIT}, {SQL_IDS},
-blocks AS (SELECT doc_id, split, start, ids, unnest(range(0, len(ids) - 64, 64)) AS s FROM ids WHERE len(ids) >= 65)
-SELECT doc_id, split, CAST(start AS BIGINT) AS start, count(*) AS blocks, CAST(max(s) AS INTEGER) AS last_start,
-       CAST(sum(ids[s + 1]) AS BIGINT) AS x_first, CAST(sum(ids[s + 65]) AS BIGINT) AS y_last
-FROM blocks GROUP BY doc_id, split, start""")
+WITH {SQL_CHARS}, {SQL_SPLIT}, {SQL_IDS}, {SQL_PLACED},
+x AS (SELECT split, p // 64 AS block, CAST(sum(id) AS BIGINT) AS x_sum, CAST(sum(id * (p % 64 + 1)) AS BIGINT) AS x_order, count(*) AS n FROM tokens GROUP BY 1, 2)
+SELECT x.split, block, x_sum, x_order, t.id AS y_last FROM x JOIN tokens t ON t.split = x.split AND t.p = block * 64 + 64 WHERE n = 64""")
 def token_blocks(spark, sf):
     docs = documents(spark, sf)
-    blocks = C.make_blocks(C.encode_split(docs, C.char_vocab(docs)), 64)
-    return blocks.groupBy("doc_id", "split", "start").agg(
-        F.count("*").alias("blocks"), F.max("block_start").alias("last_start"),
-        F.sum(F.get("x", F.lit(0))).alias("x_first"), F.sum(F.get("y", F.lit(63))).alias("y_last"))
+    blocks = C.make_blocks(C.encode_split(docs, C.char_vocab(docs)), 64, ["doc_id", "start"], "split")
+    ordered = F.transform("x", lambda v, i: v.cast("long") * (i + 1))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, v: a + v)
+    return blocks.select("split", "block", total("x").alias("x_sum"), total(ordered).alias("x_order"),
+                         F.get("y", F.lit(63)).alias("y_last"))
 
 
 @query("drawn_blocks", f"""
-WITH {SQL_CHARS}, {SQL_SPLIT}, {SQL_IDS},
-drawn AS (SELECT doc_id, split, start, ids, unnest(range(0, 4)) AS draw FROM ids WHERE len(ids) > 32),
-placed2 AS (SELECT *, CAST(floor({sql_uniform(SEED, 'block', 'doc_id', 'draw')} * (len(ids) - 32)) AS INTEGER) AS s FROM drawn)
-SELECT doc_id, split, CAST(draw AS INTEGER) AS draw, s AS block_start,
-       CAST(list_sum(ids[s + 1 : s + 32]) AS BIGINT) AS x_sum, CAST(list_sum(ids[s + 2 : s + 33]) AS BIGINT) AS y_sum
-FROM placed2""")
+WITH {SQL_CHARS}, {SQL_SPLIT}, {SQL_IDS}, {SQL_PLACED},
+room AS (SELECT split, count(*) AS n FROM tokens GROUP BY split HAVING count(*) > 32),
+drawn AS (SELECT split, n, unnest(range(0, 500)) AS draw FROM room),
+where_at AS (SELECT split, CAST(draw AS INTEGER) AS draw, CAST(floor({sql_uniform(SEED, 'block', 'split', 'draw')} * (n - 32)) AS BIGINT) AS start FROM drawn),
+q AS (SELECT split, draw, start, unnest(range(0, 33)) AS k FROM where_at)
+SELECT q.split, draw, start, CAST(sum(id * (k + 1)) FILTER (WHERE k < 32) AS BIGINT) AS x_order, CAST(sum(id * k) FILTER (WHERE k > 0) AS BIGINT) AS y_order
+FROM q JOIN tokens t ON t.split = q.split AND t.p = start + k GROUP BY 1, 2, 3""")
 def drawn_blocks(spark, sf):
     docs = documents(spark, sf)
-    blocks = C.draw_blocks(C.encode_split(docs, C.char_vocab(docs)), "doc_id", 32, 4, SEED)
-    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
-    return blocks.select("doc_id", "split", "draw", "block_start", total("x").alias("x_sum"), total("y").alias("y_sum"))
+    blocks = C.draw_blocks(C.encode_split(docs, C.char_vocab(docs)), 32, 500, SEED, ["doc_id", "start"], "split")
+    ordered = lambda c: F.aggregate(
+        F.transform(c, lambda v, i: v.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, v: a + v)
+    return blocks.select("split", "draw", "start", ordered("x").alias("x_order"), ordered("y").alias("y_order"))
 
 
 @query("prefix_fractions", """
@@ -138,8 +145,8 @@ def prefix_fractions(spark, sf):
     train = math.floor(ordering.total_weight(docs, length) * 0.9)
     fractions = [f for _, f in X.FRACTIONS]
     ends = C.prefix_lengths(train, fractions)
-    pieces = ordering.pieces(docs.select("doc_id", length.alias("n")), "doc_id", F.col("n"),
-                             ordering.find_cuts(docs, "doc_id", length, ends))
+    narrow = docs.select("doc_id", length.alias("n"))
+    pieces = ordering.pieces(narrow, "doc_id", F.col("n"), ordering.find_cuts(narrow, "doc_id", F.col("n"), ends))
     size = F.col("piece_to") - F.col("piece_from")
     # band i counts toward every fraction from i on
     bands = pieces.where(F.col("piece") < len(ends)).withColumn("fraction", F.explode(F.slice(

@@ -83,12 +83,13 @@ SQL_CONFIGS = "(VALUES " + ", ".join(
 WITH {SQL_STEPS},
 s AS (SELECT run, arg_max(train_loss, event_id) AS final_train, arg_max(val_loss, event_id) AS final_val FROM steps GROUP BY run)
 SELECT category, run_name AS run, lr, layers, iters, round(final_train, 4) AS final_train, round(final_val, 4) AS final_val, 'Not Logged' AS time
-FROM s JOIN {SQL_CONFIGS} ON c.no = s.run""")
+FROM s JOIN {SQL_CONFIGS} ON c.no = s.run % (SELECT count(*) FROM {SQL_CONFIGS})""")
 def summary_table(spark, sf):
-    """Runs named by their number, joined with configuration and category."""
+    """Runs named by their number, joined with configuration and category;
+    several runs may share a configuration."""
     names = [n for n, *_ in X.RUN_CONFIGS]
     named = P.run_summary(_steps(spark, sf), "event_id").withColumn(
-        "run", F.get(F.array(*[F.lit(n) for n in names]), F.col("run").cast("int"))).where(F.col("run").isNotNull())
+        "run", F.get(F.array(*[F.lit(n) for n in names]), F.pmod("run", F.lit(len(names))).cast("int")))
     full = P.summary_table(named).select("category", "run", "lr", "layers", "iters", "final_train", "final_val", "time")
     return R.rounded(full, {"final_train": 4, "final_val": 4})
 
@@ -103,33 +104,36 @@ def selected_runs(spark, sf):
     return R.select_runs(summary, wanted).select("run", "best_val", "present")
 
 
-@query("loss_grid", """
-WITH g AS (SELECT event_type, strftime(ts, '%d') AS day, arg_max(value, event_id) AS v FROM events GROUP BY 1, 2)
-SELECT event_type, round(max(v) FILTER (WHERE day = '01'), 4) AS d01, round(max(v) FILTER (WHERE day = '10'), 4) AS d10,
-       round(max(v) FILTER (WHERE day = '20'), 4) AS d20, round(max(v) FILTER (WHERE day = '30'), 4) AS d30
-FROM g GROUP BY 1 HAVING event_type IN ('view', 'click', 'error', 'purchase')
-UNION ALL SELECT 'absent', NULL, NULL, NULL, NULL""")
+DAYS = [f"d{day:02d}" for day in range(1, 32)]
+SQL_DAYS = ", ".join(f"round(max(v) FILTER (WHERE day = '{d}'), 4) AS {d}" for d in DAYS)
+
+
+@query("loss_grid", f"""
+WITH g AS (SELECT event_type, 'd' || strftime(ts, '%d') AS day, arg_max(value, event_id) AS v FROM events GROUP BY 1, 2)
+SELECT event_type, {SQL_DAYS} FROM g GROUP BY 1
+UNION ALL SELECT 'absent', {", ".join(["NULL"] * len(DAYS))}""")
 def loss_grid(spark, sf):
     events = table(spark, sf, "events")
     cells = events.groupBy("event_type", F.date_format("ts", "'d'dd").alias("day")).agg(F.max_by("value", "event_id").alias("v"))
-    return P.loss_grid(cells, "event_type", "day", "v", ["view", "click", "error", "purchase", "absent"], ["d01", "d10", "d20", "d30"])
+    kinds = sorted(r["event_type"] for r in events.select("event_type").distinct().collect())  # a few kinds
+    return P.loss_grid(cells, "event_type", "day", "v", [*kinds, "absent"], DAYS)
 
 
 @query("runs_roundtrip", """
-SELECT user_id AS run, round(arg_max(value, event_id), 6) AS final_val, round(min(value), 6) AS best_val FROM events GROUP BY user_id""")
+SELECT user_id AS run, count(*) AS points, round(arg_max(value, event_id), 6) AS final_val, round(min(value), 6) AS best_val FROM events GROUP BY user_id""")
 def runs_roundtrip(spark, sf):
-    """Store one short history per run, read it back, summarise the arrays."""
+    """Store the whole history of every run, read it back, summarise the arrays."""
     folder = working_dir(spark, "runs")
-    ends = _steps(spark, sf).groupBy("run").agg(
-        F.min_by("val_loss", "val_loss").alias("low"), F.max_by("val_loss", "event_id").alias("last"),
-        F.max_by("train_loss", "event_id").alias("train"))
-    runs = ends.select(
-        F.col("run").cast("string").alias("run"), F.array(F.lit(0), F.lit(1)).alias("steps"),
-        F.array("train", "train").alias("train_loss"), F.array("low", "last").alias("val_loss"),
+    point = F.struct("event_id", "train_loss", "val_loss")
+    logged = _steps(spark, sf).groupBy("run").agg(F.array_sort(F.collect_list(point)).alias("p"))  # a run is one row of the format
+    runs = logged.select(
+        F.col("run").cast("string").alias("run"), F.transform("p", lambda p: p["event_id"].cast("int")).alias("steps"),
+        F.transform("p", lambda p: p["train_loss"]).alias("train_loss"), F.transform("p", lambda p: p["val_loss"]).alias("val_loss"),
         F.lit(None).cast("double").alias("elapsed_minutes"))
     writers.write_runs(runs, folder)
-    stored = P.history_summary(readers.read_runs(spark, folder))
-    return R.rounded(stored.select(F.col("run").cast("long").alias("run"), "final_val", "best_val"), {"final_val": 6, "best_val": 6})
+    read = readers.read_runs(spark, folder)
+    stored = P.history_summary(read).join(read.select("run", F.size("steps").cast("long").alias("points")), "run")
+    return R.rounded(stored.select(F.col("run").cast("long").alias("run"), "points", "final_val", "best_val"), {"final_val": 6, "best_val": 6})
 
 
 # --- frontier ----------------------------------------------------------------
@@ -214,14 +218,14 @@ def elapsed_source(spark, sf):
     return per.select("user_id", F.round(value, 2).alias("minutes"), source.alias("source"))
 
 
-@query("file_listing", "SELECT source, count(DISTINCT source) AS files, true AS stamped FROM documents GROUP BY source")
+@query("file_listing", "SELECT source, true AS found, true AS stamped FROM documents GROUP BY source")
 def file_listing(spark, sf):
-    """Modification times of the documents stored as one file per source."""
+    """Modification times of the documents stored in files by source."""
     folder = working_dir(spark, "listing")
-    documents(spark, sf).select("doc_id", "source").repartition("source").write.partitionBy("source").parquet(folder)
+    documents(spark, sf).select("doc_id", "source").write.partitionBy("source").parquet(folder)
     files = readers.list_files(spark, [folder, folder + "-absent"]).where(F.col("path").endswith(".parquet"))
     source = F.regexp_extract("path", "source=([^/]+)/", 1)
-    return files.groupBy(source.alias("source")).agg(F.count("*").alias("files"), F.bool_and(F.col("modified").isNotNull()).alias("stamped"))
+    return files.groupBy(source.alias("source")).agg((F.count("*") > 0).alias("found"), F.bool_and(F.col("modified").isNotNull()).alias("stamped"))
 
 
 # --- step logs ---------------------------------------------------------------

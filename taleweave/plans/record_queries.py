@@ -500,9 +500,31 @@ def registry_merge(spark, sf):
 
 
 @query("registry_remove", f"""
-WITH {SQL_REGISTRY} SELECT npc_id, name, seq FROM registry WHERE npc_id NOT IN (SELECT npc_id FROM batch)""")
+WITH {SQL_REGISTRY} SELECT npc_id, name, seq FROM registry
+WHERE npc_id NOT IN (SELECT npc_id FROM batch GROUP BY npc_id HAVING max(hp) > 400000)""")
 def registry_remove(spark, sf):
-    return G.remove(_registry(spark, sf), run_sql(spark, sf, BATCH, ("orders",))).select("npc_id", "name", "seq")
+    """Records of customers with a large order go."""
+    large = run_sql(spark, sf, BATCH, ("orders",)).groupBy("npc_id").agg(F.max("hp").alias("top")).where("top > 400000")
+    return G.remove(_registry(spark, sf), large).select("npc_id", "name", "seq")
+
+
+@query("registry_versions", f"""
+WITH {SQL_REGISTRY}
+SELECT v AS version, CASE WHEN v = 1 THEN 0 ELSE (SELECT count(*) FROM registry) END AS records,
+       CASE WHEN v = 1 THEN 0 ELSE (SELECT CAST(sum(hp) AS BIGINT) FROM registry) END AS hp
+FROM (SELECT unnest([0, 1, 2]) AS v)""")
+def registry_versions(spark, sf):
+    """What a reader sees after each of three versions, the second empty."""
+    folder = working_dir(spark, "versions")
+    records = G.conform(_registry(spark, sf))
+    seen = None
+    for content in (records, records.limit(0), records):
+        version = writers.write_registry(content, folder)
+        now = readers.read_registry_table(spark, folder).agg(
+            F.lit(version).alias("version"), F.count("*").alias("records"),
+            F.coalesce(F.sum("hp"), F.lit(0)).alias("hp"))
+        seen = now if seen is None else seen.unionByName(now)
+    return seen
 
 
 @query("registry_conform", f"""

@@ -73,10 +73,15 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return registry_ops.upsert(named, named.limit(0))
 
 
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}/_manifest"
+
+
 def latest_version(spark: SparkSession, path: str, below: int | None = None) -> int | None:
-    """Newest version number under a versioned table, read from folder names."""
+    """Newest version number of a versioned table. The manifest names a
+    version once all its files are written, with or without rows."""
     try:
-        versions = spark.read.parquet(path).select(F.col("version").cast("long").alias("version"))
+        versions = spark.read.schema("version long").json(_manifest(path))
     except AnalysisException:
         return None
     if below is not None:
@@ -85,11 +90,12 @@ def latest_version(spark: SparkSession, path: str, below: int | None = None) ->
 
 
 def read_registry_table(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
-    """Newest version of a Parquet registry; no table gives no rows."""
+    """Newest version of a Parquet registry; no table gives no rows. Only the
+    files of that version are read."""
     version = latest_version(spark, path, below)
     if version is None:
         return spark.createDataFrame([], STORED_SCHEMA)
-    return spark.read.parquet(path).where(F.col("version") == version).drop("version")
+    return spark.read.parquet(f"{path.rstrip('/')}/version={version}")
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:

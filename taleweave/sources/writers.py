@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from taleweave.functions.text import slug
 from taleweave.operators.corpus import MAX_TOKEN_ID
-from taleweave.sources.readers import latest_version
+from taleweave.sources.readers import _manifest, latest_version
 
 
 def write_registry(df: DataFrame, path: str, version: int | None = None) -> int:
-    """Write a whole registry as a new version folder, never in place."""
+    """Write a whole registry as a new version folder, never in place. The
+    version is visible once the manifest names it, after its last file."""
     if version is None:
         last = latest_version(df.sparkSession, path)
         version = 0 if last is None else last + 1
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+    df.sparkSession.range(1).select(F.lit(version).cast("long").alias("version")).write.mode("append").json(_manifest(path))
     return version
 
 

@@ -108,8 +108,9 @@ def test_unknown_characters(spark):
 
 def test_blocks(spark):
     df = spark.createDataFrame([(1, list(range(10))), (2, [1, 2])], "doc_id long, ids array<int>")
-    rows = C.make_blocks(df, 4, 3).orderBy("block_start").collect()
-    assert [(r["x"], r["y"]) for r in rows] == [([0, 1, 2, 3], [1, 2, 3, 4]), ([3, 4, 5, 6], [4, 5, 6, 7])]
+    rows = C.make_blocks(df, 4, "doc_id", stride=3).orderBy("block").collect()
+    assert [(r["x"], r["y"]) for r in rows] == [
+        ([0, 1, 2, 3], [1, 2, 3, 4]), ([3, 4, 5, 6], [4, 5, 6, 7]), ([6, 7, 8, 9], [7, 8, 9, 1])]
 
 
 def test_base_ids_stay(spark):
