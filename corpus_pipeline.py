@@ -55,7 +55,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
-    return digests(bpe.decode(bpe.encode(docs, path), path))
+    return digests(bpe.encode_decode(docs, path))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -1,15 +1,20 @@
 """Sub-word encoding through a distinct-word table, and decoding by a join.
 
-Texts are split at ASCII white space, which no token crosses; each distinct
-word is encoded once (see `wordtable`). A document becomes a compressed array
-of word codes, so its text is not shuffled; the ids of its rarer words meet it
-again by document and position, and all are put in order.
+Texts are split at ASCII white space, which no token crosses, and each distinct
+word is encoded once. The most frequent words are encoded first and broadcast
+(see `wordtable`). The others travel: documents are taken in blocks, and the
+words of a block that are not in the list are sent, packed, to buckets by a hash
+of the word. A bucket encodes each of its words once and sends the ids back
+to the blocks. There they meet the documents, which travel as compressed word
+codes instead of texts, and all ids are put in order by position.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taleweave.llm import wordtable as wt
+from taleweave.llm.common import slices
 
-_PIECE = "doc_id long, tag long, number long, payload binary"
-#: Words put in order at a time, and words encoded at a time.
-_CHUNK, _BATCH = 500_000, 4096
+#: Words of a block, bytes of text for each bucket of words, words put in order
+#: at a time, and words encoded at a time.
+BLOCK_WORDS, BUCKET_BYTES, _CHUNK, _BATCH = 600_000, 64 << 20, 300_000, 2048
+_PART = "block long, bucket int, rare int, ids array<bigint>, sizes array<int>, payload binary"
 
 
 class _Words:
@@ -69,101 +76,190 @@ def _encode_frequent(spark, words: list[bytes], path: str):
     return np.cumsum(sizes) - sizes, sizes, flat
 
 
-def _documents(shared):
-    """Arrow step: every document as its compressed word codes."""
+def _squeeze(values: np.ndarray) -> bytes:
+    """32-bit numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(values.astype(np.uint32)).view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _expand(payload: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(payload), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+
+
+def _parts(block, bucket, rare, ids, sizes, payload) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block, pa.int64()), pa.array(bucket, pa.int32()), pa.array(rare, pa.int32()),
+         pa.array(ids, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())), pa.array(payload, pa.binary())],
+        names=["block", "bucket", "rare", "ids", "sizes", "payload"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], codes: dict[bytes, int], buckets: int):
+    """Blocks of documents: their name, ids, word counts, codes, and the words
+    without a code with their buckets, in ascending order of these. The i-th of
+    the words has the code len(codes) + i.
+
+    The name is a digest of the documents, so blocks made twice get the same one.
+    """
+    for batch in batches:
+        ids = batch.column("doc_id").to_pylist()
+        tags = batch.column("tag").to_pylist()
+        start, words, sizes = 0, [], []
+        for i, raw in enumerate(wt.raw_texts(batch.column("text"))):
+            found = raw.split()
+            words += found
+            sizes.append(len(found))
+            if len(words) < BLOCK_WORDS and i < len(ids) - 1:
+                continue
+            coded = np.fromiter((codes.get(w, -1) for w in words), np.int64, len(words))
+            missing = np.flatnonzero(coded < 0)
+            own: dict[bytes, int] = {}
+            first = np.array([own.setdefault(words[m], len(own)) for m in missing.tolist()], np.int64)
+            bucket = np.array([zlib.crc32(w) % buckets for w in own], np.int64)
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            coded[missing] = len(codes) + place[first] if len(missing) else 0
+            rare = list(own)
+            named = repr(list(zip(ids[start:i + 1], tags[start:i + 1]))).encode()
+            name = int.from_bytes(hashlib.blake2b(named, digest_size=8).digest(), "little", signed=True)
+            yield name, ids[start:i + 1], sizes, coded, [rare[o] for o in order.tolist()], bucket[order]
+            start, words, sizes = i + 1, [], []
+
+
+def _documents(shared, buckets: int):
+    """Arrow step: a row for each block, with its documents as word codes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = wt.worker_value(shared, wt.word_codes)
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            packed = []
-            for raw in wt.raw_texts(batch.column("text")):
-                found, _ = wt.split_codes(raw, codes)
-                # byte planes compress better than whole integers
-                packed.append(squeeze(found.view(np.uint8).reshape(-1, 4).T.tobytes()))
+        for name, ids, sizes, coded, rare, _ in _blocks(batches, codes, buckets):
+            yield _parts([name], [-1], [len(rare)], [ids], [sizes], [_squeeze(coded)])
+
+    return run
+
+
+def _rare_words(shared, buckets: int):
+    """Arrow step: a row for each block and bucket, with the block's words of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = wt.worker_value(shared, wt.word_codes)
+        for name, _, _, _, rare, bucket in _blocks(batches, codes, buckets):
+            used, starts = np.unique(bucket, return_index=True)
+            ends = [*starts[1:].tolist(), len(rare)]
+            packed = [zlib.compress(b"\n".join(rare[i:j]), 6) for i, j in zip(starts.tolist(), ends)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tag"), pa.array(np.full(len(packed), -1)),
-                 pa.array(packed, pa.binary())], names=["doc_id", "tag", "number", "payload"])
+                [pa.array(np.full(len(used), name)), pa.array(used, pa.int32()), pa.array(packed, pa.binary())],
+                names=["block", "bucket", "words"])
 
     return run
 
 
 def _rare_ids(path: str):
-    """Arrow step over rows sorted by word: the ids of every run's word."""
+    """Arrow step over rows sorted by bucket: every distinct word of a bucket is
+    encoded once; each block gets the ids of its words, in their order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = load_tokenizer(path)
-        for batch, run_of, words in wt.runs(batches, "word"):
-            ids = [np.asarray(x, np.int32).tobytes() for x in encode_words(tokenizer, words.to_pylist())]
-            at = batch.column("at").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(at >> 32), pa.array(at & 0xFFFFFFFF),
-                 pa.array(ids, pa.binary()).take(pa.array(run_of))],
-                names=["doc_id", "tag", "number", "payload"])
+        bucket, rows = None, []
 
-    return run
+        def close() -> Iterator[pa.RecordBatch]:
+            asked = [zlib.decompress(packed).split(b"\n") for _, packed in rows]
+            places: dict[bytes, int] = {}
+            for words in asked:
+                for w in words:
+                    places.setdefault(w, len(places))
+            ids = [np.asarray(x, np.uint32) for x in encode_words(tokenizer, [w.decode() for w in places])]
+            for (block, _), words in zip(rows, asked):
+                mine = [ids[places[w]] for w in words]
+                sizes = np.array([len(x) for x in mine], np.uint32)
+                yield _parts([block], [bucket], [len(mine)], [None], [None], [_squeeze(np.concatenate([sizes, *mine]))])
 
+        for batch in batches:
+            for block, b, packed in zip(*[batch.column(c).to_pylist() for c in ("block", "bucket", "words")]):
+                if b != bucket:
+                    if rows:
+                        yield from close()
+                    bucket, rows = b, []
+                rows.append((block, packed))
+        if rows:
+            yield from close()
 
-def _gather(docs: list, frequent: _Words) -> pa.RecordBatch:
-    """Ids of some documents: (doc_id, word codes, ids of the rare words)."""
-    known = len(frequent.starts)
-    rare = [ids for _, _, own in docs for ids in own]
-    rare_sizes = np.array([len(x) // 4 for x in rare], np.int64)
-    flat = np.concatenate([frequent.ids, np.frombuffer(b"".join(rare), np.int32)])
-    starts = np.concatenate([frequent.starts, len(frequent.ids) + np.cumsum(rare_sizes) - rare_sizes])
-    sizes = np.concatenate([frequent.sizes, rare_sizes])
-    codes, lengths, shift = [], [], known
-    for _, found, own in docs:
-        codes.append(np.where(found < 0, shift - 1 - found, found))
-        shift += len(own)
-    all_codes = np.concatenate(codes)
-    size = sizes[all_codes]
-    ends = np.cumsum(size)
-    values = flat[np.repeat(starts[all_codes] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-    word_ends = np.cumsum([len(c) for c in codes])
-    offsets = np.concatenate([[0], ends])[np.concatenate([[0], word_ends])]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([d for d, _, _ in docs], pa.int64()),
-         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))],
-        names=["doc_id", "ids"])
+    return run
 
 
-def _in_order(shared):
-    """Arrow step over rows sorted by document and number: the document's codes
-    come first (once per repeated row), then the ids of its rare words."""
+def _gather(frequent: _Words, ids: list, sizes: np.ndarray, codes: np.ndarray, rare: tuple) -> Iterator[pa.RecordBatch]:
+    """Token ids of the documents of a block, some documents at a time."""
+    known = len(frequent.starts)
+    word_ends = np.cumsum(sizes)
+    for start, stop in slices(sizes.tolist(), _CHUNK):
+        part = codes[word_ends[start] - sizes[start]:word_ends[stop - 1]]
+        listed = part < known
+        size, at = np.empty((2, len(part)), np.int64)
+        for where, (begins, lengths) in ((listed, (frequent.starts, frequent.sizes)), (~listed, rare[:2])):
+            own = part[where] if where is listed else part[where] - known
+            size[where], at[where] = lengths[own], begins[own]
+        ends = np.cumsum(size)
+        places = np.repeat(at - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        far = np.repeat(~listed, size)
+        values = np.empty(len(places), np.int32)
+        values[~far], values[far] = frequent.ids[places[~far]], rare[2][places[far]]
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes[start:stop])])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[start:stop], pa.int64()),
+             pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))],
+            names=["doc_id", "ids"])
+
+
+def _in_order(shared, finish):
+    """Arrow step over rows sorted by block and bucket: a block's documents
+    come first (once per repeat), then the ids of its rarer words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = wt.worker_value(shared, _Words)
-        expand = zstandard.ZstdDecompressor().decompress
-        done: list = []
-        words = 0
-        current, times, codes, own = None, 0, None, []
+        finisher = finish() if finish else None
+        block, times, head, found, seen = None, 0, None, [], set()
 
         def close() -> Iterator[pa.RecordBatch]:
-            nonlocal done, words
+            sizes = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
+            ids = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+            if head is None or len(sizes) != head[0]:
+                raise ValueError("the input changed between two reads; pass a table")
+            rare = (np.cumsum(sizes) - sizes, sizes, ids)
+            codes = _expand(head[3])
             for _ in range(times):
-                done.append((current[0], codes, own))
-                words += len(codes)
-                if words > _CHUNK:
-                    yield _gather(done, frequent)
-                    done, words = [], 0
+                for made in _gather(frequent, head[1], np.array(head[2], np.int64), codes, rare):
+                    yield finisher(made) if finisher else made
 
         for batch in batches:
-            for doc, tag, number, payload in zip(*[c.to_pylist() for c in batch.columns]):
-                if (doc, tag) != current:
-                    yield from close()
-                    current, times, own = (doc, tag), 0, []
-                if number < 0:
-                    times += 1
-                    if times == 1:
-                        planes = np.frombuffer(expand(payload), np.uint8).reshape(4, -1)
-                        codes = np.ascontiguousarray(planes.T).view(np.int32).ravel().astype(np.int64)
-                elif number == len(own):  # a repeated row brings the same words again
-                    own.append(payload)
-        yield from close()
-        if done:
-            yield _gather(done, frequent)
+            for name, bucket, rare, ids, sizes, payload in zip(*[c.to_pylist() for c in batch.columns]):
+                if name != block:
+                    if block is not None:
+                        yield from close()
+                    block, times, head, found, seen = name, 0, None, [], set()
+                if bucket < 0:
+                    times, head = times + 1, (rare, ids, sizes, payload)
+                elif bucket not in seen:  # a repeated block brings the same words again
+                    seen.add(bucket)
+                    values = _expand(payload)
+                    found.append((values[:rare], values[rare:]))
+        if block is not None:
+            yield from close()
 
     return run
 
 
+def _encoded(docs: DataFrame, path: str, key: str, text: str, schema: str, finish=None) -> DataFrame:
+    spark = docs.sparkSession
+    rows = wt.keyed(docs, key, text)
+    words = wt.frequent_words(rows)
+    listed = spark.sparkContext.broadcast(words)
+    ids = spark.sparkContext.broadcast(_encode_frequent(spark, words, path) if words else (
+        np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("s")).first()["s"]
+    buckets = max(16, size // BUCKET_BYTES)
+    rare = rows.mapInArrow(_rare_words(listed, buckets), "block long, bucket int, words binary").repartition(
+        "bucket").sortWithinPartitions("bucket").mapInArrow(_rare_ids(path), _PART)
+    parts = rows.mapInArrow(_documents(listed, buckets), _PART).unionByName(rare)
+    together = parts.repartition("block").sortWithinPartitions("block", "bucket")
+    return together.mapInArrow(_in_order(ids, finish), schema)
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): token ids of every row's whole text, as the tokenizer
     file at `path` gives them without added special tokens. The file must lie
@@ -171,17 +267,21 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
     A null text is empty and has no ids. Rows that repeat id and text give one
     row each. Other columns are ignored. An empty table gives an empty result.
+    The input is read more than once and must be the same each time, as a
+    table is; if it is not, an error says so.
     """
-    spark = docs.sparkSession
-    rows = wt.keyed(docs, key, text)
-    words = wt.frequent_words(rows)
-    listed = spark.sparkContext.broadcast(words)
-    ids = spark.sparkContext.broadcast(_encode_frequent(spark, words, path) if words else (
-        np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)))
-    rare = rows.mapInArrow(wt.rare_rows(listed), wt.RARE).repartition("word").sortWithinPartitions("word")
-    pieces = rows.mapInArrow(_documents(listed), _PIECE).unionByName(rare.mapInArrow(_rare_ids(path), _PIECE))
-    together = pieces.repartition("doc_id", "tag").sortWithinPartitions("doc_id", "tag", "number")
-    return together.mapInArrow(_in_order(ids), "doc_id long, ids array<int>")
+    return _encoded(docs, path, key, text, "doc_id long, ids array<int>")
+
+
+def encode_decode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, text): `decode` of `encode`, with both in one Arrow step."""
+    shared = docs.sparkSession.sparkContext.broadcast(piece_table(path))
+
+    def finish():
+        pieces = pa.array(shared.value, pa.string())
+        return lambda batch: _decoded(batch, "doc_id", "ids", pieces)
+
+    return _encoded(docs, path, key, text, "doc_id long, ids array<int>, text string", finish)
 
 
 def piece_table(path: str) -> list[str | None]:
@@ -193,26 +293,32 @@ def piece_table(path: str) -> list[str | None]:
     return [pieces.get(i) for i in range(max(pieces, default=-1) + 1)]
 
 
+def _decoded(batch: pa.RecordBatch, key: str, ids: str, pieces: pa.Array) -> pa.RecordBatch:
+    """The join of ids to pieces: positions into the piece table."""
+    lists = batch.column(ids)
+    flat = lists.flatten()
+    known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(pieces))), False)
+    found = pieces.take(pc.if_else(known, flat, None))
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    if found.null_count:
+        kept = np.concatenate([[0], np.cumsum(found.is_valid().to_numpy(zero_copy_only=False))])
+        offsets, found = kept[offsets], found.drop_null()
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found), " ")
+    return pa.RecordBatch.from_arrays([batch.column(key), lists, texts], names=[key, ids, "text"])
+
+
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, ids, text): the pieces of the ids, joined by one space, as for a
-    tokenizer without a decoder. Ids without a piece are left out; null ids are
-    no ids. The piece table is as long as the vocabulary, and is broadcast."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(piece_table(path))
+    tokenizer without a decoder. Ids without a piece are left out; null ids
+    give an empty text. The piece table is as long as the vocabulary, and is
+    broadcast."""
+    shared = encoded.sparkSession.sparkContext.broadcast(piece_table(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(shared.value, pa.string())
         for batch in batches:
-            lists = batch.column(ids).fill_null([]) if batch.column(ids).null_count else batch.column(ids)
-            flat = lists.flatten()
-            known = pc.fill_null(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(pieces))), False)
-            found = pieces.take(pc.if_else(known, flat, None))
-            offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-            if found.null_count:
-                kept = np.concatenate([[0], np.cumsum(found.is_valid().to_numpy(zero_copy_only=False))])
-                offsets, found = kept[offsets], found.drop_null()
-            texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found), " ")
-            yield pa.RecordBatch.from_arrays([batch.column(key), lists, texts], names=[key, ids, "text"])
+            yield _decoded(batch, key, ids, pieces)
 
     kind = dict(encoded.dtypes)[key]
     return encoded.select(key, ids).mapInArrow(run, f"{key} {kind}, {ids} array<int>, text string")

@@ -103,7 +103,7 @@ def digests(encoded: DataFrame) -> DataFrame:
 @query("op9_bpe")
 def op9(spark, folder):
     path = vocabulary("word_bpe_49k.json")
-    return digests(bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path))
+    return digests(bpe.encode_decode(table(spark, folder, "documents"), path))
 
 
 _TOP_K_SQL = """

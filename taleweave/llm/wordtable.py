@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from taleweave.llm.common import whole_text
 
 #: Bounds of the broadcast list, and documents it is drawn from, about.
-FREQUENT_WORDS, FREQUENT_BYTES, SAMPLE_DOCS = 1 << 19, 16 << 20, 40_000
+FREQUENT_WORDS, FREQUENT_BYTES, SAMPLE_DOCS = 1 << 18, 8 << 20, 20_000
 #: ASCII white space; bytes.split() cuts at the same characters.
 WORDS = "[\\x20\\x09-\\x0D]+"
 
