@@ -359,6 +359,8 @@ class Scorer:
     def look(self, name: str, numbers: np.ndarray) -> np.ndarray:
         """Values of a dense array at word numbers; 0 for unknown ones."""
         out = np.zeros(len(numbers), np.int64)
+        if not self.model.tokens:
+            return out
         block = numbers // DENSE
         for b in np.unique(block[numbers >= 0]).tolist():
             if (b, name) not in self.dense:
