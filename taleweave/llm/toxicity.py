@@ -27,17 +27,21 @@ from taleweave.llm.common import whole_text
 
 #: Labelled rows that the chain is fitted on at most, features of a category,
 #: documents that must hold a feature, folds, and the penalty on weights.
-SAMPLE_ROWS, FEATURES, LEAST_DOCS, FOLDS, PENALTY = 20_000, 400, 5, 4, 0.05
+SAMPLE_ROWS, FEATURES, LEAST_DOCS, FOLDS, PENALTY = 16_000, 120, 5, 4, 0.05
 CATEGORIES = ["toxic", "toxic_prose", "toxic_junk"]
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6)
-_WORD = re.compile(r"[^\W\d_]+")
+_PART = re.compile(r"[^\W\d_]+|[^\w\s]{2,}")
+
+
+def part_features(part: str) -> list[str]:
+    """A word, and its beginnings followed by `*`; or a run of signs alone."""
+    return [part, *[f"{part[:n]}*" for n in BEGINNINGS if len(part) >= n and part[0].isalpha()]]
 
 
 def text_features(text: str) -> set[str]:
-    """Words of a text in lower case, and their beginnings followed by `*`."""
-    words = set(_WORD.findall(text.lower()))
-    return words | {f"{w[:n]}*" for w in words for n in BEGINNINGS if len(w) >= n}
+    """Features of the words of a text, in lower case, and of its runs of signs."""
+    return {f for part in set(_PART.findall(text.lower())) for f in part_features(part)}
 
 
 @dataclass
@@ -62,7 +66,7 @@ def _design(hits: np.ndarray, earlier: np.ndarray) -> np.ndarray:
     return np.column_stack([hits, earlier, np.ones(len(hits))])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 25) -> np.ndarray:
+def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 15) -> np.ndarray:
     """Penalised logistic regression by Newton steps; the last column is the
     constant and carries no penalty."""
     w = np.zeros(x.shape[1])
@@ -77,15 +81,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps:
         z = x @ v
         return float(np.logaddexp(0, z).sum() - y @ z + 0.5 * ridge @ (v * v))
 
-    now = loss(w)
+    now, narrow = loss(w), x.astype(np.float32)
     for _ in range(steps):
         p = _sigmoid(x @ w)
         gradient = x.T @ (y - p) - ridge * w
-        move = np.linalg.solve((x.T * np.maximum(p * (1 - p), 1e-9)) @ x + np.diag(ridge), gradient)
+        # the curvature only sets the step, so single precision will do
+        curve = (narrow.T * np.maximum(p * (1 - p), 1e-9).astype(np.float32)) @ narrow
+        move = np.linalg.solve(curve.astype(float) + np.diag(ridge), gradient)
         size = 1.0
         while (then := loss(w + size * move)) > now and size > 1e-6:  # a full step may overshoot
             size /= 2
-        if now - then < 1e-7 * max(1.0, now):
+        if now - then < 1e-6 * max(1.0, now):
             break
         w, now = w + size * move, then
     return w
@@ -140,11 +146,15 @@ def _count_features(categories: list[str]):
 
 
 def choose_features(sample: DataFrame, categories: list[str]) -> dict[str, int]:
-    """The features with the clearest log odds for each category."""
+    """The features with the clearest log odds for each category. Of features
+    with one beginning that the same documents hold, as far as counts tell,
+    the shortest is taken."""
     counted = sample.mapInArrow(
         _count_features(categories), "feature string, n long, " + ", ".join(f"{c} long" for c in categories))
     counted = counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ["n", *categories]]).where(
         F.col("n") >= LEAST_DOCS)
+    alike = [F.left("feature", F.lit(min(BEGINNINGS))).alias("start"), "n", *categories]
+    counted = counted.groupBy(*alike).agg(F.min_by("feature", F.struct(F.length("feature"), "feature")).alias("feature"))
     totals = sample.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in categories]).first()
     chosen: dict[str, int] = {}
     half = F.lit(0.5)
@@ -162,11 +172,10 @@ def _mark(features: dict[str, int], texts) -> np.ndarray:
     hits = np.zeros((len(texts), len(features)), np.float32)
     of_word: dict[str, list[int]] = {}
     for i, text in enumerate(texts):
-        for word in set(_WORD.findall(text.lower())):
+        for word in set(_PART.findall(text.lower())):
             found = of_word.get(word)
             if found is None:
-                names = [word, *[f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n]]
-                found = of_word[word] = [features[n] for n in names if n in features]
+                found = of_word[word] = [features[n] for n in part_features(word) if n in features]
             if found:
                 hits[i, found] = 1
         if len(of_word) > 300_000:  # a memory, not a limit on words
@@ -228,7 +237,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     return scored.withColumns({n: F.col("_chances")[k] for k, n in enumerate(names)}).drop("_chances")
 
 
-def is_toxic(threshold: float = 0.35) -> Column:
+def is_toxic(threshold: float = 0.5) -> Column:
     """The decision on a scored row: its probability of any toxicity."""
     return F.col("p_toxic") >= threshold
 
