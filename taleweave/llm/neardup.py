@@ -9,7 +9,8 @@ probability Jaccard similarity of the weighted sets.
 
 Equal texts are one node. Nodes that share a band are candidates: all nodes of a
 bucket against its least one first, and, where a bucket still holds several
-components, nodes of different components against each other in small chunks.
+components, nodes of different components against each other in a small
+bucket, and against further centres in a large one.
 Candidates are verified on their whole texts, and the links give the classes.
 """
 
@@ -30,9 +31,10 @@ from taleweave.llm.kneser_ney import hash_words, mix
 #: Words of a shingle, least similarity, bands, and places of a band. A pair at
 #: the least similarity shares no band with a chance of (1 - 0.8^5)^26 = 3e-5.
 WORDS, SIMILARITY, BANDS, PLACES = 5, 0.8, 26, 5
-#: Bytes of text sketched at a time, members of a centre verified together, and
-#: nodes of a chunk and chunkings of a bucket in the second round.
-CHUNK_BYTES, TOGETHER, CHUNK_NODES, CHUNKINGS = 2 << 20, 64, 8, 3
+#: Bytes of text sketched at a time, members of a centre verified together,
+#: and, in the second round, nodes of a bucket that are compared pair by pair
+#: and centres of a larger one.
+CHUNK_BYTES, TOGETHER, SMALL, CENTRES = 2 << 20, 64, 8, 2
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -177,16 +179,21 @@ def link_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     placed = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = placed.groupBy("bucket").agg(
         F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")).where("a <> b")
-    chunks = F.ceil(F.col("n") / F.lit(CHUNK_NODES))
-    salts = F.sequence(F.lit(1), F.when(chunks > 1, F.lit(CHUNKINGS)).otherwise(F.lit(1)))
-    dealt = placed.join(mixed.select("bucket", chunks.alias("chunks"), salts.alias("salts")), "bucket").withColumn(
-        "salt", F.explode("salts"))
-    dealt = dealt.select("bucket", "salt", F.pmod(F.xxhash64("node", "salt"), F.col("chunks")).alias("chunk"), "node", "component")
-    # lists of about CHUNK_NODES nodes
-    lists = dealt.groupBy("bucket", "salt", "chunk").agg(F.collect_list(F.struct("node", "component")).alias("l")).where(F.size("l") > 1)
-    apart = lists.select(F.explode(F.flatten(F.transform("l", lambda a: F.transform(
+    dealt = placed.join(mixed.select("bucket", "n"), "bucket")
+    held = F.struct("node", "component")
+    # small buckets: every pair of nodes of different components
+    lists = dealt.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.collect_list(held).alias("l"))
+    every = lists.select(F.explode(F.flatten(F.transform("l", lambda a: F.transform(
         F.filter("l", lambda b: (a["node"] < b["node"]) & (a["component"] != b["component"])),
-        lambda b: F.struct(a["node"].alias("centre"), b["node"].alias("node")))))).alias("p")).select("p.*").distinct()
+        lambda b: F.struct(a["node"].alias("a"), b["node"].alias("b")))))).alias("p")).select("p.*")
+    # large ones: all nodes against centres drawn by digest
+    large = dealt.where(F.col("n") > SMALL)
+    drawn = large.groupBy("bucket").agg(F.array(*[
+        F.min_by(held, F.xxhash64("node", F.lit(k))) for k in range(CENTRES)]).alias("centres"))
+    others = F.filter("centres", lambda c: c["component"] != F.col("component"))
+    stars = large.join(drawn, "bucket").select("node", F.explode(others).alias("c")).select(
+        F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
+    apart = every.unionByName(stars).select(F.col("a").alias("centre"), F.col("b").alias("node")).distinct()
     more = apart.join(pairs, ["centre", "node"], "left_anti")
     links = links.unionByName(settled(verified(more, texts, least), "more-links"))
     return components(links)
