@@ -63,7 +63,7 @@ def to_int(c) -> Column:
 def number_after(c, labels: list[str]) -> Column:
     """Whole number that follows the first label found: `level is 7`, `hp=42`."""
     hits = [
-        F.nullif(F.regexp_extract(col(c), rf"(?iU)\b{label}\b\s*(?:is|=|:)?\s*(\d+)", 1), F.lit(""))
+        F.nullif(F.regexp_extract(col(c), rf"(?iU)\b{label}\b\s*(?:is\b|=|:)?\s*(\d+)", 1), F.lit(""))
         for label in labels
     ]
     return to_int(F.coalesce(*hits))
@@ -97,7 +97,7 @@ def text_after(c, labels: list[str], stops: list[str] | None = None) -> Column:
     hits = [
         F.nullif(F.regexp_extract(
             col(c),
-            rf"(?iU)\b{label}\b\s*(?:is|=|:)?\s*([A-Za-z][A-Za-z' -]{{1,40}}?)(?=\s+(?:{ends})\b|$)", 1),
+            rf"(?iU)\b{label}\b\s*(?:is\b|=|:)?\s*([A-Za-z][A-Za-z' -]{{1,40}}?)(?=\s+(?:{ends})\b|$)", 1),
             F.lit(""))
         for label in labels
     ]

@@ -166,7 +166,8 @@ def infer_fuzzy(docs: DataFrame, terms: DataFrame, existing: DataFrame, class_of
     every = terms.unionByName(fixed_terms(docs.sparkSession)).where(F.col("field").isin(list(cutoffs)))
     limits = every.withColumn("cutoff", R.lookup("field", cutoffs))
     found = matching.fuzzy_match(docs, limits, key, text).select(key, "field", "value")
-    fresh = found.join(existing.select(key, "field"), [key, "field"], "left_anti")
+    # few short rows, read for the classes and for the result
+    fresh = R.settle(found.join(existing.select(key, "field"), [key, "field"], "left_anti"))
     known = fresh.unionByName(existing.select(key, "field", "value"))
     classes = infer_class(known, class_of_subclass, key).join(known.select(key, "field"), [key, "field"], "left_anti")
     return fresh.unionByName(classes)

@@ -7,6 +7,7 @@ without overlaps, so learning stays inside the JVM.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -180,6 +181,7 @@ def bpe_encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str
 def bpe_decode(ids, vocab: DataFrame) -> Column:
     """Text of an array of ids: tokens are hex of bytes, so join and unhex."""
     rows = vocab.select("id", "token").orderBy("id").limit(MAX_TOKEN_ID + 2).collect()
-    names = F.array(*[F.lit("" if r["token"] == UNKNOWN else r["token"]) for r in rows])
+    # one literal that the optimiser folds, instead of one node per token
+    names = F.from_json(F.lit(json.dumps(["" if r["token"] == UNKNOWN else r["token"] for r in rows])), "array<string>")
     joined = F.array_join(F.transform(F.col(ids), lambda i: F.get(names, i)), "")
     return F.decode(F.unhex(joined), "UTF-8")

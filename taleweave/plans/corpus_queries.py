@@ -373,7 +373,7 @@ runs AS (
 """
 
 
-@query("ngram_loss", f"""
+SQL_LOSSES = f"""
 WITH {SQL_GRAMS}
 f AS (SELECT unnest([0.1, 0.25, 0.5, 1.0]::DOUBLE[]) AS fraction),
 model AS (
@@ -386,7 +386,10 @@ SELECT h.ngram, CAST(sum(h) AS BIGINT) AS tokens, f.fraction,
 FROM held h CROSS JOIN f CROSS JOIN v
 LEFT JOIN model m ON m.fraction = f.fraction AND m.ngram = h.ngram AND m.gram = h.gram
 LEFT JOIN contexts x ON x.fraction = f.fraction AND x.ngram = h.ngram AND x.ctx = substr(h.gram, 1, h.ngram - 1)
-GROUP BY h.ngram, f.fraction""")
+GROUP BY h.ngram, f.fraction"""
+
+
+@query("ngram_loss", SQL_LOSSES)
 def ngram_loss(spark, sf):
     losses = N.ngram_loss(documents(spark, sf), "doc_id", [1, 2, 3], [f for _, f in X.FRACTIONS])
     return losses.withColumn("loss", F.round("loss", 6))
@@ -425,12 +428,14 @@ def bpe_merges(spark, sf):
     return subword.learn_bpe(documents(spark, sf), 160)
 
 
-@query("bpe_encode")
+@query("bpe_encode", """
+SELECT doc_id, md5(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END) AS digest, true AS merged FROM documents""")
 def bpe_encode(spark, sf):
+    """Encode every document and decode it again; merges make it shorter."""
     docs = documents(spark, sf)
-    encoded = subword.bpe_encode(docs, subword.learn_bpe(docs, 160))
-    return encoded.select("doc_id", F.size("ids").alias("tokens"),
-                          F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("id_sum"))
+    vocab = subword.learn_bpe(docs, 160)
+    decoded = subword.bpe_encode(docs, vocab).withColumn("text", subword.bpe_decode("ids", vocab))
+    return decoded.select("doc_id", F.md5("text").alias("digest"), (F.size("ids") <= F.octet_length("text")).alias("merged"))
 
 
 # --- evaluation --------------------------------------------------------------

@@ -15,6 +15,7 @@ from taleweave.operators import corpus as C
 from taleweave.operators import experiments as P
 from taleweave.operators import ngram, ordering
 from taleweave.operators import relational as R
+from taleweave.plans import corpus_queries
 from taleweave.plans.base import documents, query, table
 from taleweave.session import working_dir
 from taleweave.sources import readers, writers
@@ -149,7 +150,12 @@ def frontier(spark, sf):
     return R.rounded(P.frontier(results, "cost", "loss", "event_id"), {"loss": 9, "best_so_far": 9})
 
 
-@query("ngram_frontier", None)
+@query("ngram_frontier", f"""
+WITH losses AS (SELECT * FROM ({corpus_queries.SQL_LOSSES}) WHERE ngram <= 2),
+t AS (SELECT CAST(floor(sum(length(text)) * 0.9::DOUBLE) AS BIGINT) AS train FROM documents),
+c AS (SELECT losses.*, CAST(ngram * floor(train * fraction) AS BIGINT) AS cost FROM losses, t),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cost ORDER BY loss, ngram) AS rn FROM c) WHERE rn = 1)
+SELECT ngram, tokens, fraction, loss, cost, min(loss) OVER (ORDER BY cost) AS best_so_far FROM b""")
 def ngram_frontier(spark, sf):
     """The n-gram loss grid as a frontier: cost is order x training tokens."""
     docs = documents(spark, sf)
@@ -157,7 +163,7 @@ def ngram_frontier(spark, sf):
     losses = ngram.ngram_loss(docs, "doc_id", [1, 2], [f for _, f in X.FRACTIONS])
     train = F.lit(math.floor(total * 0.9))
     costed = losses.withColumn("cost", F.col("ngram") * F.floor(train * F.col("fraction")))
-    return P.frontier(costed, "cost", "loss", "ngram")
+    return R.rounded(P.frontier(costed, "cost", "loss", "ngram"), {"loss": 6, "best_so_far": 6})
 
 
 # --- elapsed time and staleness ----------------------------------------------
