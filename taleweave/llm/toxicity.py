@@ -238,8 +238,9 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
 
 
 def is_toxic(threshold: float = 0.5) -> Column:
-    """The decision on a scored row: its probability of any toxicity."""
-    return F.col("p_toxic") >= threshold
+    """The decision on a scored row: its probability of any toxicity. Nothing
+    is toxic to a chain that has seen no labels (it says one half)."""
+    return F.col("p_toxic") > threshold
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
