@@ -29,7 +29,7 @@ from taleweave.llm.common import slices
 
 #: Words of a block, bytes of text for each bucket of words, words put in order
 #: at a time, and words encoded at a time.
-BLOCK_WORDS, BUCKET_BYTES, _CHUNK, _BATCH = 600_000, 64 << 20, 300_000, 2048
+BLOCK_WORDS, BUCKET_BYTES, _CHUNK, _BATCH = 250_000, 64 << 20, 120_000, 2048
 _PART = "block long, bucket int, rare int, ids array<bigint>, sizes array<int>, payload binary"
 
 

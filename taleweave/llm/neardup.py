@@ -34,7 +34,7 @@ WORDS, SIMILARITY, BANDS, PLACES = 5, 0.8, 26, 5
 #: Bytes of text sketched at a time, members of a centre verified together,
 #: and, in the second round, nodes of a bucket that are compared pair by pair
 #: and centres of a larger one.
-CHUNK_BYTES, TOGETHER, SMALL, CENTRES = 2 << 20, 64, 8, 2
+CHUNK_BYTES, TOGETHER, SMALL, CENTRES = 1 << 20, 64, 8, 2
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 

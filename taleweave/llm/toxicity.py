@@ -178,7 +178,7 @@ def _mark(features: dict[str, int], texts) -> np.ndarray:
                 found = of_word[word] = [features[n] for n in part_features(word) if n in features]
             if found:
                 hits[i, found] = 1
-        if len(of_word) > 300_000:  # a memory, not a limit on words
+        if len(of_word) > 60_000:  # a memory, not a limit on words
             of_word.clear()
     return hits
 
