@@ -9,7 +9,6 @@ from taleweave.functions import lexicon as X
 from taleweave.functions.draws import pick, shuffle_key, uniform
 from taleweave.functions.text import col, fill
 from taleweave.operators import ordering
-from taleweave.operators import relational as R
 
 
 def bounded_history(turns: DataFrame, cap: int = 24, key: str = "conv_id", order: str = "turn") -> DataFrame:

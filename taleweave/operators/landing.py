@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from taleweave.functions import lexicon as X
 from taleweave.functions import text as T
 from taleweave.operators import extract, matching
-from taleweave.operators import relational as R
 
 CANONICAL = X.TEXT_FIELDS + X.NUMBER_FIELDS + ["story"]
 MATCHED = ["alignment", "emotional_state", "race", "primary_class", "background", "subclass", "weapon"]

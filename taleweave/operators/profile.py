@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from taleweave.functions import lexicon as X
 from taleweave.functions.draws import normal, pick, uniform
