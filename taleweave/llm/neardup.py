@@ -9,9 +9,10 @@ probability Jaccard similarity of the weighted sets.
 
 Equal texts are one node. Nodes that share a band are candidates: all nodes of a
 bucket against its least one first, and, where a bucket still holds several
-components, nodes of different components against each other in a small
-bucket, and against further centres in a large one.
-Candidates are verified on their whole texts, and the links give the classes.
+components, all nodes of different components against each other: pair by pair
+in a small bucket, by blocks of nodes in a large one.
+Candidates are verified on their whole texts, and the links give the classes,
+so every two similar texts that share a band are in one class.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ from taleweave.llm.kneser_ney import hash_words, mix
 #: the least similarity shares no band with a chance of (1 - 0.8^5)^26 = 3e-5.
 WORDS, SIMILARITY, BANDS, PLACES = 5, 0.8, 26, 5
 #: Bytes of text sketched at a time, members of a centre verified together,
-#: and, in the second round, nodes of a bucket that are compared pair by pair
-#: and centres of a larger one.
-CHUNK_BYTES, TOGETHER, SMALL, CENTRES = 1 << 20, 64, 8, 2
+#: and, in the second round, nodes of a bucket that are listed pair by pair.
+CHUNK_BYTES, TOGETHER, SMALL = 1 << 20, 64, 8
+#: Nodes and bytes of text of a block of a larger bucket, about, and shingles
+#: of a matrix product. They change no result.
+BLOCK_NODES, BLOCK_BYTES, SLICE = 256, 2 << 20, 2048
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -163,6 +166,138 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
     return rows.select("centre", "chunk", "node", "text").mapInArrow(_verify(least), "u string, v string")
 
 
+def most_similar(a: np.ndarray, b: np.ndarray, a_common: np.ndarray, b_common: np.ndarray) -> np.ndarray:
+    """Upper bounds of `similarity` of texts a (rows) and b (columns), from their
+    whole weights and the weights of their common shingles in a and in b.
+
+    A term 1 / (A / a_e + rest of B / b_e), at most, is concave and grows in
+    proportion with (a_e, b_e), so the sum of the terms is at most the term of
+    the sums. It is exact where all weights are equal.
+    """
+    a_all, b_all = a[:, None], b[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        one = 1 / (a_all / a_common + (b_all - b_common) / b_common)
+        two = 1 / ((a_all - a_common) / a_common + b_all / b_common)
+    return np.where((a_common > 0) & (b_common > 0), np.minimum(one, two), 0.0)
+
+
+class _Block:
+    """Nodes that a worker compares: side, component, and weighted shingles."""
+
+    def __init__(self):
+        self.nodes, self.sides, self.names, self.values, self.weights = [], [], [], [], []
+
+    def add(self, part: pa.RecordBatch) -> None:
+        rows, values, weights = shingles(part.column("text"))
+        cuts = np.searchsorted(rows, np.arange(len(part) + 1))
+        for i in range(len(part)):
+            self.values.append(values[cuts[i]:cuts[i + 1]].copy())
+            self.weights.append(weights[cuts[i]:cuts[i + 1]].copy())
+        self.nodes += part.column("node").to_pylist()
+        self.sides += part.column("side").to_pylist()
+        self.names += part.column("component").to_pylist()
+
+    def bounds(self, ids, some: np.ndarray, others: np.ndarray, wide: int, totals: np.ndarray) -> np.ndarray:
+        """Upper bounds of the similarities of two runs of nodes."""
+        a_common, b_common = np.zeros((2, len(some), len(others)))
+        for first in range(0, wide, SLICE):
+            def dense(run):
+                out = np.zeros((len(run), min(SLICE, wide - first)))
+                for at, i in enumerate(run):
+                    lo, hi = np.searchsorted(ids[i][0], [first, first + SLICE])
+                    out[at, ids[i][0][lo:hi] - first] = ids[i][1][lo:hi]
+                return out
+            a, b = dense(some), dense(others)
+            a_common += a @ (b > 0).T
+            b_common += (a > 0).astype(float) @ b.T
+        return most_similar(totals[some], totals[others], a_common, b_common)
+
+    def links(self, least: float) -> list[tuple[str, str]]:
+        """Similar pairs that join all components which similar pairs join: of
+        one side where there is one, else of different sides."""
+        parent = {name: name for name in self.names}
+
+        def root(name):
+            while parent[name] != name:
+                parent[name] = name = parent[parent[name]]
+            return name
+
+        if len(parent) < 2:
+            return []
+        # shingles of several nodes get numbers; the others count in the totals alone
+        every, often = np.unique(np.concatenate(self.values), return_counts=True)
+        shared = every[often > 1]
+        ids = []
+        for values, weights in zip(self.values, self.weights):
+            at = np.searchsorted(shared, values)
+            known = np.isin(values, shared, assume_unique=True)
+            ids.append((at[known], weights[known]))
+        totals = np.array([w.sum() for w in self.weights])
+        sides = np.array(self.sides)
+        one = sides.min() == sides.max()
+        left = np.arange(len(sides)) if one else np.flatnonzero(sides == sides.min())
+        right = left if one else np.flatnonzero(sides == sides.max())
+        found = []
+        for i in range(0, len(left), BLOCK_NODES):
+            for j in range(i if one else 0, len(right), BLOCK_NODES):
+                some, others = left[i:i + BLOCK_NODES], right[j:j + BLOCK_NODES]
+                near = self.bounds(ids, some, others, len(shared), totals) >= least - 1e-9
+                for x, y in zip(*(side.tolist() for side in np.nonzero(near))):
+                    u, v = int(some[x]), int(others[y])
+                    a, b = root(self.names[u]), root(self.names[v])
+                    if a != b and similarity((self.values[u], self.weights[u]), (self.values[v], self.weights[v])) >= least:
+                        parent[a] = b
+                        found.append((self.nodes[u], self.nodes[v]))
+        return found
+
+
+def _compare(least: float):
+    """Arrow step over rows sorted by (bucket, i, j): compares the nodes of
+    blocks i and j of a bucket, and keeps links between components."""
+    def out(block):
+        links = block.links(least)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([u for u, _ in links], pa.string()), pa.array([v for _, v in links], pa.string())], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, block = None, None
+        for batch in batches:
+            keys = list(zip(*[batch.column(n).to_pylist() for n in ("bucket", "i", "j")]))
+            lengths = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).tolist()
+            edges = [0, *[k for k in range(1, len(keys)) if keys[k] != keys[k - 1]], len(keys)]
+            for first, last in zip(edges, edges[1:]):
+                if first == last:
+                    continue
+                if keys[first] != group:
+                    if block is not None:
+                        yield out(block)
+                    group, block = keys[first], _Block()
+                for start, stop in slices(lengths[first:last], CHUNK_BYTES):
+                    block.add(batch.slice(first + start, stop - start))
+        if block is not None:
+            yield out(block)
+
+    return run
+
+
+def block_links(dealt: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Links (u, v) that join all components of a bucket which similar texts
+    join, from rows (bucket, node, component, blocks).
+
+    A bucket's nodes are dealt to blocks, and every two blocks meet in one
+    task: a bucket of n nodes makes n rows for each of its blocks, not for
+    each of its nodes.
+    """
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    met = dealt.withColumn("own", own).select(
+        "bucket", "node", "component", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
+                     "component", F.col("own").alias("side"))
+    rows = met.join(texts, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return rows.select("bucket", "i", "j", "node", "component", "side", "text").mapInArrow(
+        _compare(least), "u string, v string")
+
+
 def link_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(node, component) of the distinct texts that have a similar one, from rows (node, text)."""
     sketched = settled(docs.mapInArrow(_sketch, "node string, bands array<long>").dropDuplicates(["node"]), "sketch")
@@ -176,26 +311,25 @@ def link_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     linked = settled(components(links), "linked")
 
     # second round: buckets that still hold several components
-    placed = rows.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = texts.select("node", F.octet_length("text").cast("long").alias("bytes"))
+    placed = rows.join(linked, "node", "left").join(sizes, "node").withColumn("component", F.coalesce("component", "node"))
+    blocks = F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_NODES), F.sum("bytes") / F.lit(BLOCK_BYTES))).cast("int")
     mixed = placed.groupBy("bucket").agg(
-        F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n")).where("a <> b")
-    dealt = placed.join(mixed.select("bucket", "n"), "bucket")
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"),
+        blocks.alias("blocks")).where("a <> b")
+    dealt = placed.join(mixed.select("bucket", "n", "blocks"), "bucket")
     held = F.struct("node", "component")
     # small buckets: every pair of nodes of different components
     lists = dealt.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.collect_list(held).alias("l"))
     every = lists.select(F.explode(F.flatten(F.transform("l", lambda a: F.transform(
         F.filter("l", lambda b: (a["node"] < b["node"]) & (a["component"] != b["component"])),
         lambda b: F.struct(a["node"].alias("a"), b["node"].alias("b")))))).alias("p")).select("p.*")
-    # large ones: all nodes against centres drawn by digest
-    large = dealt.where(F.col("n") > SMALL)
-    drawn = large.groupBy("bucket").agg(F.array(*[
-        F.min_by(held, F.xxhash64("node", F.lit(k))) for k in range(CENTRES)]).alias("centres"))
-    others = F.filter("centres", lambda c: c["component"] != F.col("component"))
-    stars = large.join(drawn, "bucket").select("node", F.explode(others).alias("c")).select(
-        F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
-    apart = every.unionByName(stars).select(F.col("a").alias("centre"), F.col("b").alias("node")).distinct()
+    apart = every.select(F.col("a").alias("centre"), F.col("b").alias("node")).distinct()
     more = apart.join(pairs, ["centre", "node"], "left_anti")
     links = links.unionByName(settled(verified(more, texts, least), "more-links"))
+    # large ones: every two blocks of nodes
+    large = dealt.where(F.col("n") > SMALL).select("bucket", "node", "component", "blocks")
+    links = links.unionByName(settled(block_links(large, texts, least), "block-links"))
     return components(links)
 
 

@@ -212,6 +212,45 @@ def test_a_large_group_of_near_copies(make):
     assert sum(r["class_id"] == 0 for r in got) == 300 and sum(r["stays"] for r in got) == 41
 
 
+def test_a_star_against_brute_force(make):
+    """One text and 600 copies, each with its own edits: similar to the original alone."""
+    rng = random.Random(8)
+    first = prose(rng, 400)
+    texts = [first, *copies(rng, first, 600, 7)]
+    rng.shuffle(texts)
+    rows, values, weights = neardup.shingles(pa.array(texts))
+    sets = [(values[rows == i], weights[rows == i]) for i in range(len(texts))]
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if root(i) != root(j) and neardup.similarity(sets[i], sets[j]) >= 0.8:
+                parent[root(i)] = root(j)
+    want = [root(i) for i in range(len(texts))]
+    assert max(Counter(want).values()) > 550
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(make(list(enumerate(texts)))).collect()}
+    least = {}
+    for i, w in enumerate(want):
+        least.setdefault(w, i)
+    assert got == {i: least[w] for i, w in enumerate(want)}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=40), st.lists(st.integers(0, 3), min_size=1, max_size=40))
+def test_bound_of_similarity(a, b):
+    rows, values, weights = neardup.shingles(pa.array([" ".join(map(str, a)), " ".join(map(str, b))]))
+    (x, w), (y, v) = [(values[rows == i], weights[rows == i]) for i in (0, 1)]
+    _, in_a, in_b = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    bound = neardup.most_similar(
+        np.array([w.sum()]), np.array([v.sum()]), np.array([[w[in_a].sum()]]), np.array([[v[in_b].sum()]]))
+    assert neardup.similarity((x, w), (y, v)) <= bound[0, 0] + 1e-9
+
+
 def test_classes_of_odd_tables(make):
     rows = [(1, None), (2, ""), (3, " "), (None, "a b c d e f g"), (4, "a b c d e f g"), (None, "lonely null"), (5, "z " * 30_000)]
     check_classes(make(rows), rows)
