@@ -145,14 +145,20 @@ def prefix_fractions(spark, sf):
     train = math.floor(ordering.total_weight(docs, length) * 0.9)
     fractions = [f for _, f in X.FRACTIONS]
     ends = C.prefix_lengths(train, fractions)
-    narrow = docs.select("doc_id", length.alias("n"))
-    pieces = ordering.pieces(narrow, "doc_id", F.col("n"), ordering.find_cuts(narrow, "doc_id", F.col("n"), ends))
+    # rows of equal id and length stand as one with their count: a cut may fall between them
+    folder = working_dir(spark, "lengths")
+    docs.groupBy("doc_id", length.alias("n")).agg(F.count("*").alias("copies")).write.parquet(folder)
+    narrow = spark.read.parquet(folder)
+    weight = F.col("n") * F.col("copies")
+    pieces = ordering.pieces(narrow, "doc_id", weight, ordering.find_cuts(narrow, "doc_id", weight, ends))
     size = F.col("piece_to") - F.col("piece_from")
     # band i counts toward every fraction from i on
     bands = pieces.where(F.col("piece") < len(ends)).withColumn("fraction", F.explode(F.slice(
         F.array(*[F.lit(f) for f in fractions]), F.col("piece") + 1, F.lit(len(ends)))))
-    return bands.groupBy("fraction", "doc_id").agg(F.sum(size).alias("n")).groupBy("fraction").agg(
-        F.count("*").alias("documents"), F.sum("n").alias("tokens"), F.max("doc_id").alias("last_doc"))
+    # the part of equal rows before the cut begins so many of them
+    begun = F.expr("(taken + n - 1) div n")
+    return bands.groupBy("fraction", "doc_id", "n").agg(F.sum(size).alias("taken")).groupBy("fraction").agg(
+        F.sum(begun).alias("documents"), F.sum("taken").alias("tokens"), F.max("doc_id").alias("last_doc"))
 
 
 @query("token_dataset", f"""

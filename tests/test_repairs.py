@@ -1,5 +1,7 @@
 """Rows that once got lost: null keys, ties, odd responses, empty versions, failing prompts."""
 
+import math
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from taleweave.operators import landing as L
 from taleweave.operators import matching as M
 from taleweave.operators import ordering as O
 from taleweave.operators import registry as G
+from taleweave.plans import corpus_queries
 from taleweave.sources import readers, writers
 
 
@@ -116,3 +119,16 @@ def test_blocks_cross_documents(spark):
     assert len(drawn) == 50 and all(
         (r["x"], r["y"]) == (flat[r["start"]:r["start"] + 4], flat[r["start"] + 1:r["start"] + 5]) for r in drawn)
     assert max(r["start"] for r in drawn) <= len(flat) - 5
+
+
+def test_prefix_fractions_with_equal_ids_and_lengths(spark, tmp_path):
+    rows = [(None, "abcde")] * 3 + [(None, "vwxyz")] * 4 + [(7, "pqrst")] * 8 + [(8, "x")]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r["fraction"]: tuple(r)[1:] for r in corpus_queries.prefix_fractions(spark, folder).collect()}
+    train, sizes, want = math.floor(76 * 0.9), [5] * 15 + [1], {}
+    for f in (0.1, 0.25, 0.5, 1.0):
+        end = max(1, math.floor(train * f))
+        documents = sum(sum(sizes[:i]) < end for i in range(len(sizes)))
+        want[f] = (documents, end, 7 if documents > 7 else None)
+    assert got == want
