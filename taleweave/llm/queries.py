@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taleweave.llm import bpe, kneser_ney, neardup, quality, tokencount, toxicity
+from taleweave.llm import bpe, codebooks, decontaminate, kneser_ney, manifest, neardup, quality, tokencount, toxicity
+from taleweave.llm.codebooks_sql import codes_sql
 from taleweave.llm.common import settled, whole_text
 from taleweave.llm.fingerprints import fingerprint_edits
+from taleweave.llm.manifest_sql import manifest_sql
 from taleweave.llm.mixing import count_tokens, mix_sources
 from taleweave.llm.sharding import assign_shards, text_bytes, text_group
 from taleweave.llm.topk import top_k
@@ -126,3 +128,53 @@ QUALIFY rank <= 5"""
 def op10(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, 5)
+
+
+_HITS_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents),
+b AS (
+    SELECT item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark),
+starts AS (
+    SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS s FROM b WHERE len(words) > 0),
+windows AS (
+    SELECT DISTINCT item_id, array_to_string(words[s:s + 9], ' ') AS w, least(len(words), 10) AS n FROM starts),
+places AS (SELECT r, words, unnest(generate_series(1, len(words))) AS s FROM d WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+runs AS (
+    SELECT r, s, n, array_to_string(words[s:s + n - 1], ' ') AS w FROM places, sizes WHERE s + n - 1 <= len(words)),
+found AS (SELECT r, s, runs.n, item_id FROM runs JOIN windows USING (w)),
+words_hit AS (
+    SELECT r, count(DISTINCT pos) AS n_hit
+    FROM (SELECT DISTINCT r, unnest(generate_series(s, s + n - 1)) AS pos FROM found) GROUP BY r),
+items AS (
+    SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS name FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words_hit USING (r) LEFT JOIN items USING (r)"""
+
+
+@query("op11_decontaminate", _HITS_SQL)
+def op11(spark, folder):
+    docs, benchmark = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = decontaminate.contaminated(docs, benchmark, keep=["doc_id"])
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op12_orchard_codes", codes_sql())
+def op12(spark, folder):
+    return codebooks.encode(table(spark, folder, "embeddings"))
+
+
+@query("op13_manifest", manifest_sql())
+def op13(spark, folder):
+    return manifest.manifest(manifest.document_leaves(table(spark, folder, "documents")))
