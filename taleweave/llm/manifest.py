@@ -4,7 +4,7 @@ Rows become leaves; per group they are numbered in order, and runs of WIDTH
 digests become their parent until one is left, the group's subroot. Subroots
 are the leaves of one more tree, up to the root.
 
-The tree is cut into aligned blocks of WIDTH**DEPTH nodes. A block is one row
+The tree is cut into aligned blocks of WIDTH**depth nodes. A block is one row
 and one task's work: its inner nodes are built once, and each tampered leaf is
 a version that copies its ancestors and shares all other nodes. Roots of blocks
 are the leaves of the next blocks up, until each group has one node. On the way
@@ -120,64 +120,73 @@ def numbered(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     return joined.withColumn("n", F.expr("_at - _first + _before")).drop("_part", "_at", "_g", "_p", "_first", "_before")
 
 
-def _blocks(nodes: DataFrame, values: Sequence[str]) -> DataFrame:
-    """(grp, block, single, items): up to WIDTH**DEPTH nodes in order; `single`
+def _blocks(nodes: DataFrame, values: Sequence[str], depth: int) -> DataFrame:
+    """(grp, block, single, items): up to WIDTH**depth nodes in order; `single`
     if the group is this one block, which then ends at its own root."""
-    size = WIDTH ** DEPTH
+    size = WIDTH ** depth
     return nodes.groupBy("grp", F.expr(f"n div {size}").alias("block"), F.expr(f"size <= {size}").alias("single")).agg(
         F.array_sort(F.collect_list(F.struct("n", *values))).alias("items"))
 
 
-def _tree(row: dict) -> PathTree:
-    return PathTree([i["digest"] for i in row["items"]], None if row["single"] else DEPTH)
+def _tree(row: dict, depth: int) -> PathTree:
+    return PathTree([i["digest"] for i in row["items"]], None if row["single"] else depth)
 
 
-def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = batch.select(["single", "items"])
-        roots = [_tree(rows.slice(i, 1).to_pylist()[0]).root for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("grp"), batch.column("block"), batch.column("single"), pa.array(roots, pa.string())],
-            names=["grp", "block", "single", "digest"])
-
-
-def _child_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The steps of every node of a block: its own, then the block's."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            tree = _tree(row)
-            n = len(row["items"])
-            steps = [[{"before": a, "after": b} for a, b in tree.siblings(j)] + row["steps"] for j in range(n)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("grp").take(pa.array([i] * n, pa.int64())), pa.array([r["n"] for r in row["items"]], pa.int64()),
-                 pa.array(steps, pa.list_(pa.struct([("before", pa.string()), ("after", pa.string())])))],
-                names=["grp", "block", "steps"])
-
-
-def _leaf_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Proof and folded root of every leaf of a block."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).select(["single", "items", "steps"]).to_pylist()[0]
-            tree, above = _tree(row), [(s["before"], s["after"]) for s in row["steps"]]
-            items = row["items"]
-            upper = "".join(a + b for a, b in above)
-            proofs, folded = [], []
-            whole = fold(tree.root, above)
-            for at, item in enumerate(items):
-                own = "".join(a + b for a, b in tree.siblings(at))
-                proofs.append(hashlib.sha256((own + upper).encode()).hexdigest())
-                version = tree.changed(at, item["tampered"] or item["digest"])
-                folded.append(whole if version.root == tree.root else fold(version.root, above))
-            given = batch.column("items")[i].values
+def _roots(depth: int):
+    """Arrow step: the root of every block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.select(["single", "items"])
+            roots = [_tree(rows.slice(i, 1).to_pylist()[0], depth).root for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays(
-                [given.field("key"), given.field("digest"), given.field("grp"),
-                 pa.array([whole] * len(items), pa.string()), pa.array(proofs, pa.string()), pa.array(folded, pa.string())],
-                names=["key", "leaf", "grp", "root", "proof_sha256", "folded_root"])
-
-
-def _climb(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+                [batch.column("grp"), batch.column("block"), batch.column("single"), pa.array(roots, pa.string())],
+                names=["grp", "block", "single", "digest"])
+
+    return run
+
+
+def _child_steps(depth: int):
+    """Arrow step: the steps of every node of a block: its own, then the block's."""
+    kind = pa.list_(pa.struct([("before", pa.string()), ("after", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                tree, n = _tree(row, depth), len(row["items"])
+                steps = [[{"before": a, "after": b} for a, b in tree.siblings(j)] + row["steps"] for j in range(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("grp").take(pa.array([i] * n, pa.int64())),
+                     pa.array([r["n"] for r in row["items"]], pa.int64()), pa.array(steps, kind)],
+                    names=["grp", "block", "steps"])
+
+    return run
+
+
+def _leaf_rows(depth: int):
+    """Arrow step: proof and folded root of every leaf of a block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).select(["single", "items", "steps"]).to_pylist()[0]
+                tree, above = _tree(row, depth), [(s["before"], s["after"]) for s in row["steps"]]
+                upper, whole = "".join(a + b for a, b in above), fold(tree.root, above)
+                proofs, folded = [], []
+                for at, item in enumerate(row["items"]):
+                    own = "".join(a + b for a, b in tree.siblings(at))
+                    proofs.append(hashlib.sha256((own + upper).encode()).hexdigest())
+                    version = tree.changed(at, item["tampered"] or item["digest"])
+                    folded.append(fold(version.root, above))
+                given, n = batch.column("items")[i].values, len(proofs)
+                yield pa.RecordBatch.from_arrays(
+                    [given.field("key"), given.field("digest"), given.field("grp"), pa.array([whole] * n, pa.string()),
+                     pa.array(proofs, pa.string()), pa.array(folded, pa.string())],
+                    names=["key", "leaf", "grp", "root", "proof_sha256", "folded_root"])
+
+    return run
+
+
+def _climb(leaves: DataFrame, depth: int) -> tuple[list[DataFrame], DataFrame]:
     """Blocks of each storey, lowest first, and the top (grp, digest) of every
     group. `leaves`: settled blocks of the lowest storey."""
     storeys, blocks = [leaves], leaves
@@ -185,7 +194,7 @@ def _climb(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     tops = []
     while True:
         roots = settled(blocks.select("grp", "block", "single", "items").mapInArrow(
-            _roots, f"grp {kind}, block long, single boolean, digest string"), "roots")
+            _roots(depth), f"grp {kind}, block long, single boolean, digest string"), "roots")
         tops.append(roots.where("single").select("grp", "digest"))
         more = roots.where("not single")
         if more.isEmpty():
@@ -196,11 +205,11 @@ def _climb(leaves: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         # block numbers have no gaps, so they are the numbers of the next storey
         size = more.groupBy(F.col("grp").alias("_g")).agg(F.count(F.lit(1)).alias("size"))
         nodes = more.join(size, F.col("grp").eqNullSafe(F.col("_g"))).withColumn("n", F.col("block"))
-        blocks = settled(_blocks(nodes, ["digest"]), "blocks")
+        blocks = settled(_blocks(nodes, ["digest"], depth), "blocks")
         storeys.append(blocks)
 
 
-def _with_steps(storeys: list[DataFrame], top: DataFrame) -> DataFrame:
+def _with_steps(storeys: list[DataFrame], top: DataFrame, depth: int) -> DataFrame:
     """Blocks of the lowest storey with their steps; `top`: (grp, steps) above
     each group's top."""
     kind = top.schema["grp"].dataType.simpleString()
@@ -217,11 +226,11 @@ def _with_steps(storeys: list[DataFrame], top: DataFrame) -> DataFrame:
             stepped = inner.drop("_g", "_b").unionByName(single)
         if blocks is storeys[0]:
             return stepped
-        lower = settled(stepped.mapInArrow(_child_steps, f"grp {kind}, block long, steps {_STEP}"), "steps")
+        lower = settled(stepped.mapInArrow(_child_steps(depth), f"grp {kind}, block long, steps {_STEP}"), "steps")
     raise AssertionError("a tree has at least one storey")
 
 
-def manifest(rows: DataFrame, key: str = "doc_id", group: str = "lang") -> DataFrame:
+def manifest(rows: DataFrame, key: str = "doc_id", group: str = "lang", depth: int = DEPTH) -> DataFrame:
     """(key, leaf, subroot, root, proof_sha256, folded_root, verified) of rows
     that have `digest`, and `tampered`: the digest after a change, or null.
 
@@ -234,18 +243,18 @@ def manifest(rows: DataFrame, key: str = "doc_id", group: str = "lang") -> DataF
     given = rows.select(F.col(key).alias("key"), F.col(group).alias("grp"), "digest", "tampered")
     key_kind, kind = given.schema["key"].dataType.simpleString(), given.schema["grp"].dataType.simpleString()
     leaves = numbered(given, "grp", ["key", "digest"])
-    storeys, tops = _climb(settled(_blocks(leaves, ["digest", "key", "tampered", "grp"]), "leaves"))
+    storeys, tops = _climb(settled(_blocks(leaves, ["digest", "key", "tampered", "grp"], depth), "leaves"), depth)
     # the groups' tops are the leaves of one more tree
     tops = settled(tops, "tops")
     ordered = numbered(tops.select(F.lit(0).alias("grp"), F.col("grp").alias("name"), "digest"), "grp", ["name"])
-    upper, _ = _climb(settled(_blocks(ordered, ["digest", "name"]), "tops"))
+    upper, _ = _climb(settled(_blocks(ordered, ["digest"], depth), "tops"), depth)
     stepped = _with_steps(upper, upper[0].sparkSession.range(1).select(
-        F.lit(0).alias("grp"), F.array().cast(_STEP).alias("steps")))
-    steps = stepped.mapInArrow(_child_steps, f"grp int, block long, steps {_STEP}")
+        F.lit(0).alias("grp"), F.array().cast(_STEP).alias("steps")), depth)
+    steps = stepped.mapInArrow(_child_steps(depth), f"grp int, block long, steps {_STEP}")
     named = ordered.select("n", "name").join(steps, F.col("n") == F.col("block")).select(
         F.col("name").alias("grp"), "steps")
-    found = _with_steps(storeys, settled(named, "group-steps")).select("single", "items", "steps").mapInArrow(
-        _leaf_rows, f"key {key_kind}, leaf string, grp {kind}, root string, proof_sha256 string, folded_root string")
+    found = _with_steps(storeys, settled(named, "group-steps"), depth).select("single", "items", "steps").mapInArrow(
+        _leaf_rows(depth), f"key {key_kind}, leaf string, grp {kind}, root string, proof_sha256 string, folded_root string")
     subroots = tops.select(F.col("grp").alias("_g"), F.col("digest").alias("subroot"))
     return found.join(subroots, F.col("grp").eqNullSafe(F.col("_g"))).select(
         F.col("key").alias(key), "leaf", "subroot", "root", "proof_sha256", "folded_root",

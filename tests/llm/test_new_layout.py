@@ -231,9 +231,9 @@ def manifest_of(rows):
     return sorted(out)
 
 
-def check_manifest(spark, rows):
+def check_manifest(spark, rows, **options):
     docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string")
-    got = manifest.manifest(manifest.document_leaves(docs))
+    got = manifest.manifest(manifest.document_leaves(docs), **options)
     got = sorted((repr(r["doc_id"]), *(r[c] for c in got.columns[1:])) for r in got.collect())
     assert got == manifest_of(rows)
     return got
@@ -244,11 +244,11 @@ def tree_rows(counts):
 
 
 @pytest.mark.parametrize("depth", [1, 4])
-def test_manifest_equals_brute_force(spark, monkeypatch, depth):
-    monkeypatch.setattr(manifest, "DEPTH", depth)  # depth 1 takes four storeys of blocks
-    got = check_manifest(spark, tree_rows({"de": 1, "en": 700, "fr": 64, "es": 65, None: 9, "": 2}))
+def test_manifest_equals_brute_force(spark, depth):
+    # depth 1 takes four storeys of blocks
+    got = check_manifest(spark, tree_rows({"de": 1, "en": 700, "fr": 64, "es": 65, None: 9, "": 2}), depth=depth)
     assert {r[-1] for r in got} == {True, False}
-    check_manifest(spark, tree_rows({str(i): 1 + i % 3 for i in range(20)}))
+    check_manifest(spark, tree_rows({str(i): 1 + i % 3 for i in range(20)}), depth=depth)
 
 
 def test_manifest_of_odd_rows(spark):
