@@ -123,8 +123,8 @@ def split_position(docs: DataFrame, order="doc_id", fraction: float = 0.9,
 def prefix_splits(docs: DataFrame, order, fractions: list[float], text: str = "text") -> DataFrame:
     """Cut the corpus at several fractions; `piece` i lies before cut i."""
     length = F.length(text).cast("long")
-    total = ordering.total_weight(docs, length)
-    cuts = ordering.find_cuts(docs, order, length, [math.floor(total * f) for f in fractions])
+    tree = ordering.SumTree(docs, order, length)
+    cuts = tree.cuts([math.floor(tree.total * f) for f in fractions])
     cut = ordering.pieces(docs, order, length, cuts)
     part = F.col(text).substr((F.col("piece_from") + 1).cast("int"),
                               (F.col("piece_to") - F.col("piece_from")).cast("int"))
@@ -140,9 +140,8 @@ def prefix_lengths(total: int, fractions: list[float]) -> list[int]:
 def prefix_fraction(tokens: DataFrame, order, fraction: float, ids: str = "ids") -> DataFrame:
     """Leading part of a token dataset: `floor(tokens * fraction)`, at least one."""
     size = F.size(ids).cast("long")
-    total = ordering.total_weight(tokens, size)
-    end = prefix_lengths(total, [fraction])[0]
-    cut = ordering.pieces(tokens, order, size, ordering.find_cuts(tokens, order, size, [end]))
+    tree = ordering.SumTree(tokens, order, size)
+    cut = ordering.pieces(tokens, order, size, tree.cuts(prefix_lengths(tree.total, [fraction])))
     return (
         cut.where(F.col("piece") == 0)
         .withColumn(ids, F.slice(ids, 1, F.col("piece_to").cast("int")))
@@ -230,14 +229,13 @@ def draw_blocks(tokens: DataFrame, block: int, draws: int, seed: int, order, key
 def merge_corpora(*sources: DataFrame, order: str = "doc_id", text: str = "text",
                   separator: str = "\n\n") -> DataFrame:
     """Union of sources in list order, adding the separator to the last
-    document of every source but the final one, so offsets count it."""
+    document of every source but the final one, so offsets count it. Of
+    documents that share the last key, one has it."""
     merged = None
     for number, source in enumerate(sources):
         part = source.select(F.lit(number).alias("source_no"), F.col(order), F.col(text))
         if number < len(sources) - 1:
-            last = source.agg(F.max(order).alias("k")).first()["k"]
-            if last is not None:
-                part = part.withColumn(text, F.when(
-                    F.col(order) == F.lit(last), F.concat(F.col(text), F.lit(separator))).otherwise(F.col(text)))
+            part = ordering.with_last(part, order, "_last").withColumn(text, F.when(
+                F.col("_last"), F.concat(F.coalesce(text, F.lit("")), F.lit(separator))).otherwise(F.col(text))).drop("_last")
         merged = part if merged is None else merged.unionByName(part)
     return merged

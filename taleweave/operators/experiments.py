@@ -82,12 +82,34 @@ def run_summary(steps: DataFrame, order: str = "step") -> DataFrame:
     ).withColumn("gap", F.col("final_val") - F.col("final_train"))
 
 
+#: Points of a part of a stored run.
+PART_POINTS = 4096
+
+
+def run_parts(steps: DataFrame, order="step", points: int = PART_POINTS) -> DataFrame:
+    """Array histories (run, part, steps, train_loss, val_loss) from the long
+    form: numbered parts of a bounded length, so that a run of any length is
+    spread over tasks and rows."""
+    order = [order] if isinstance(order, str) else list(order)
+    placed = ordering.ordinal(steps, order, "run", "_n").withColumn("part", F.floor((F.col("_n") - 1) / points).cast("int"))
+    listed = F.array_sort(F.collect_list(F.struct("_n", "step", "train_loss", "val_loss")))
+    rows = placed.groupBy("run", "part").agg(listed.alias("p"))
+    return rows.select("run", "part", F.transform("p", lambda p: p["step"]).alias("steps"),
+                       F.transform("p", lambda p: p["train_loss"]).alias("train_loss"),
+                       F.transform("p", lambda p: p["val_loss"]).alias("val_loss"))
+
+
 def history_summary(runs: DataFrame) -> DataFrame:
-    """The same from array histories; an empty history gives nulls."""
-    last = {c: F.try_element_at(F.col(c), F.lit(-1)) for c in ("train_loss", "val_loss")}
-    return runs.select(
-        "run", last["train_loss"].alias("final_train"), last["val_loss"].alias("final_val"),
-        F.array_min("val_loss").alias("best_val"), (last["val_loss"] - last["train_loss"]).alias("gap"))
+    """The same from array histories, in parts or whole; an empty history
+    gives nulls."""
+    part = F.col("part") if "part" in runs.columns else F.lit(0)
+    last = F.struct(*[F.try_element_at(F.col(c), F.lit(-1)).alias(c) for c in ("train_loss", "val_loss")])
+    rows = runs.groupBy("run").agg(
+        F.max_by(last, part).alias("last"), F.min(F.array_min("val_loss")).alias("best_val"))
+    final = {c: F.col(f"last.{c}") for c in ("train_loss", "val_loss")}
+    return rows.select(
+        "run", final["train_loss"].alias("final_train"), final["val_loss"].alias("final_val"), "best_val",
+        (final["val_loss"] - final["train_loss"]).alias("gap"))
 
 
 def run_configs(spark: SparkSession) -> DataFrame:
@@ -116,14 +138,17 @@ def loss_grid(results: DataFrame, rows: str, columns: str, value: str, row_order
 def frontier(results: DataFrame, cost: str, value: str, tie: str) -> DataFrame:
     """Best row per cost, then the running best by growing cost.
 
-    The running minimum is cut into cost buckets: a window inside each bucket
-    and the minimum carried over from earlier buckets.
+    The running minimum is cut into cost buckets: a window inside each bucket,
+    and the minimum of earlier buckets from a tree over them.
     """
     best = R.best_per(results, cost, value, tie)
     tagged = best.withColumn("_bucket", ordering.bucket_of(best, *ordering.bucket_edges(best, cost)))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    carried = tagged.groupBy("_bucket").agg(F.min(value).alias("_m")) \
-        .withColumn("_carry", F.min("_m").over(before)).drop("_m")  # one row per bucket
+    lows = tagged.groupBy(F.lit(0).alias("_all"), "_bucket").agg(F.min(value).alias("_m"))
+    levels = ordering.scan_levels(ordering.MOST_BUCKETS)
+    none = F.lit(None).cast(dict(lows.dtypes)["_m"])
+    carried = ordering.scan_before(
+        lows, "_all", "_bucket", "_m", lambda _, values, start: F.least(F.array_min(values), start), none, levels, "_carry") \
+        .select("_bucket", "_carry")
     inside = W.partitionBy("_bucket").orderBy(cost).rowsBetween(W.unboundedPreceding, 0)
     return tagged.withColumn("_local", F.min(value).over(inside)).join(carried, "_bucket") \
         .withColumn("best_so_far", F.least("_local", "_carry")).drop("_bucket", "_local", "_carry")
@@ -185,20 +210,23 @@ def mfu(params, layers, heads, width, block, per_iter, dt, peak: float = X.PEAK_
     return per_token * t * col(per_iter) / col(dt) / F.lit(peak)
 
 
-def ema(steps: DataFrame, value: str, order, keys="run", alpha: float = 0.9, out: str = "ema") -> DataFrame:
+def ema(steps: DataFrame, value: str, order, keys="run", alpha: float = 0.9, out: str = "ema",
+        block: int = 1024, fan: int = ordering.FAN) -> DataFrame:
     """Exponential moving average `alpha * last + (1 - alpha) * value`, seeded
-    with the first value, per key.
+    with the first value, per key. With alpha 0 it is the value itself, with
+    alpha 1 the first value of the key.
 
-    The recurrence is linear, so it is summed in blocks: a window inside each
-    block of a key's steps, and the state carried between blocks computed from
-    one row per block. States further back than a double can hold weigh zero
-    and are left out, which keeps the carried window bounded. A long run is
-    spread over its blocks.
+    A step is an affine map of the state, and so is a block of steps: a window
+    runs inside each block of a key's steps, and the maps of blocks are
+    combined by a tree, so that no window grows with the length of a run.
     """
+    if not 0 <= alpha <= 1:
+        raise ValueError("alpha must be from 0 to 1")
+    if alpha == 0:
+        return steps.withColumn(out, F.col(value).cast("double"))
     keys = [keys] if isinstance(keys, str) else list(keys)
-    decay = -math.log(alpha)
-    block = max(1, min(1024, int(500 / decay)))
-    reach = max(1, math.ceil(745 / decay / block))  # exp(-745) is zero in a double
+    if alpha < 1:  # powers of alpha inside a block stay within a double
+        block = max(1, min(block, int(500 / -math.log(alpha))))
     placed = ordering.ordinal(steps, order, keys, "_i").withColumn("_i", F.col("_i") - 1)
     placed = placed.withColumn("_b", F.floor(F.col("_i") / block)).withColumn("_r", F.col("_i") % block)
     # the first value of a key enters whole
@@ -206,15 +234,20 @@ def ema(steps: DataFrame, value: str, order, keys="run", alpha: float = 0.9, out
     a = F.lit(float(alpha))
     inside = W.partitionBy(*keys, "_b").orderBy("_r").rowsBetween(W.unboundedPreceding, 0)
     local = placed.withColumn("_local", F.sum(weighted / F.pow(a, F.col("_r"))).over(inside) * F.pow(a, F.col("_r")))
-    ends = local.groupBy(*keys, "_b").agg(F.max_by("_local", "_r").alias("_end"), F.max("_r").alias("_last"))
-    back = W.partitionBy(*keys).orderBy("_b").rowsBetween(-reach, -1)
-    whole = F.lit(float(alpha) ** block)
-    carried = ends.withColumn("_state", F.aggregate(
-        F.collect_list("_end").over(back), F.lit(0.0), lambda acc, e: acc * whole + e)) \
-        .select(*keys, "_b", "_state")
-    return local.join(carried, [*keys, "_b"]) \
-        .withColumn(out, F.col("_local") + F.col("_state") * F.pow(a, F.col("_r") + 1)) \
-        .drop("_i", "_b", "_r", "_local", "_state")
+    ends = local.groupBy(*keys, "_b").agg(F.max_by("_local", "_r").alias("_end"))
+
+    def after(level: int, values: Column, start: Column) -> Column:
+        whole = F.lit(float(alpha) ** (block * fan ** level))  # zero once a double cannot hold it
+        return F.aggregate(values, start, lambda state, e: state * whole + e)
+
+    levels = ordering.scan_levels(-(-steps.count() // block), fan)
+    carried = ordering.scan_before(ends, keys, "_b", "_end", after, F.lit(0.0), levels, fan=fan)
+    named = carried.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_block"), "_state")
+    same = F.col("_b") == F.col("_block")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return local.join(named, same).withColumn(
+        out, F.col("_local") + F.col("_state") * F.pow(a, F.col("_r") + 1)).select(*steps.columns, out)
 
 
 # --- low-rank table ----------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from taleweave.operators import ordering
+from taleweave.session import working_dir
 
 
 def grams(text, n: int) -> Column:
@@ -53,11 +54,11 @@ def banded_pieces(docs: DataFrame, order: str, fractions: list[float], max_order
     (`lead` says how many).
     """
     length = F.length(text).cast("long")
-    total = ordering.total_weight(docs, length)
-    train_total = math.floor(total * train)
+    tree = ordering.SumTree(docs, order, length)
+    train_total = math.floor(tree.total * train)
     # the last fraction is the whole training part
     ends = [max(1, math.floor(train_total * f)) for f in fractions]
-    cut = ordering.pieces(docs, order, length, ordering.find_cuts(docs, order, length, ends))
+    cut = ordering.pieces(docs, order, length, tree.cuts(ends))
     lead = F.when(F.col("piece") < len(ends), F.least(F.col("piece_from"), F.lit(max_order - 1).cast("long"))) \
         .otherwise(F.lit(0).cast("long"))
     start = F.col("piece_from") - lead
@@ -67,31 +68,41 @@ def banded_pieces(docs: DataFrame, order: str, fractions: list[float], max_order
                       F.when(whole, F.col(text)).otherwise(part).alias(text))
 
 
+def banded_runs(pieces: DataFrame, longest: int, text: str = "text") -> DataFrame:
+    """(band, run, n): for every character the run of up to `longest` that ends
+    there, backwards, counted per band. A run is shorter at the start of its
+    piece. Written once, as several totals read it."""
+    backwards = F.regexp_extract_all(F.reverse(F.col(text)), F.lit(f"(?s)(?=(.{{1,{longest}}}))"), F.lit(1))
+    # characters of the lead belong to an earlier band
+    own = F.slice(backwards, F.lit(1), F.length(text) - F.col("lead"))
+    counted = pieces.select("band", F.explode(own).alias("run")).groupBy("band", "run").agg(F.count("*").alias("n"))
+    path = working_dir(pieces.sparkSession, "runs")
+    counted.write.parquet(path)
+    return pieces.sparkSession.read.schema("band int, run string, n long").parquet(path)
+
+
 def ngram_loss(docs: DataFrame, order: str, orders: list[int], fractions: list[float],
                add: float = 1.0, text: str = "text") -> DataFrame:
     """Mean negative log-likelihood on the validation part for every n-gram
     order and training fraction, with add-`add` smoothing.
 
-    All fractions come from one pass: runs are counted per position band and
+    All orders and fractions come from one scan of the text: the longest runs
+    are counted per position band, lower orders are rolled up from them, and
     the bands are summed up. Only distinct runs are shuffled.
     """
     pieces = banded_pieces(docs, order, fractions, max(orders), text=text)
     bands = len(fractions)
-    counted = None
-    for n in orders:
-        # skip lead characters that belong to no run of this order
-        spare = F.greatest(F.col("lead") - (n - 1), F.lit(0))
-        usable = F.when(spare > 0, F.col(text).substr(spare + 1, F.length(text))).otherwise(F.col(text))
-        part = ngram_counts(pieces.withColumn(text, usable), n, "band", text).withColumn("order", F.lit(n))
-        counted = part if counted is None else counted.unionByName(part)
+    counted = banded_runs(pieces, max(orders), text)
+    # a run of a lower order that ends at a character begins the run kept for it
+    counted = counted.withColumn("order", F.explode(F.array(*[F.lit(n) for n in orders]))).where("length(run) >= `order`")
+    counted = counted.select("band", "order", "n", F.substring("run", 1, 1).alias("next"),
+                             F.expr("substring(run, 2, `order` - 1)").alias("context"))
     # one row per run with the training count up to every fraction
     upto = [F.sum(F.when(F.col("band") <= i, F.col("n")).otherwise(0)).alias(f"t{i}") for i in range(bands)]
     held = F.sum(F.when(F.col("band") == bands, F.col("n")).otherwise(0)).alias("held")
     runs = counted.groupBy("order", "context", "next").agg(*upto, held)
     totals = runs.groupBy("order", "context").agg(*[F.sum(f"t{i}").alias(f"c{i}") for i in range(bands)])
-    size = pieces.where(F.col("band") < bands).select(
-        F.explode(F.array_distinct(F.split(F.col(text), ""))).alias("ch")).where("ch <> ''") \
-        .agg(F.count_distinct("ch").alias("v"))
+    size = counted.where(F.col("band") < bands).agg(F.count_distinct("next").alias("v"))
     scored = runs.where("held > 0").join(totals, ["order", "context"]).join(size)  # one-row side
     aggs = [F.sum("held").alias("tokens")]
     for i in range(bands):

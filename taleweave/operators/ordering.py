@@ -15,11 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from taleweave.session import working_dir
+
 # these bound the work of a task and of the driver; no result depends on them
 ROWS_PER_BUCKET = 1_000_000
 BUCKETS, MOST_BUCKETS = 64, 4096
 SAMPLE_PER_BUCKET = 20
 LEAF_ROWS = 100_000
+#: Blocks that a level of a scan takes together.
+FAN = 64
 
 
 def _names(columns) -> list[str]:
@@ -238,16 +242,63 @@ def keep_first(df: DataFrame, keys, order) -> DataFrame:
     return first_n(df, keys, order, 1)
 
 
+# --- scans over blocks --------------------------------------------------------
+
+def scan_levels(blocks: int, fan: int = FAN) -> int:
+    """Levels that a tree over so many blocks has below its top."""
+    levels = 0
+    while blocks > fan:
+        blocks, levels = -(-blocks // fan), levels + 1
+    return levels
+
+
+def scan_before(ends: DataFrame, keys, at: str, end: str, fold, zero: Column, levels: int, out: str = "_state",
+                fan: int = FAN) -> DataFrame:
+    """What all earlier blocks of a key come to: adds `out` to (keys, at, end).
+
+    `fold(level, values, start)` combines the values of consecutive blocks onto
+    a start; a value of level l + 1 is the fold of `fan` values of level l. The
+    combination is associative, so a tree does: windows and lists have at most
+    `fan` rows at every level, whatever the length of a key's run.
+    """
+    keys = _names(keys)
+    if levels == 0:
+        values = F.collect_list(end).over(W.partitionBy(*keys).orderBy(at).rowsBetween(-fan, -1))
+        return ends.withColumn(out, fold(0, values, zero))
+    return _scan_level(ends, keys, at, end, fold, zero, levels, 0, out, fan)
+
+
+def _scan_level(ends, keys, at, end, fold, zero, levels, level, out, fan):
+    group = F.floor(F.col(at) / fan)
+    inside = W.partitionBy(*keys, "_up").orderBy(at).rowsBetween(-fan, -1)
+    rows = ends.withColumn("_up", group).withColumn("_earlier", F.collect_list(end).over(inside))
+    if level == levels:
+        return rows.withColumn(out, fold(level, F.col("_earlier"), zero)).drop("_up", "_earlier")
+    values = F.transform(F.array_sort(F.collect_list(F.struct(F.col(at).alias("a"), F.col(end).alias("e")))), lambda v: v["e"])
+    upper = ends.groupBy(*keys, group.alias("_up")).agg(values.alias("_values")) \
+        .select(*keys, F.col("_up").alias(at), fold(level, F.col("_values"), zero).alias(end))
+    carried = _scan_level(upper, keys, at, end, fold, zero, levels, level + 1, "_carry", fan)
+    carried = carried.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(at).alias("_at"), "_carry")
+    same = F.col("_up") == F.col("_at")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    joined = rows.join(carried, same).withColumn(out, fold(level, F.col("_earlier"), F.col("_carry")))
+    return joined.select(*ends.columns, out)
+
+
 # --- positions in a concatenated corpus -------------------------------------
 
 class Cut:
     """Where one global position falls: inside row `key`, `offset` units in.
 
-    `key` is None when the position is the end of the data.
+    `key` is None when the position is the end of the data. Rows that are equal
+    in every column are `copies` alike, one after the other; `into` counts from
+    the start of the first of them.
     """
 
-    def __init__(self, position: int, key: tuple | None, offset: int, tie: int | None = None):
-        self.position, self.key, self.offset, self.tie = position, key, offset, tie
+    def __init__(self, position: int, key: tuple | None, offset: int, ties: tuple = (), copies: int = 1, into: int | None = None):
+        self.position, self.key, self.offset = position, key, offset
+        self.ties, self.copies, self.into = ties, copies, offset if into is None else into
 
     def __repr__(self):
         return f"Cut({self.position}, {self.key}, {self.offset})"
@@ -257,96 +308,127 @@ def total_weight(df: DataFrame, weight: Column) -> int:
     return int(df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).first()["t"])
 
 
-TIE = "_tie"
-
+TIES = ["_tie0", "_tie1"]
 
-def with_tie(df: DataFrame) -> DataFrame:
-    """A digest of all columns, which settles the order of rows with equal keys."""
-    return df.withColumn(TIE, F.xxhash64(F.to_json(F.struct("*"))))
 
+def _ties(df: DataFrame) -> list[Column]:
+    """128 bits of a digest of all columns, which settle the order of rows with
+    equal keys."""
+    # maps cannot be hashed as they are
+    values = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema.fields]
+    # hashing skips nulls, so where they are is hashed as well
+    values += [F.col(c).isNull() for c in df.columns]
+    return [F.xxhash64(*values).alias(TIES[0]), F.xxhash64(F.lit(1), *values).alias(TIES[1])]
 
-def find_cuts(df: DataFrame, order, weight: Column, positions: list[int],
-              buckets: int = BUCKETS, leaf_rows: int = LEAF_ROWS) -> list[Cut]:
-    """Locate global positions without giving every row its prefix sum.
 
-    Rows with equal order values follow a digest of all their columns; null
-    values come first. Where rows that are equal in every column straddle a
-    position, no cut can tell them apart and an error says so.
+class SumTree:
+    """Sums of a weight over ranges of a table's order, in the shared folder.
 
-    Narrows each position to one key range per round (a scan of the order and
-    weight columns only), until the range has at most `leaf_rows` rows, and
-    runs a window on that range alone. The driver holds one small row per
-    bucket. No row of the table is shuffled.
+    One scan of the table leaves a narrow row (order, digest, weight, copies)
+    for each distinct row; these are sorted in ranges, and summed by chunks of
+    `leaf_rows` rows and by ranges. A position descends from the ranges' sums,
+    one row for each on the driver, to one chunk, which has a window of its own.
+    Null order values come first.
     """
-    order = [*_names(order), TIE]
-    narrow = with_tie(df).select(*order, weight.alias("_w"))
-    found: dict[int, Cut] = {}
-    # work items: frame restricted to a key range, its rows if known, weight before it, positions
-    work = [(narrow, None, 0, sorted(set(positions)))]
-    while work:
-        frame, rows, base, wanted = work.pop()
-        by, edges = bucket_edges(frame, order, buckets)
-        bucket = bucket_of(frame, by, edges)
-        stats = (
-            frame.groupBy(bucket.alias("b"))
-            .agg(F.count("*").alias("n"), F.sum("_w").alias("w"))
-            .collect()
-        )
-        stats = sorted((r["b"], r["n"], r["w"] or 0) for r in stats)
-        starts, running = [], base
-        for _, _, w in stats:
+
+    def __init__(self, df: DataFrame, order, weight: Column, leaf_rows: int = LEAF_ROWS):
+        self.order, self.spark = _names(order), df.sparkSession
+        narrow = self._save(df.select(*self.order, *_ties(df), weight.cast("long").alias("_w")), "narrow")
+        keys = [*self.order, *TIES]
+        rows = narrow.groupBy(*keys).agg(F.any_value("_w").alias("_w"), F.count("*").alias("_copies"))
+        rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        # the second part of the number counts from 0 in every range
+        at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        rows = rows.select("*", F.spark_partition_id().alias("_part"), at.alias("_at"))
+        self.leaves = self._save(rows.withColumn("_chunk", F.expr(f"_at div {leaf_rows}")), "leaves")
+        sums = self.leaves.groupBy("_part", "_chunk").agg(F.sum(F.col("_w") * F.col("_copies")).alias("_sum"))
+        self.chunks = self._save(sums, "chunks")
+        parts = self.chunks.groupBy("_part").agg(F.coalesce(F.sum("_sum"), F.lit(0)).alias("w")).collect()
+        self.parts = sorted((r["_part"], int(r["w"])) for r in parts)
+        self.total = sum(w for _, w in self.parts)
+
+    def _save(self, df: DataFrame, name: str) -> DataFrame:
+        path = working_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @staticmethod
+    def _descend(nodes: list[tuple], wanted: dict) -> dict:
+        """Put positions under the node they fall in: {node: {position: rest}}."""
+        starts, running = [], 0
+        for _, w in nodes:
             starts.append(running)
             running += w
-        groups: dict[int, list[int]] = {}
-        for p in wanted:
-            if p >= running:
-                found[p] = Cut(p, None, 0)
-            else:
-                slot = bisect_right(starts, p) - 1
-                while stats[slot][2] == 0:  # zero-weight range: position is in a later one
-                    slot += 1
-                groups.setdefault(slot, []).append(p)
-        leaves = {}
-        for slot, ps in groups.items():
-            b, n, _ = stats[slot]
-            if n <= leaf_rows or not edges or n == rows:  # small, or of one key
-                leaves[b] = (starts[slot], ps)
-            else:
-                work.append((frame.where(bucket == b), n, starts[slot], ps))
-        if leaves:
-            inside = W.partitionBy("_b").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-            local = (
-                frame.withColumn("_b", bucket)
-                .where(F.col("_b").isin(list(leaves)))
-                .withColumn("_from", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-            )
-            hit = F.lit(False)
-            for b, (start, ps) in leaves.items():
-                for p in ps:
-                    hit = hit | ((F.col("_b") == b) & (F.col("_from") <= p - start)
-                                 & (F.lit(p - start) < F.col("_from") + F.col("_w")))
-            same = W.partitionBy("_b", *order)
-            local = local.withColumn("_same", F.count("*").over(same))
-            for r in local.where(hit).collect():  # at most one row per position
-                start, ps = leaves[r["_b"]]
-                if r["_same"] > 1:
-                    raise ValueError("rows that are equal in every column straddle a cut")
-                for p in ps:
-                    if r["_from"] <= p - start < r["_from"] + r["_w"]:
-                        found[p] = Cut(p, tuple(r[c] for c in order[:-1]), p - start - r["_from"], r[TIE])
-    return [found[p] for p in positions]
+        found: dict = {}
+        for p, rest in wanted.items():
+            slot = bisect_right(starts, rest) - 1  # the last of equal starts has the weight
+            found.setdefault(nodes[slot][0], {})[p] = rest - starts[slot]
+        return found
+
+    def cuts(self, positions: list[int]) -> list[Cut]:
+        """The cut at each position."""
+        found = {p: Cut(p, None, 0) for p in positions}
+        inside = {p: p for p in positions if p < self.total}
+        if not inside:
+            return [found[p] for p in positions]
+        by_part = self._descend(self.parts, inside)
+        sums: dict = {}
+        for r in self.chunks.where(F.col("_part").isin(list(by_part))).collect():
+            sums.setdefault(r["_part"], []).append((r["_chunk"], int(r["_sum"] or 0)))
+        by_chunk = {(part, c): rests for part, wanted in by_part.items()
+                    for c, rests in self._descend(sorted(sums[part]), wanted).items()}
+        here = F.lit(False)
+        for part, c in by_chunk:
+            here = here | ((F.col("_part") == part) & (F.col("_chunk") == c))
+        whole = F.col("_w") * F.col("_copies")
+        before = W.partitionBy("_part", "_chunk").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+        rows = self.leaves.where(here).withColumn("_from", F.coalesce(F.sum(whole).over(before), F.lit(0)))
+        hit = F.lit(False)
+        for (part, c), rests in by_chunk.items():
+            for rest in rests.values():
+                hit = hit | ((F.col("_part") == part) & (F.col("_chunk") == c)
+                             & (F.col("_from") <= rest) & (F.lit(rest) < F.col("_from") + whole))
+        for r in rows.where(hit).collect():  # at most one row for each position
+            for p, rest in by_chunk[(r["_part"], r["_chunk"])].items():
+                into = rest - r["_from"]
+                if 0 <= into < r["_w"] * r["_copies"]:
+                    key = tuple(r[c] for c in self.order)
+                    found[p] = Cut(p, key, into % r["_w"], tuple(r[t] for t in TIES), r["_copies"], into)
+        return [found[p] for p in positions]
+
+
+def find_cuts(df: DataFrame, order, weight: Column, positions: list[int], leaf_rows: int = LEAF_ROWS) -> list[Cut]:
+    """Locate global positions without giving every row its prefix sum. Rows
+    with equal order values follow a digest of all their columns."""
+    return SumTree(df, order, weight, leaf_rows).cuts(positions)
+
+
+def _at_cut(df: DataFrame, order: list[str], cut: Cut) -> Column:
+    """Whether a row is the one that the cut falls in, or equal to it."""
+    ties = _ties(df)
+    same = _whole(order) == _whole_literal(df, order, cut.key)
+    # digests are computed only for rows of the cut's key
+    return F.when(same, (ties[0] == F.lit(cut.ties[0])) & (ties[1] == F.lit(cut.ties[1]))).otherwise(F.lit(False))
+
+
+def _whole_literal(df: DataFrame, order: list[str], key: tuple) -> Column:
+    """A key as a struct like `_whole`, also of one column."""
+    if len(order) > 1:
+        return _literal(df, order, key)
+    return F.struct(_literal(df, order, key).alias("k0"))
 
 
 def _compare(df: DataFrame, order: list[str], cut: Cut, weight: Column) -> Column:
     """Offset inside each row where the cut falls: 0 after it, all before it."""
     if cut.key is None:
         return weight
-    key, point = _key(order), _literal(df, order, (*cut.key, cut.tie))
-    return (
-        F.when(key < point, weight)
-        .when(key == point, F.lit(cut.offset).cast("long"))
-        .otherwise(F.lit(0).cast("long"))
-    )
+    zero = F.lit(0).cast("long")
+    key, point = _whole(order), _whole_literal(df, order, cut.key)
+    own = F.greatest(zero, F.least(weight, F.lit(cut.into).cast("long") - F.col("_copy") * weight))
+    first, second = _ties(df)
+    low = (first < F.lit(cut.ties[0])) | ((first == F.lit(cut.ties[0])) & (second < F.lit(cut.ties[1])))
+    equal = (first == F.lit(cut.ties[0])) & (second == F.lit(cut.ties[1]))
+    return F.when(key < point, weight).when(key > point, zero).when(equal, own).when(low, weight).otherwise(zero)
 
 
 def pieces(df: DataFrame, order, weight: Column, cuts: list[Cut]) -> DataFrame:
@@ -354,16 +436,44 @@ def pieces(df: DataFrame, order, weight: Column, cuts: list[Cut]) -> DataFrame:
 
     `piece` i is the part between cut i-1 and cut i. Rows away from a cut keep
     one piece; nothing is shuffled. The frame has the columns that the cuts
-    were found on.
+    were found on. Where equal rows straddle a cut, one of them is taken and
+    numbered as often as they are many.
     """
-    order = [*_names(order), TIE]
-    tied = with_tie(df)
+    order, given = _names(order), df
+    weight = weight.cast("long")
+    many = {(c.key, c.ties): c for c in cuts if c.key is not None and c.copies > 1}
+    rows = given.withColumn("_copy", F.lit(0).cast("long"))
+    for c in many.values():
+        rows = rows.where(~_at_cut(given, order, c))
+    for c in many.values():
+        # one row, so the join sends it to the numbers
+        one = given.where(_at_cut(given, order, c)).limit(1)
+        numbers = given.sparkSession.range(c.copies).withColumnRenamed("id", "_copy")
+        rows = rows.unionByName(numbers.join(F.broadcast(one)).select(*given.columns, "_copy"))
     bounds = [F.lit(0).cast("long")]
-    bounds += [_compare(tied, order, c, weight.cast("long")) for c in cuts]
-    bounds += [weight.cast("long")]
+    bounds += [_compare(given, order, c, weight) for c in cuts]
+    bounds += [weight]
     parts = F.array(*[
         F.struct(F.lit(i).alias("piece"), bounds[i].alias("piece_from"), bounds[i + 1].alias("piece_to"))
         for i in range(len(bounds) - 1)
     ])
     kept = F.filter(parts, lambda p: p["piece_to"] > p["piece_from"])
-    return tied.select("*", F.inline(kept)).drop(TIE)
+    return rows.select(*given.columns, F.inline(kept))
+
+
+def with_last(df: DataFrame, order, out: str) -> DataFrame:
+    """Adds `out`, true for the last row in `order` and for no other, even if
+    several rows are equal in every column."""
+    order = _names(order)
+    top = df.agg(F.max(F.struct(_whole(order).alias("k"), *_ties(df))).alias("top")).first()["top"]
+    if top is None:
+        return df.withColumn(out, F.lit(False))
+    cut = Cut(0, tuple(top["k"]), 0, (top[TIES[0]], top[TIES[1]]))
+    last = _at_cut(df, order, cut)
+    copies = df.where(last).count()
+    if copies == 1:
+        return df.withColumn(out, last)
+    # one row, so the join sends it to the numbers
+    numbers = df.sparkSession.range(copies).select((F.col("id") == copies - 1).alias(out))
+    equal = numbers.join(F.broadcast(df.where(last).limit(1))).select(*df.columns, out)
+    return df.where(~last).withColumn(out, F.lit(False)).unionByName(equal)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +14,9 @@ from taleweave.operators import ordering
 FIELDS = RECORD_SCHEMA
 
 
-def conform(df: DataFrame, key="npc_id") -> DataFrame:
-    """Fixed record schema: unknown columns dropped, absent values take their
-    defaults, a blank id is derived from `key`."""
+def conform(df: DataFrame, key="npc_id", keep=()) -> DataFrame:
+    """Fixed record schema: unknown columns dropped but those to `keep`, absent
+    values take their defaults, a blank id is derived from `key`."""
     keys = [key] if isinstance(key, str) else list(key)
     columns = []
     for field in FIELDS.fields:
@@ -31,7 +31,7 @@ def conform(df: DataFrame, key="npc_id") -> DataFrame:
         else:
             given = F.coalesce(given, F.array().cast(field.dataType))
         columns.append(given.alias(name))
-    extra = [F.col("seq")] if "seq" in df.columns else []
+    extra = [F.col(c) for c in ("seq", *keep) if c in df.columns]
     return df.select(*columns, *extra)
 
 
@@ -75,6 +75,21 @@ def resolve(refs: DataFrame, registry: DataFrame, ref: str = "ref") -> DataFrame
     return refs.join(best, ref, "left")
 
 
+def _edit_fields(key: str) -> tuple[list[str], list[str]]:
+    """Text fields and number fields that an edit may set."""
+    kinds = {f.name: f.dataType for f in FIELDS.fields}
+    return ([n for n, t in kinds.items() if isinstance(t, T.StringType) and n != key],
+            [n for n, t in kinds.items() if isinstance(t, T.IntegerType)])
+
+
+def edit_reason(key: str = "npc_id") -> Column:
+    """Why an edit (field, value) is refused whatever its record; else null."""
+    texts, numbers = _edit_fields(key)
+    known = F.coalesce(F.col("field").isin(texts + numbers + ["notes"]), F.lit(False))
+    return F.when(~known, "unknown field").when(
+        F.col("field").isin(numbers) & to_int("value").isNull(), "expects a number")
+
+
 def apply_edits(records: DataFrame, edits: DataFrame, key: str = "npc_id", order: str = "seq") -> tuple[DataFrame, DataFrame]:
     """Typed single-field edits: (edited records, rejects with a reason).
 
@@ -82,17 +97,11 @@ def apply_edits(records: DataFrame, edits: DataFrame, key: str = "npc_id", order
     list fields split on commas; a bad number, an unknown field and an id
     without a record are rejected.
     """
-    kinds = {f.name: f.dataType for f in FIELDS.fields}
-    texts = [n for n, t in kinds.items() if isinstance(t, T.StringType) and n != key]
-    numbers = [n for n, t in kinds.items() if isinstance(t, T.IntegerType)]
+    texts, numbers = _edit_fields(key)
     field = F.col("field")
-    reason = (
-        F.when(~field.isin(texts + numbers + ["notes"]), "unknown field")
-        .when(field.isin(numbers) & to_int("value").isNull(), "expects a number")
-    )
     present = records.select(key).distinct().withColumn("_present", F.lit(True))
     checked = edits.join(present, key, "left").withColumn(
-        "reason", F.coalesce(reason, F.when(F.col("_present").isNull(), "unknown id"))).drop("_present")
+        "reason", F.coalesce(edit_reason(key), F.when(F.col("_present").isNull(), "unknown id"))).drop("_present")
     valid = checked.where(F.col("reason").isNull()).groupBy(key, "field").agg(F.max_by("value", order).alias("value"))
     picks = {f: F.max(F.when(field == f, F.col("value"))) for f in texts + numbers + ["notes"]}
     wide = valid.groupBy(key).agg(*[c.alias("_e_" + f) for f, c in picks.items()])

@@ -126,10 +126,15 @@ def counts(df: DataFrame, key) -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n"))
 
 
+def category_place(column: str, values: list[str]) -> Column:
+    """Place of a category in a custom order; unknown ones come last."""
+    place = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
+    return F.when(place > 0, place).otherwise(len(values) + 1)
+
+
 def order_by_category(df: DataFrame, column: str, values: list[str]) -> DataFrame:
     """Sort by a custom order of categories; unknown ones come last."""
-    place = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
-    return df.orderBy(F.when(place > 0, place).otherwise(len(values) + 1), column)
+    return df.orderBy(category_place(column, values), column)
 
 
 def order_by_rank(df: DataFrame, method: str = "method", rank: str = "rank", name: str = "setup") -> DataFrame:

@@ -3,6 +3,10 @@
 A word is kept as text with one `<hex>` group per symbol, starting from its
 UTF-8 bytes. Merging a pair is one string replacement, left to right and
 without overlaps, so learning stays inside the JVM.
+
+Words are listed under the pairs they hold. A round looks the words of the
+merged pairs up, writes what changes for them alone, and adds the change to the
+counts of pairs; words without such a pair are neither read nor counted again.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from taleweave.operators.corpus import MAX_TOKEN_ID
-from taleweave.session import ensure_checkpoint_dir
+from taleweave.session import working_dir
 
 UNKNOWN = "[UNK]"
 # fixed value: how a text is cut into words before merging
@@ -24,6 +28,9 @@ WORD_PATTERN = (
     r"('s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+)"
 )
 TOP_PAIRS = 256
+#: Rounds whose postings lie apart before they are put together.
+LOGS = 16
+POSTINGS = "pair string, word string, version int, symbols string, n long, delta long"
 
 
 def words(text) -> Column:
@@ -51,12 +58,96 @@ def _merge(column: Column, pairs: list[tuple[str, str]]) -> Column:
     return column
 
 
-def pair_counts(counted: DataFrame) -> DataFrame:
+def pairs_of(symbols) -> Column:
+    """Adjacent pairs of a word's symbols, as `<hex>><hex>` without the ends."""
     # the look-ahead leaves the right symbol in place to open the next pair
-    pairs = F.regexp_extract_all("symbols", F.lit("<(?=([0-9A-F]+><[0-9A-F]+)>)"), F.lit(1))
-    counted = counted.select("n", F.explode(pairs).alias("pair")).groupBy("pair").agg(F.sum("n").alias("n"))
-    return counted.select(F.split_part("pair", F.lit("><"), F.lit(1)).alias("a"),
-                          F.split_part("pair", F.lit("><"), F.lit(2)).alias("b"), "n")
+    return F.regexp_extract_all(symbols, F.lit("<(?=([0-9A-F]+><[0-9A-F]+)>)"), F.lit(1))
+
+
+def postings(changed: DataFrame, version: int) -> DataFrame:
+    """What changes under each pair for words (word, n, before, after).
+
+    A word is listed anew under all pairs it holds, with its symbols, and with
+    null under pairs it holds no longer. `delta` is the change of the pair's
+    count. A word without `before` is new.
+    """
+    old, new = F.coalesce(pairs_of("before"), F.array().cast("array<string>")), pairs_of("after")
+    rows = changed.select("word", "n", "after", old.alias("old"), new.alias("new"))
+    rows = rows.select("*", F.explode(F.array_distinct(F.concat("new", "old"))).alias("pair"))
+
+    def times(pairs):
+        return F.size(F.filter(pairs, lambda p: p == F.col("pair")))
+
+    return rows.select(
+        "pair", "word", F.lit(version).alias("version"), F.when(F.array_contains("new", F.col("pair")), F.col("after")).alias("symbols"),
+        "n", (F.col("n") * (times("new") - times("old"))).alias("delta"))
+
+
+class PairIndex:
+    """Words by pair, in the shared folder: a base, and what rounds changed.
+
+    The newest posting of a word under a pair holds. Files are sorted by pair,
+    so a look-up reads the pages of the wanted pairs. Every LOGS rounds the
+    changes are put together, and into the base once they have half its rows.
+    """
+
+    def __init__(self, counted: DataFrame):
+        self.spark = counted.sparkSession
+        self.version = 0
+        self.base = self._write(postings(counted.select("word", "n", F.lit(None).cast("string").alias("before"),
+                                                        F.col("symbols").alias("after")), 0))
+        self.settled: list[str] = []  # changes whose deltas are in `counts`
+        self.fresh: list[str] = []
+        self.counts = self._save(self._read([self.base]).groupBy("pair").agg(F.sum("delta").alias("n")), "pair-counts")
+
+    def _save(self, df: DataFrame, name: str) -> str:
+        path = working_dir(self.spark, name)
+        df.write.parquet(path)
+        return path
+
+    def _write(self, rows: DataFrame) -> str:
+        return self._save(rows.sortWithinPartitions("pair"), "postings")
+
+    def _read(self, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(POSTINGS).parquet(*paths)
+
+    def pair_counts(self) -> DataFrame:
+        """(pair, n) of the words as they are now."""
+        counts = self.spark.read.schema("pair string, n long").parquet(self.counts)
+        if self.fresh:
+            changes = self._read(self.fresh).select("pair", F.col("delta").alias("n"))
+            counts = counts.unionByName(changes).groupBy("pair").agg(F.sum("n").alias("n"))
+        return counts.where("n > 0")
+
+    def words_with(self, pairs: list[tuple[str, str]]) -> DataFrame:
+        """(word, n, symbols) of the words that hold one of a few pairs."""
+        names = [f"{a}><{b}" for a, b in pairs]
+        rows = self._read([self.base, *self.settled, *self.fresh]).where(F.col("pair").isin(names))
+        # a change lists a word under all its pairs, so the newest row is the word as it is
+        newest = F.max_by(F.struct("symbols", "n"), F.struct("version", F.col("symbols").isNotNull()))
+        return rows.groupBy("word").agg(newest.alias("w")).where("w.symbols IS NOT NULL").select("word", "w.n", "w.symbols")
+
+    def merge(self, pairs: list[tuple[str, str]]) -> None:
+        """Merge pairs without a common symbol, in the words that hold them."""
+        self.version += 1
+        words = self.words_with(pairs)
+        changed = words.select("word", "n", F.col("symbols").alias("before"), _merge(F.col("symbols"), pairs).alias("after"))
+        self.fresh.append(self._write(postings(changed, self.version)))
+        if len(self.fresh) >= LOGS:
+            self._gather()
+
+    def _gather(self) -> None:
+        self.counts = self._save(self.pair_counts(), "pair-counts")
+        logs = self._read([*self.settled, *self.fresh])
+        whole = 2 * logs.count() > self._read([self.base]).count()
+        rows = logs.unionByName(self._read([self.base])) if whole else logs
+        newest = rows.groupBy("pair", "word").agg(F.max_by(F.struct("version", "symbols", "n"), "version").alias("r")) \
+            .select("pair", "word", "r.version", "r.symbols", "r.n", F.lit(0).cast("long").alias("delta"))
+        self.fresh = []
+        if whole:
+            self.base, self.settled = self._write(newest.where("symbols IS NOT NULL")), []
+        else:
+            self.settled = [self._write(newest)]
 
 
 def safe_prefix(ranked: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
@@ -80,28 +171,23 @@ def safe_prefix(ranked: list[tuple[str, str, int]]) -> list[tuple[str, str, int]
     return [p for p in taken if p[2] > ranked[-1][2]] or taken[:1]
 
 
-def learn_merges(docs: DataFrame, vocab_size: int = 2000, min_freq: int = 2, text: str = "text",
-                 checkpoint_every: int = 10) -> tuple[list[str], list[tuple[str, str, int]]]:
-    """(alphabet, merges in order). Learning is a loop by nature: every round
-    counts pairs over the distinct-word table and brings back a bounded top
-    list. The lineage is cut through the checkpoint folder."""
+def learn_merges(docs: DataFrame, vocab_size: int = 2000, min_freq: int = 2,
+                 text: str = "text") -> tuple[list[str], list[tuple[str, str, int]]]:
+    """(alphabet, merges in order). Learning is a loop by nature: a round brings
+    back a bounded list of the top pairs and changes the words that hold the
+    merged ones. All state lies in the shared folder."""
     spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
-    # every round is work per word, so the small table is spread over all cores
-    table = word_counts(docs, text).repartition(spark.sparkContext.defaultParallelism, "word").checkpoint()
-    alphabet = sorted(r["s"] for r in table.select(
+    path = working_dir(spark, "words")
+    word_counts(docs, text).write.parquet(path)
+    counted = spark.read.schema("word string, symbols string, n long").parquet(path)
+    alphabet = sorted(r["s"] for r in counted.select(
         F.explode(F.regexp_extract_all("symbols", F.lit("<([0-9A-F]+)>"), F.lit(1))).alias("s")).distinct().collect())
     merges: list[tuple[str, str, int]] = []
-    pending: list[tuple[str, str]] = []
-    rounds = 0
+    index = PairIndex(counted)
+    a, b = (F.split_part("pair", F.lit("><"), F.lit(i)).alias(n) for i, n in ((1, "a"), (2, "b")))
     while 1 + len(alphabet) + len(merges) < vocab_size:
-        current = table.withColumn("symbols", _merge(F.col("symbols"), pending))
-        if rounds and rounds % checkpoint_every == 0:
-            table = current.checkpoint()
-            current, pending = table, []
-        rounds += 1
         top = (
-            pair_counts(current).where(F.col("n") >= min_freq)
+            index.pair_counts().where(F.col("n") >= min_freq).select(a, b, "n")
             .orderBy(F.desc("n"), "a", "b").limit(TOP_PAIRS).collect()
         )
         if not top:
@@ -109,7 +195,8 @@ def learn_merges(docs: DataFrame, vocab_size: int = 2000, min_freq: int = 2, tex
         chosen = safe_prefix([(r["a"], r["b"], r["n"]) for r in top])
         chosen = chosen[: vocab_size - 1 - len(alphabet) - len(merges)]
         merges += chosen
-        pending += [(a, b) for a, b, _ in chosen]
+        if 1 + len(alphabet) + len(merges) < vocab_size:
+            index.merge([(a_, b_) for a_, b_, _ in chosen])
     return alphabet, merges
 
 

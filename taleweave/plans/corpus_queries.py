@@ -14,6 +14,7 @@ from taleweave.operators import ordering
 from taleweave.operators import speeches as S
 from taleweave.operators import subword
 from taleweave.plans.base import documents, query, sql_digest, sql_list, sql_uniform, table
+from taleweave.plans.subword_sql import encoded_sql, learned_sql
 from taleweave.session import working_dir
 from taleweave.sources import readers, writers
 
@@ -142,15 +143,15 @@ FROM cut WHERE pos < c AND n > 0 GROUP BY fraction""")
 def prefix_fractions(spark, sf):
     docs = documents(spark, sf)
     length = F.length("text").cast("long")
-    train = math.floor(ordering.total_weight(docs, length) * 0.9)
     fractions = [f for _, f in X.FRACTIONS]
-    ends = C.prefix_lengths(train, fractions)
     # rows of equal id and length stand as one with their count: a cut may fall between them
     folder = working_dir(spark, "lengths")
     docs.groupBy("doc_id", length.alias("n")).agg(F.count("*").alias("copies")).write.parquet(folder)
     narrow = spark.read.parquet(folder)
     weight = F.col("n") * F.col("copies")
-    pieces = ordering.pieces(narrow, "doc_id", weight, ordering.find_cuts(narrow, "doc_id", weight, ends))
+    tree = ordering.SumTree(narrow, "doc_id", weight)
+    ends = C.prefix_lengths(math.floor(tree.total * 0.9), fractions)
+    pieces = ordering.pieces(narrow, "doc_id", weight, tree.cuts(ends))
     size = F.col("piece_to") - F.col("piece_from")
     # band i counts toward every fraction from i on
     bands = pieces.where(F.col("piece") < len(ends)).withColumn("fraction", F.explode(F.slice(
@@ -429,19 +430,29 @@ def split_cross_entropy(spark, sf):
 
 # --- sub-words ---------------------------------------------------------------
 
-@query("bpe_merges")
+VOCAB_SIZE, MERGE_STEPS = 160, 120
+
+
+@query("bpe_merges", f"""
+WITH {learned_sql(VOCAB_SIZE, MERGE_STEPS)}
+SELECT id, token, "left", "right", CAST(pair_count AS BIGINT) AS pair_count FROM vocab""")
 def bpe_merges(spark, sf):
-    return subword.learn_bpe(documents(spark, sf), 160)
+    return subword.learn_bpe(documents(spark, sf), VOCAB_SIZE)
 
 
-@query("bpe_encode", """
-SELECT doc_id, md5(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END) AS digest, true AS merged FROM documents""")
+@query("bpe_encode", f"""
+WITH {learned_sql(VOCAB_SIZE, MERGE_STEPS)}, {encoded_sql(MERGE_STEPS)}
+SELECT d.doc_id, len(string_split(ids, ' ')) AS n_ids, md5(ids) AS ids_digest,
+       md5(CASE WHEN starts_with(text, ' ') THEN text ELSE ' ' || text END) AS digest
+FROM documents d LEFT JOIN encoded e USING (doc_id)""")
 def bpe_encode(spark, sf):
-    """Encode every document and decode it again; merges make it shorter."""
+    """Encode every document and decode it again."""
     docs = documents(spark, sf)
-    vocab = subword.learn_bpe(docs, 160)
+    vocab = subword.learn_bpe(docs, VOCAB_SIZE)
     decoded = subword.bpe_encode(docs, vocab).withColumn("text", subword.bpe_decode("ids", vocab))
-    return decoded.select("doc_id", F.md5("text").alias("digest"), (F.size("ids") <= F.octet_length("text")).alias("merged"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"),
+        F.md5(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_digest"), F.md5("text").alias("digest"))
 
 
 # --- evaluation --------------------------------------------------------------

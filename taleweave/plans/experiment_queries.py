@@ -123,20 +123,34 @@ def loss_grid(spark, sf):
 @query("runs_roundtrip", """
 SELECT user_id AS run, count(*) AS points, round(arg_max(value, event_id), 6) AS final_val, round(min(value), 6) AS best_val FROM events GROUP BY user_id""")
 def runs_roundtrip(spark, sf):
-    """Store the whole history of every run, read it back, summarise the arrays."""
+    """Store the whole history of every run in parts, read it back, summarise
+    the arrays."""
     folder = working_dir(spark, "runs")
-    point = F.struct("event_id", "train_loss", "val_loss")
-    logged = _steps(spark, sf).groupBy("run").agg(F.array_sort(F.collect_list(point)).alias("p"))  # a run is one row of the format
-    runs = logged.select(
-        F.col("run").cast("string").alias("run"), F.transform("p", lambda p: p["event_id"].cast("int")).alias("steps"),
-        F.transform("p", lambda p: p["train_loss"]).alias("train_loss"), F.transform("p", lambda p: p["val_loss"]).alias("val_loss"),
-        F.lit(None).cast("double").alias("elapsed_minutes"))
-    writers.write_runs(runs, folder)
+    steps = _steps(spark, sf).select(F.col("run").cast("string").alias("run"), F.col("event_id").cast("int").alias("step"), "train_loss", "val_loss")
+    writers.write_runs(P.run_parts(steps, points=16).withColumn("elapsed_minutes", F.lit(None).cast("double")), folder)
     read = readers.read_runs(spark, folder)
-    stored = P.history_summary(read).join(read.select("run", F.size("steps").cast("long").alias("points")), "run")
+    points = read.groupBy("run").agg(F.sum(F.size("steps")).alias("points"))
+    stored = P.history_summary(read).join(points, "run")
     return R.rounded(stored.select(F.col("run").cast("long").alias("run"), "points", "final_val", "best_val"), {"final_val": 6, "best_val": 6})
 
 
+@query("category_order", """
+WITH named AS (
+  SELECT c_custkey, c_mktsegment, coalesce(n_name, 'nowhere') AS nation, c_acctbal
+  FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) n ON c_nationkey = n_nationkey),
+top AS (SELECT * FROM named ORDER BY c_acctbal DESC, c_custkey LIMIT 40)
+SELECT c_custkey, nation, CASE c_mktsegment WHEN 'MACHINERY' THEN 1 WHEN 'BUILDING' THEN 2 ELSE 3 END AS place FROM top""")
+def category_order(spark, sf):
+    """The customers with the largest balances, named by their nation, in a
+    custom order of segments."""
+    order = ["MACHINERY", "BUILDING"]
+    nations = table(spark, sf, "nation").where("n_nationkey < 20").withColumnRenamed("n_nationkey", "c_nationkey")
+    named = R.lookup_dim(table(spark, sf, "customer"), nations, "c_nationkey", "n_name", "nowhere", "nation")
+    top = R.limit_ordered(named, [F.desc("c_acctbal"), "c_custkey"], 40)
+    return R.order_by_category(top, "c_mktsegment", order).select(
+        "c_custkey", "nation", R.category_place("c_mktsegment", order).cast("int").alias("place"))
+
+
 # --- frontier ----------------------------------------------------------------
 
 @query("frontier", """

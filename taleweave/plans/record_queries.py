@@ -18,9 +18,11 @@ from taleweave.operators import dialogue as D
 from taleweave.operators import extract, landing, matching, ordering, profile, render
 from taleweave.operators import registry as G
 from taleweave.operators import relational as R
-from taleweave.plans.base import query, sql_digest, sql_list, sql_normal, sql_pick, sql_uniform, spread_table, table
+from taleweave.plans.base import ORACLES, query, sql_digest, sql_list, sql_normal, sql_pick, sql_uniform, spread_table, table
 from taleweave.session import working_dir
 from taleweave.sources import readers, writers
+from taleweave.sources.partitioned import PartitionedTable
+from taleweave.streaming import changes, history, upserts
 
 SEED = 7
 INPUTS = ("customer", "nation", "region")
@@ -539,6 +541,64 @@ def registry_conform(spark, sf):
     return stored.select("npc_id", "name", "race", "primary_class", "hp", "ac", "level", "background", "goal", F.size("notes").alias("notes"), "seq")
 
 
+#: Micro-batches of the upsert stream: all customers, then the orders in three
+#: rounds, the second of which touches few records.
+ROUNDS = """
+SELECT npc_id, name, race, hp, seq AS placed, 0 AS round FROM {registry}
+UNION ALL SELECT npc_id, name, race, hp, seq, CASE WHEN hp > 499000 THEN 2 WHEN seq % 2 = 0 THEN 1 ELSE 3 END FROM {batch}"""
+ROUND_COUNT, REGISTRY_BUCKETS = 4, 64
+SQL_ROUNDS = f"""
+{SQL_REGISTRY}, rounds AS ({ROUNDS.format(registry="registry", batch="batch")}),
+placed AS (SELECT *, row_number() OVER (ORDER BY round, placed) AS n FROM rounds)"""
+
+
+def _stream_registry(spark, sf):
+    """The registry table after all rounds, each a restart of the stream from
+    its checkpoint, and a replay of the last one."""
+    folder = working_dir(spark, "stream")
+    every = spark.sql(ROUNDS, registry=_registry(spark, sf), batch=run_sql(spark, sf, BATCH, ("orders",)))
+    schema = every.drop("round").schema
+    for i in range(ROUND_COUNT):
+        every.where(F.col("round") == i).drop("round").write.parquet(f"{folder}/in/round={i}")
+        rows = spark.readStream.schema(schema).parquet(f"{folder}/in/round=*")
+        upserts.upsert_stream(rows, f"{folder}/table", f"{folder}/checkpoint", "placed", REGISTRY_BUCKETS).awaitTermination()
+    last = spark.read.schema(schema).parquet(f"{folder}/in/round={ROUND_COUNT - 1}")
+    if upserts.apply_batch(last, ROUND_COUNT - 1, f"{folder}/table", "placed", f"{folder}/checkpoint") is not None:
+        raise AssertionError("a replayed epoch was applied again")
+    return PartitionedTable(spark, f"{folder}/table")
+
+
+@query("registry_stream", f"""
+WITH {SQL_ROUNDS},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY npc_id ORDER BY n DESC) AS rn, min(n) OVER (PARTITION BY npc_id) AS first FROM placed)
+SELECT npc_id, name, race, hp, first AS seq FROM ranked WHERE rn = 1""")
+def registry_stream(spark, sf):
+    return _stream_registry(spark, sf).read().select("npc_id", "name", "race", "hp", "seq")
+
+
+@query("registry_commits", f"""
+WITH {SQL_ROUNDS},
+tagged AS (SELECT *, ('0x' || substr(md5(npc_id), 1, 8))::BIGINT % {REGISTRY_BUCKETS} AS bucket FROM placed),
+versions AS (SELECT unnest(range({ROUND_COUNT})) AS version),
+changed AS (SELECT round AS version, count(DISTINCT bucket) AS rewritten FROM tagged GROUP BY 1),
+seen AS (SELECT version, count(DISTINCT bucket) AS buckets, count(DISTINCT npc_id) AS records
+         FROM versions JOIN tagged ON round <= version GROUP BY 1)
+SELECT version, rewritten, buckets - rewritten AS kept, records FROM seen JOIN changed USING (version)""")
+def registry_commits(spark, sf):
+    """Partitions that each version rewrote and kept, and the records a reader
+    of that version sees."""
+    table = _stream_registry(spark, sf)
+    seen, before = None, {}
+    for version in table.versions():
+        folders = table.commit(version).folders
+        kept = sum(before.get(b) == f for b, f in folders.items())
+        now = table.read(version).agg(
+            F.lit(version).cast("long").alias("version"), F.lit(len(folders) - kept).cast("long").alias("rewritten"),
+            F.lit(kept).cast("long").alias("kept"), F.count("*").alias("records"))
+        seen, before = now if seen is None else seen.unionByName(now), folders
+    return seen
+
+
 REFS = """
 SELECT CAST(c_custkey + 1 AS STRING) AS ref FROM {customer} UNION ALL SELECT upper(c_name) FROM {customer}
 UNION ALL SELECT upper(substr(md5('npc|' || CAST(c_custkey AS STRING)), 1, 8)) FROM {customer}
@@ -620,6 +680,67 @@ def apply_updates(spark, sf):
     return updated.select("npc_id", "level", "alignment", T.traits_text("extra_traits").alias("traits"), F.array_join("notes", "|").alias("notes"))
 
 
+#: The streams below get their rows in parts that mix early and late ones.
+STREAM_PARTS = 3
+
+
+def _edit_stream(spark, sf):
+    """The edits in several micro-batches, each a restart of the stateful
+    stream: (edits it keeps, rejects)."""
+    folder = working_dir(spark, "edits")
+    edits = run_sql(spark, sf, EDITS, ("orders",))
+    for i in range(STREAM_PARTS):
+        edits.where(F.col("seq") % STREAM_PARTS == i).write.parquet(f"{folder}/in/part={i}")
+        rows = spark.readStream.schema(edits.schema).parquet(f"{folder}/in/part=*")
+        with history.rocksdb(spark):
+            changes.change_stream(
+                changes.checked_edits(rows), _registry(spark, sf), f"{folder}/out", f"{folder}/rejects",
+                f"{folder}/checkpoint").awaitTermination()
+    return changes.read_changes(spark, f"{folder}/out"), spark.read.parquet(f"{folder}/rejects/epoch=*")
+
+
+@query("stream_edits", ORACLES["apply_edits"])
+def stream_edits(spark, sf):
+    edits, _ = _edit_stream(spark, sf)
+    edited, _ = G.apply_edits(G.conform(_registry(spark, sf)), edits)
+    return edited.select("npc_id", "name", "level", "goal", F.array_join("notes", "|").alias("notes"))
+
+
+@query("stream_edit_rejects", ORACLES["edit_rejects"])
+def stream_edit_rejects(spark, sf):
+    _, rejects = _edit_stream(spark, sf)
+    return rejects.select("npc_id", "seq", "field", "value", "reason")
+
+
+@query("stream_updates", ORACLES["apply_updates"])
+def stream_updates(spark, sf):
+    """Texts are read and extracted by one stream, and its rows go through the
+    stateful one, in two rounds."""
+    folder = working_dir(spark, "updates")
+    log = run_sql(spark, sf, UPDATES, ("orders",))
+    clean = _clean(spark, sf).persist()
+    terms, classes = _terms(clean), profile.subclass_to_class(clean, "id")
+
+    def extracted(batch):
+        found = extract.extract_fields(batch.select(F.col("seq").alias("doc_id"), "text"), terms, classes)
+        named = found.withColumnRenamed("doc_id", "seq").join(batch.select("npc_id", "seq"), "seq")
+        return changes.update_rows(batch, named)
+
+    for i in range(2):
+        log.where(F.col("seq") % 2 == i).write.parquet(f"{folder}/in/part={i}")
+        texts = spark.readStream.schema(log.schema).parquet(f"{folder}/in/part=*")
+        changes.rows_stream(texts, extracted, f"{folder}/rows", f"{folder}/read").awaitTermination()
+        rows = spark.readStream.schema(changes.CHANGE_SCHEMA).parquet(f"{folder}/rows/epoch=*")
+        with history.rocksdb(spark):
+            changes.change_stream(
+                rows.withColumn("reason", F.lit(None).cast("string")), _registry(spark, sf), f"{folder}/out",
+                f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
+    clean.unpersist()
+    attributes, notes = changes.split_notes(changes.read_changes(spark, f"{folder}/out"))
+    updated = extract.apply_updates(G.conform(_registry(spark, sf)), notes, attributes)
+    return updated.select("npc_id", "level", "alignment", T.traits_text("extra_traits").alias("traits"), F.array_join("notes", "|").alias("notes"))
+
+
 @query("record_list", f"""
 WITH registry AS ({sql_of(REGISTRY)}), placed AS (SELECT *, row_number() OVER (ORDER BY seq) AS ordinal FROM registry)
 SELECT ordinal, CASE WHEN ordinal < 10 THEN ' ' ELSE '' END || ordinal || '.   ' || name || ' [' || npc_id || '] | ' || race || ' Fighter | curious' AS line FROM placed""")
@@ -639,23 +760,21 @@ capped AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC)
 WITH {SQL_CAPPED}
 SELECT conv_id, count(*) AS turns, md5(string_agg(role || ':' || text, chr(10) ORDER BY turn)) AS digest FROM capped WHERE rn <= 4 GROUP BY conv_id""")
 def capped_history(spark, sf):
-    history = D.bounded_history(table(spark, sf, "conversations"), 4)
+    capped = D.bounded_history(table(spark, sf, "conversations"), 4)
     lines = F.transform("history", lambda t: F.concat(t["role"], F.lit(":"), t["content"]))
-    return history.select("conv_id", F.size("history").cast("long").alias("turns"), F.md5(F.array_join(lines, "\n")).alias("digest"))
+    return capped.select("conv_id", F.size("history").cast("long").alias("turns"), F.md5(F.array_join(lines, "\n")).alias("digest"))
 
 
 @query("stream_history", f"WITH {SQL_CAPPED} SELECT conv_id, turn, role, text FROM capped WHERE rn <= 4")
 def stream_history(spark, sf):
     """The same cap as a stream with keyed state."""
-    from taleweave.streaming import history as H
-
     folder = working_dir(spark, "history")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", H.ROCKSDB)
-    turns = spark.readStream.schema(H.TURN_SCHEMA).option("pathGlobFilter", "conversations.parquet").parquet(sf)
-    run = H.bounded_history(turns, 4).writeStream.format("parquet").option("path", folder + "/out") \
-        .option("checkpointLocation", folder + "/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    out = spark.read.schema(H.OUT_SCHEMA).parquet(folder + "/out")
+    turns = spark.readStream.schema(history.TURN_SCHEMA).option("pathGlobFilter", "conversations.parquet").parquet(sf)
+    with history.rocksdb(spark):
+        run = history.bounded_history(turns, 4).writeStream.format("parquet").option("path", folder + "/out") \
+            .option("checkpointLocation", folder + "/state").trigger(availableNow=True).start()
+        run.awaitTermination()
+    out = spark.read.schema(history.OUT_SCHEMA).parquet(folder + "/out")
     newest = out.groupBy("conv_id").agg(F.max("version").alias("version"))
     return out.join(newest, ["conv_id", "version"]).select("conv_id", "turn", "role", "text")
 

@@ -15,7 +15,7 @@ from taleweave.operators import registry as registry_ops
 from taleweave.operators import relational as R
 
 RUN_SCHEMA = (
-    "run string, steps array<int>, train_loss array<double>, val_loss array<double>, elapsed_minutes double"
+    "run string, part int, steps array<int>, train_loss array<double>, val_loss array<double>, elapsed_minutes double"
 )
 
 
@@ -121,9 +121,11 @@ def read_examples(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Run histories; an absent table gives no rows."""
+    """Run histories in parts; files without parts have whole runs. An absent
+    table gives no rows."""
     try:
-        return spark.read.schema(RUN_SCHEMA).parquet(path)
+        runs = spark.read.schema(RUN_SCHEMA).parquet(path)
+        return runs.withColumn("part", F.coalesce("part", F.lit(0)))
     except AnalysisException:
         return spark.createDataFrame([], RUN_SCHEMA)
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 TURN_SCHEMA = "conv_id long, turn long, role string, text string"
@@ -52,3 +53,15 @@ def bounded_history(turns: DataFrame, cap: int = 24) -> DataFrame:
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)

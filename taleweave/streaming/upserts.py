@@ -1,34 +1,39 @@
-"""Latest-wins upserts of a record stream into a versioned registry table."""
+"""Latest-wins upserts of a record stream into a partitioned registry table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from taleweave.operators import ordering
-from taleweave.operators.registry import conform, upsert
-from taleweave.sources.readers import read_registry_table
-from taleweave.sources.writers import write_registry
+from taleweave.operators.registry import conform
+from taleweave.sources.partitioned import BUCKETS, PartitionedTable
 
 
-def apply_batch(batch: DataFrame, epoch: int, path: str, order: str) -> None:
-    """Merge one micro-batch into version `epoch + 1`.
+def apply_batch(batch: DataFrame, epoch: int, path: str, order, stream: str = "", buckets: int = BUCKETS) -> int | None:
+    """Merge one micro-batch; only the partitions of its ids are rewritten.
 
-    The version follows from the epoch and the base is the newest version
-    below it, so a replayed batch rewrites the same version.
+    A stream is known by a name, its checkpoint folder as a rule. A batch that
+    is replayed after its commit changes nothing; one that failed before it is
+    applied as if for the first time. Returns the version, None for a replay.
     """
-    spark = batch.sparkSession
-    registry = read_registry_table(spark, path, below=epoch + 1)
-    top = registry.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("m")).first()["m"]
-    placed = ordering.ordinal(batch, order, out="_n").withColumn("seq", F.col("_n") + F.lit(top))
-    write_registry(upsert(registry, conform(placed.drop("_n"))), path, epoch + 1)
-
-
-def upsert_stream(stream: DataFrame, path: str, checkpoint: str, order: str, **trigger) -> StreamingQuery:
-    """Start the upsert query; rows of a batch apply in `order`."""
+    order = [order] if isinstance(order, str) else list(order)
+    # the order columns need not be columns of a record
+    named = {c: f"_order{i}" for i, c in enumerate(order)}
+    given = batch.withColumns({n: batch[c] for c, n in named.items()})
+    records = conform(given, keep=list(named.values()))
+    table = PartitionedTable(batch.sparkSession, path, buckets=buckets)
+    return table.upsert(records, list(named.values()), stream, epoch, drop=named.values())
+
+
+def upsert_stream(stream: DataFrame, path: str, checkpoint: str, order, buckets: int = BUCKETS, **trigger) -> StreamingQuery:
+    """Start the upsert query; rows of a batch apply in `order`. Restarted from
+    the same checkpoint it goes on where it was, each row applied once."""
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, epoch: apply_batch(batch, epoch, path, order))
+        .foreachBatch(lambda batch, epoch: _tell(apply_batch(batch, epoch, path, order, checkpoint, buckets)))
         .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def _tell(_) -> None:
+    """foreachBatch takes functions without a result."""

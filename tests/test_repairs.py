@@ -46,9 +46,42 @@ def test_cuts_of_one_key_end(spark):
     assert (cut.key, cut.offset) == ((1,), 0)
     done = O.pieces(df, "k", F.col("w"), [cut]).groupBy("piece").count().collect()
     assert sorted((r["piece"], r["count"]) for r in done) == [(0, 1500), (1, 1500)]
-    same = spark.range(3000).select(F.lit(1).alias("k"), F.lit(1).alias("w"))
-    with pytest.raises(ValueError):
-        O.find_cuts(same, "k", F.col("w"), [1500], leaf_rows=50)
+    # rows without any difference are cut by their number
+    same = spark.range(3000).select(F.lit(1).alias("k"), F.lit(4).alias("w"))
+    cuts = O.find_cuts(same, "k", F.col("w"), [6001, 6003, 9000], leaf_rows=50)
+    assert [(c.key, c.offset, c.copies) for c in cuts] == [((1,), 1, 3000), ((1,), 3, 3000), ((1,), 0, 3000)]
+    done = O.pieces(same, "k", F.col("w"), cuts).groupBy("piece").agg(
+        F.sum(F.col("piece_to") - F.col("piece_from")).alias("w"), F.count("*").alias("n")).collect()
+    assert {r["piece"]: (r["w"], r["n"]) for r in done} == {0: (6001, 1501), 1: (2, 1), 2: (2997, 750), 3: (3000, 750)}
+
+
+def test_split_of_a_doubled_table(spark):
+    rows = [(i % 5, "abcdefghij"[: i % 7]) for i in range(40)] + [(None, "zz")] * 9
+    docs = spark.createDataFrame(rows * 2, "doc_id int, text string")
+    vocab = C.char_vocab(docs)
+    total = sum(len(t) for _, t in rows * 2)
+    for fraction in (0.05, 0.5, 0.9):
+        split = C.encode_split(docs, vocab, "doc_id", fraction).collect()
+        train = sum(len(r["ids"]) for r in split if r["split"] == "train")
+        assert train == math.floor(total * fraction) and sum(len(r["ids"]) for r in split) == total
+        top = max((r["doc_id"] is not None, r["doc_id"] or 0) for r in split if r["split"] == "train")
+        low = min((r["doc_id"] is not None, r["doc_id"] or 0) for r in split if r["split"] == "val")
+        assert top <= low
+
+
+def test_a_split_reads_texts_twice(spark, tmp_path):
+    """One scan for the sums, one for the split; the descent reads sums only."""
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        reads.add(1)
+        return text
+
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    docs = docs.withColumn("text", seen.asNondeterministic()("text"))
+    C.split_position(docs, "doc_id", 0.9).write.format("noop").mode("overwrite").save()
+    assert reads.value <= 2 * 500
 
 
 def test_responses_keep_everything(spark):

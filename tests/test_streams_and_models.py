@@ -27,25 +27,6 @@ def test_stream_history_equals_batch(spark, tmp_path):
     assert sorted((c, x) for c, _, x in got) == sorted((r["conv_id"], r["text"]) for r in batch.collect())
 
 
-def test_upsert_stream(spark, tmp_path):
-    from taleweave.sources.readers import read_registry_table
-    from taleweave.streaming.upserts import apply_batch, upsert_stream
-
-    schema = "npc_id string, name string, at long"
-    source, table = str(tmp_path / "in"), str(tmp_path / "table")
-    for rows in ([("a", "one", 1), ("b", "two", 2)], [("a", "three", 3), ("c", "four", 4)]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    upsert_stream(stream, table, str(tmp_path / "cp"), "at").awaitTermination()
-    names = lambda: [(r["npc_id"], r["name"]) for r in read_registry_table(spark, table).orderBy("seq").collect()]
-    first = names()
-    assert len(first) == 3 and dict(first)["b"] == "two" and dict(first)["c"] == "four"
-    # replaying the last batch changes nothing
-    last = spark.read.parquet(source).where("at >= 3")
-    apply_batch(last, 1, table, "at")
-    assert sorted(names()) == sorted(first)
-
-
 def brute_merges(words, steps):
     parts = {w: [f"{b:02X}" for b in w.encode()] for w in words}
     merges = []
@@ -104,3 +85,91 @@ def test_top_k_keeps_ties(spark):
     counts = spark.createDataFrame([("a", "x", 5), ("a", "y", 3), ("a", "z", 3), ("a", "w", 1)], "context string, next string, n long")
     rows = N.next_token_dist(counts, 2).collect()
     assert {r["next"] for r in rows} == {"x", "y", "z"} and abs(sum(r["p"] for r in rows) - 1) < 1e-12
+
+
+def test_a_round_touches_only_words_with_its_pairs(spark):
+    text = "the cat sat on the mat, that cat and the rat: banana été naïve " * 2
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    counted = B.word_counts(docs)
+    parts = {r["word"]: [f"{b:02X}" for b in r["word"].encode()] for r in counted.collect()}
+    times = {r["word"]: r["n"] for r in counted.collect()}
+    index = B.PairIndex(counted)
+    for i, pair in enumerate([("61", "74"), ("20", "74"), ("68", "65"), ("2074", "6865"), ("20", "6D"), ("74", "68"), ("6E", "61")]):
+        held = {w for w, s in parts.items() if pair in set(zip(s, s[1:]))}
+        assert {r["word"] for r in index.words_with([pair]).collect()} == held
+        parts = {w: B.encode_word(s, {pair: 0}) for w, s in parts.items()}
+        index.merge([pair])
+        if index.fresh:
+            assert {r["word"] for r in index._read(index.fresh[-1:]).collect()} == held
+        counts = Counter()
+        for w, s in parts.items():
+            for p in zip(s, s[1:]):
+                counts["><".join(p)] += times[w]
+        assert {r["pair"]: r["n"] for r in index.pair_counts().collect()} == counts
+        if i in (2, 4):  # putting changes together changes nothing that is read
+            index._gather()
+            assert {r["pair"]: r["n"] for r in index.pair_counts().collect()} == counts
+
+
+CHANGES = [  # npc_id, seq, field, value
+    ("a", 5, "goal", "late"), ("a", 2, "goal", "early"), ("a", 3, "level", "x"), ("a", 4, "level", "7"), ("b", 1, "hat", "red"),
+    ("ghost", 1, "goal", "none"), ("b", 9, "notes", "p, q,,r"), ("b", 8, "notes", "old"), ("b", 2, None, "v"), ("a", 6, "quirk", None),
+]
+
+
+def test_edit_stream_equals_batch(spark, tmp_path):
+    from taleweave.operators import registry as G
+    from taleweave.streaming import changes as C
+    from taleweave.streaming import history as H
+
+    records = G.conform(spark.createDataFrame([("a", "Ann", 1), ("b", "Bob", 2), ("c", "Cid", 3)], "npc_id string, name string, seq long"))
+    schema = "npc_id string, seq long, field string, value string"
+    source = str(tmp_path / "in")
+    for i in range(3):
+        spark.createDataFrame(CHANGES[i::3], schema).coalesce(1).write.mode("append").parquet(source)
+        with H.rocksdb(spark):
+            C.change_stream(
+                C.checked_edits(spark.readStream.schema(schema).parquet(source)), records, str(tmp_path / "out"),
+                str(tmp_path / "no"), str(tmp_path / "cp")).awaitTermination()
+    want, refused = G.apply_edits(records, spark.createDataFrame(CHANGES, schema))
+    got, _ = G.apply_edits(records, C.read_changes(spark, str(tmp_path / "out")))
+
+    def rows(df):
+        return sorted(map(repr, df.select("npc_id", "level", "goal", "quirk", "notes").collect()))
+
+    assert rows(got) == rows(want)
+    keys = ["npc_id", "seq", "field", "value", "reason"]
+    rejects = spark.read.parquet(str(tmp_path / "no" / "epoch=*"))
+    assert sorted(map(repr, rejects.select(*keys).collect())) == sorted(map(repr, refused.select(*keys).collect()))
+    assert refused.count() == 4
+
+
+def test_update_state_is_bounded_and_whole(spark, tmp_path):
+    from taleweave.operators import extract
+    from taleweave.operators import registry as G
+    from taleweave.streaming import changes as C
+    from taleweave.streaming import history as H
+
+    records = G.conform(spark.createDataFrame([("a", "Ann", 1), ("b", "Bob", 2)], "npc_id string, name string, seq long"))
+    log = [("a", i, f" text {i} " if i % 4 else "  ") for i in range(30)] + [("b", 3, "only")]
+    found = [("a", i, "goal", f"g{i}") for i in range(0, 30, 7)] + [("a", 11, "trait:x", "1"), ("a", 11, "trait:y", "2"),
+             ("a", 20, "trait:z", "3"), ("b", 3, "trait:x", "9")]
+    log_df = spark.createDataFrame(log, "npc_id string, seq long, text string")
+    attributes = spark.createDataFrame(found, C.CHANGE_SCHEMA)
+    rows = C.update_rows(log_df, attributes)
+    source = str(tmp_path / "in")
+    for i in (2, 0, 1):  # newest traits may come first
+        rows.where(F.col("seq") % 3 == i).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(C.CHANGE_SCHEMA).parquet(source).withColumn("reason", F.lit(None).cast("string"))
+        with H.rocksdb(spark):
+            C.change_stream(stream, records, str(tmp_path / "out"), str(tmp_path / "no"), str(tmp_path / "cp"), 5).awaitTermination()
+    short = C.read_changes(spark, str(tmp_path / "out"))
+    assert short.where(F.col("field") == C.NOTE).groupBy("npc_id").count().agg(F.max("count")).first()[0] == 5
+    short_attributes, short_log = C.split_notes(short)
+
+    def state(log_, attributes_):
+        updated = extract.apply_updates(records, log_, attributes_, note_cap=5)
+        return sorted(map(repr, updated.select("npc_id", "goal", "extra_traits", "notes").collect()))
+
+    assert state(short_log, short_attributes) == state(log_df, attributes)
+    assert C.read_changes(spark, str(tmp_path / "none")).count() == 0
