@@ -14,6 +14,8 @@ from taleweave.functions.text import col, norm_phrase
 from taleweave.operators import relational as R
 
 TOKEN = r"(?U)(\w+)"
+#: First words of a dictionary up to which runs are looked at before the join.
+FIRST_WORDS = 2000
 
 
 def words_of(c) -> Column:
@@ -25,29 +27,36 @@ def _once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def windows(tokens: Column, widths) -> Column:
-    """Distinct runs of neighbouring tokens of the given widths, space-joined."""
+def windows(tokens: Column, widths, firsts: list[str] | None = None) -> Column:
+    """Distinct runs of neighbouring tokens of the given widths, space-joined;
+    only those that begin with one of `firsts`, if given."""
     def of_width(t: Column, w: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1))),
-                          lambda i: i + F.lit(w - 1) <= F.size(t))
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1))), lambda i: fits(t, i, w))
         return F.transform(starts, lambda i: F.array_join(F.slice(t, i, F.lit(w)), " "))
 
+    def fits(t: Column, i: Column, w: int) -> Column:
+        inside = i + F.lit(w - 1) <= F.size(t)
+        return inside if firsts is None else inside & F.get(t, i - 1).isin(firsts)
+
     return _once(tokens, lambda t: F.array_distinct(F.flatten(F.array(*[of_width(t, w) for w in widths]))))
 
 
 # --- containment -------------------------------------------------------------
 
-def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Dictionary with the word run each term is looked up by, and run widths."""
+def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int], list[str] | None]:
+    """Dictionary with the word run each term is looked up by, run widths, and
+    the first words of runs, or None if they are too many for a filter."""
     keyed = R.settle(
         terms.select("field", "term").distinct()
         .withColumn("_words", words_of("term"))
         .withColumn("_run", F.array_join("_words", " "))
         .withColumn("_width", F.size("_words"))
         # a term of one plain word needs no further check once its run is found
-        .withColumn("_plain", F.regexp_like(F.lower("term"), F.lit(r"(?U)^\w+$"))).drop("_words"))
+        .withColumn("_plain", F.regexp_like(F.lower("term"), F.lit(r"(?U)^\w+$")))
+        .withColumn("_first", F.get("_words", F.lit(0))).drop("_words"))
     widths = keyed.where("_width > 0").agg(F.collect_set("_width").alias("w")).first()["w"]
-    return keyed.drop("_width"), sorted(widths) or [1]
+    firsts = [r["_first"] for r in keyed.where("_width > 0").select("_first").distinct().limit(FIRST_WORDS + 1).collect()]
+    return keyed.drop("_width", "_first"), sorted(widths) or [1], firsts if len(firsts) <= FIRST_WORDS else None
 
 
 def _whole_words(text: str, term: str) -> Column:
@@ -65,9 +74,10 @@ def match_dictionary(docs: DataFrame, terms: DataFrame, key: str = "doc_id", tex
     it meet their text again. Equal lengths go to the alphabetically first
     term. `key` names a text. Returns (key, field, value).
     """
-    keyed, widths = _keyed_terms(terms)
+    keyed, widths, firsts = _keyed_terms(terms)
     lowered = docs.select(key, F.lower(F.col(text)).alias("_text"))
-    hits = lowered.select(key, F.explode(windows(words_of("_text"), widths)).alias("_run")).join(keyed, "_run")
+    # runs that begin with no term's first word are not shuffled
+    hits = lowered.select(key, F.explode(windows(words_of("_text"), widths, firsts)).alias("_run")).join(keyed, "_run")
     unsure = hits.where(~F.col("_plain")).select(key, "field", "term", "_plain")
     checked = unsure.join(lowered, key).where(_whole_words("_text", "term"))
     sure = hits.where("_plain").select(key, "field", "term").unionByName(checked.select(key, "field", "term"))
@@ -83,10 +93,10 @@ def spell(rows: DataFrame, terms: DataFrame, by: list[str], field: str = "field"
     One pass over the rows: word runs are looked up by (field, run) in a left
     join and folded back per row. `by` identifies a row.
     """
-    keyed, widths = _keyed_terms(terms)
+    keyed, widths, firsts = _keyed_terms(terms)
     keyed = keyed.withColumnRenamed("field", field)
     runs = rows.withColumn("_text", F.lower(value)) \
-        .withColumn("_run", F.explode_outer(windows(words_of("_text"), widths)))
+        .withColumn("_run", F.explode_outer(windows(words_of("_text"), widths, firsts)))
     joined = runs.join(keyed, [field, "_run"], "left")
     hit = F.when(_whole_words("_text", "term"),
                  F.struct((-F.length("term")).alias("size"), F.col("term").alias("term")))

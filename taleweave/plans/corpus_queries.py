@@ -355,6 +355,24 @@ def examples_roundtrip(spark, sf):
         F.count("*").alias("examples"), F.sum(F.length("text")).alias("characters"))
 
 
+SQL_FILE_TEXT = "rtrim(ltrim(replace(text, chr(13), ' '), chr(10)), chr(10))"
+
+
+@query("corpus_files", f"""
+WITH t AS (SELECT {SQL_FILE_TEXT} AS text FROM documents),
+blocks AS (SELECT unnest(string_split(text, chr(10) || chr(10))) AS block FROM t)
+SELECT md5(block) AS digest, count(*) AS n, max(length(block)) AS chars FROM blocks GROUP BY block""")
+def corpus_files(spark, sf):
+    """Write the documents into a few large files, read them as blocks between
+    blank lines, each file by many tasks."""
+    folder = working_dir(spark, "corpus")
+    text = F.trim(F.translate("text", "\r", " "), F.lit("\n"))
+    documents(spark, sf).select(text.alias("value")).write.option("lineSep", "\n\n").text(folder)
+    blocks = readers.read_corpus_blocks(spark, folder)
+    return blocks.groupBy(F.md5("text").alias("digest")).agg(
+        F.count("*").alias("n"), F.max(F.length("text")).cast("long").alias("chars"))
+
+
 @query("extended_task_vocab", f"""
 WITH {SQL_CHARS}, {SQL_SPEECHES}, {SQL_TOP}, {SQL_TASK_A}, {SQL_TASK_B},
 wanted AS (SELECT DISTINCT unnest(string_split(t, '')) AS token FROM (

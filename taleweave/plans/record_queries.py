@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from taleweave.functions import lexicon as X
 from taleweave.functions import records as RF
 from taleweave.functions import text as T
+from taleweave.operators import create
 from taleweave.operators import dialogue as D
 from taleweave.operators import extract, landing, matching, ordering, profile, render
 from taleweave.operators import registry as G
@@ -405,13 +406,25 @@ def extract_fields(spark, sf):
 
 
 TYPOS = """
-SELECT doc_id, 'the ' || substr(lower(cls), 1, 2) || substr(lower(cls), 4) || ' ' || first || ' is lawfull goood and suspicous' AS text, cls, race FROM {prompts} p
+SELECT doc_id, 'the ' || substr(lower(cls), 1, 2) || substr(lower(cls), 4) || ' ' || first || ' is '
+  || CASE doc_id % 4 WHEN 0 THEN 'lawfull goood' WHEN 1 THEN 'chaotic evill' WHEN 2 THEN 'nuetral good' ELSE 'lowfil gud' END
+  || ' and ' || CASE doc_id % 3 WHEN 0 THEN 'suspicous' WHEN 1 THEN 'grieveing' ELSE 'prwd' END
+  || CASE WHEN doc_id % 2 = 0 THEN ', wields blde ' || lower(race) ELSE '' END AS text, cls, race FROM {prompts} p
 """
 
 
-@query("fuzzy_repair")
+@query("fuzzy_repair", f"""
+WITH {SQL_PROMPTS}, typed AS ({TYPOS.format(prompts="prompts")}),
+repaired AS (
+  SELECT doc_id, 'primary_class' AS field, cls AS value FROM typed
+  UNION ALL SELECT doc_id, 'alignment', CASE doc_id % 4 WHEN 0 THEN 'Lawful Good' WHEN 1 THEN 'Chaotic Evil' WHEN 2 THEN 'Neutral Good' END FROM typed
+  UNION ALL SELECT doc_id, 'emotional_state', CASE doc_id % 3 WHEN 0 THEN 'suspicious' WHEN 1 THEN 'grieving' END FROM typed
+  UNION ALL SELECT doc_id, 'race', CASE WHEN doc_id % 2 = 0 THEN race END FROM typed
+  UNION ALL SELECT doc_id, 'weapon', CASE WHEN doc_id % 2 = 0 THEN 'Blade ' || race END FROM typed)
+SELECT * FROM repaired WHERE value IS NOT NULL""")
 def fuzzy_repair(spark, sf):
-    """Typed errors in class, alignment and mood, repaired by similarity."""
+    """Typed errors repaired by similarity; what is too far from every term
+    stays open."""
     clean = _clean(spark, sf).persist()
     typed = run_sql(spark, sf, TYPOS, (), prompts=_prompts(spark, sf))
     nothing = spark.createDataFrame([], "doc_id long, field string, value string")
@@ -419,6 +432,37 @@ def fuzzy_repair(spark, sf):
                                cutoffs={**X.FUZZY_CUTOFFS, "primary_class": 0.82})
 
 
+STORED = """
+SELECT substr(md5(CAST(c_custkey AS STRING)), 1, 8) AS npc_id, lower(c_name) AS name, 'Folk' AS race,
+       CAST(c_custkey + 1 AS BIGINT) AS seq FROM {customer} c WHERE c_custkey % 3 = 0
+"""
+
+
+@query("created_records", f"""
+WITH {SQL_PEOPLE}, prompts AS ({sql_of(PROMPTS, raw='raw')}), stored AS ({sql_of(STORED)}),
+made AS (
+  SELECT substr(md5(CAST(p.id AS VARCHAR)), 1, 8) AS npc_id, q.first || ' ' || q.last AS name, q.race, q.cls AS primary_class, q.bg AS background,
+    CAST(q.lv AS INTEGER) AS level, CAST(q.hp AS INTEGER) AS hp,
+    CASE WHEN doc_id % 2 = 0 THEN q.al ELSE p.alignment END AS alignment,
+    CASE WHEN doc_id % 2 = 0 AND doc_id % 7 = 0 THEN CASE WHEN length(q.mood) > 4 THEN q.mood ELSE 'calm' END
+         WHEN doc_id % 2 = 0 THEN q.mood WHEN doc_id % 7 = 0 THEN 'calm' ELSE p.emotional_state END AS emotional_state,
+    CASE WHEN doc_id % 5 = 0 THEN 14 ELSE p.str END AS str,
+    (SELECT max(seq) FROM stored) + row_number() OVER (ORDER BY doc_id) AS seq
+  FROM prompts q JOIN people p ON p.id = q.doc_id)
+SELECT coalesce(m.npc_id, s.npc_id) AS npc_id, coalesce(m.name, s.name) AS name, coalesce(m.race, s.race) AS race, coalesce(m.primary_class, 'Fighter') AS primary_class,
+  m.background, m.level, m.hp, m.alignment, m.emotional_state, m.str, coalesce(s.seq, m.seq) AS seq
+FROM made m FULL JOIN stored s ON m.npc_id = s.npc_id""")
+def created_records(spark, sf):
+    """Records made from prompts, over stored ones that some of them replace."""
+    clean = _clean(spark, sf).persist()
+    stored = G.conform(run_sql(spark, sf, STORED, ("customer",)))
+    made = create.create_records(
+        _prompts(spark, sf), profile.Learned(clean), _terms(clean), profile.subclass_to_class(clean, "id"), SEED, stored=stored)
+    old = F.col("source_prompt").isNull() | (F.col("source_prompt") == "")
+    fresh = [F.when(~old, F.col(c)).alias(c) for c in ("background", "level", "hp", "alignment", "emotional_state", "str")]
+    return made.select("npc_id", "name", "race", "primary_class", *fresh, "seq")
+
+
 # --- landing -----------------------------------------------------------------
 
 RESPONSES = """
@@ -599,6 +643,48 @@ def registry_commits(spark, sf):
     return seen
 
 
+#: Records of a file of the legacy format, so that a large registry is several.
+FILE_RECORDS = 50_000
+
+
+@query("registry_arrays", f"""
+WITH {SQL_REGISTRY}
+SELECT npc_id, name, race, hp, 'says "}}' || chr(92) || '{{" ' || seq AS quirk, len(string_split(race, 'I')) AS notes FROM registry""")
+def registry_arrays(spark, sf):
+    """Write the registry as JSON arrays, one plain and the others under a key,
+    beside a broken file; read them back in pieces."""
+    folder = working_dir(spark, "arrays")
+    records = _registry(spark, sf).withColumn("quirk", F.concat(F.lit('says "}\\{" '), "seq"))
+    files = max(2, -(-records.count() // FILE_RECORDS))
+    shown = F.to_json(F.struct("npc_id", "name", "race", F.col("hp").alias("HP"), "quirk", F.split("race", "I").alias("notes")))
+    body = records.select(F.pmod(F.xxhash64("npc_id"), F.lit(files)).cast("int").alias("file"), F.lit(1).alias("part"), "npc_id", shown.alias("value"))
+    # a comma goes before every record but the first of a file
+    heads = body.groupBy("file").agg(F.min("npc_id").alias("npc_id")).withColumn("head", F.lit(True))
+    body = body.join(heads, ["file", "npc_id"], "left").withColumn(
+        "value", F.when(F.col("head"), F.col("value")).otherwise(F.concat(F.lit(", "), "value"))).drop("head")
+    ends = spark.range(files).select(F.col("id").cast("int").alias("file"), F.inline(F.array(*[
+        F.struct(F.lit(p).alias("part"), F.when(F.col("id") == 0, a).otherwise(b).alias("value"))
+        for p, a, b in ((0, "[", '{"made": {"by": "x"}, "npcs": ['), (2, "]", "]}"))])))
+    lines = body.unionByName(ends.withColumn("npc_id", F.lit(None).cast("string")))
+    lines.repartition("file").sortWithinPartitions("file", "part", "npc_id").select("value", "file") \
+        .write.partitionBy("file").text(f"{folder}/in")
+    spark.range(1).select(F.lit('[{"npc_id": "lost", "name": "n"}, {"npc_id": ').alias("value")).write.text(f"{folder}/in/file=bad")
+    read = readers.read_registry_arrays(spark, f"{folder}/in/*/*.txt")
+    return read.select("npc_id", "name", "race", "hp", "quirk", F.size("notes").cast("long").alias("notes"))
+
+
+@query("character_files", f"""
+WITH {SQL_RAW}
+SELECT id::VARCHAR AS id, nullif(race, 'NA') AS race, nullif(processedRace, 'NA') AS processedRace, justClass, nullif(subclass, 'NA') AS subclass,
+  nullif(weapons, 'NA') AS weapons, nullif(Cha, '') AS Cha FROM raw""")
+def character_files(spark, sf):
+    """Write the character table with semicolons, read it back as text."""
+    folder = working_dir(spark, "characters")
+    _raw(spark, sf).write.csv(folder, sep=";", header=True)
+    read = readers.read_characters(spark, folder)
+    return read.select("id", "race", "processedRace", "justClass", "subclass", "weapons", "Cha")
+
+
 REFS = """
 SELECT CAST(c_custkey + 1 AS STRING) AS ref FROM {customer} UNION ALL SELECT upper(c_name) FROM {customer}
 UNION ALL SELECT upper(substr(md5('npc|' || CAST(c_custkey AS STRING)), 1, 8)) FROM {customer}

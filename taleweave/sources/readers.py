@@ -13,6 +13,7 @@ from taleweave.functions.text import extract_answer, strip
 from taleweave.operators import ordering
 from taleweave.operators import registry as registry_ops
 from taleweave.operators import relational as R
+from taleweave.sources.json_arrays import read_json_array
 
 RUN_SCHEMA = (
     "run string, part int, steps array<int>, train_loss array<double>, val_loss array<double>, elapsed_minutes double"
@@ -45,6 +46,25 @@ def read_corpus_blocks(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("block"), F.col("value").alias("text"))
 
 
+def _shown_schema() -> T.StructType:
+    """Record fields under their names in JSON."""
+    return T.StructType([T.StructField(DISPLAY.get(f.name, f.name), f.dataType) for f in RECORD_SCHEMA.fields])
+
+
+def _stored(rows: DataFrame, order: list[str]) -> DataFrame:
+    rows = rows.withColumnsRenamed({v: k for k, v in DISPLAY.items()})
+    numbered = ordering.ordinal(rows, order, out="seq").drop(*order)
+    named = registry_ops.conform(numbered, ["seq", "name"])
+    return registry_ops.upsert(named, named.limit(0))
+
+
+def read_registry_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """`read_registry` for files too large for one task, each an array of
+    records or an object with them under `npcs`."""
+    rows = read_json_array(spark, path, _shown_schema())
+    return _stored(rows.select("path", "n", "record.*").withColumnsRenamed({"path": "_path", "n": "_n"}), ["_path", "_n"])
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Records of a JSON registry with their insertion order in `seq`.
 
@@ -52,8 +72,7 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     file gives no rows. A later duplicate id replaces the values but keeps the
     first position.
     """
-    record = RECORD_SCHEMA
-    shown = T.StructType([T.StructField(DISPLAY.get(f.name, f.name), f.dataType) for f in record.fields])
+    shown = _shown_schema()
     schema = T.StructType(shown.fields + [T.StructField("npcs", T.ArrayType(shown)), T.StructField("_bad", T.StringType())])
     try:
         # one small JSON document per file, as the format requires
@@ -66,11 +85,8 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(*[F.col(f.name).cast("string") for f in shown.fields if f.name in ("npc_id", "name", "race", "primary_class")]).isNotNull(),
         F.array(own))
     rows = raw.select("_row", F.posexplode(listed).alias("_pos", "r")).select("_row", "_pos", "r.*")
-    rows = rows.withColumnsRenamed({v: k for k, v in DISPLAY.items()})
-    # file order; a registry file fits one task, larger sets live in Parquet
-    numbered = ordering.ordinal(rows, ["_row", "_pos"], out="seq").drop("_row", "_pos")
-    named = registry_ops.conform(numbered, ["seq", "name"])
-    return registry_ops.upsert(named, named.limit(0))
+    # file order; a registry file fits one task, `read_registry_arrays` takes larger ones
+    return _stored(rows, ["_row", "_pos"])
 
 
 def _manifest(path: str) -> str:
