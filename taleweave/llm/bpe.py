@@ -103,7 +103,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], codes: dict[bytes, int], buckets:
     """
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        tags = batch.column("tag").to_pylist()
+        tags = list(zip(*[batch.column(c).to_pylist() for c in wt.TAGS]))
         start, words, sizes = 0, [], []
         for i, raw in enumerate(wt.raw_texts(batch.column("text"))):
             found = raw.split()
@@ -246,7 +246,7 @@ def _in_order(shared, finish):
 
 def _encoded(docs: DataFrame, path: str, key: str, text: str, schema: str, finish=None) -> DataFrame:
     spark = docs.sparkSession
-    rows = wt.keyed(docs, key, text)
+    rows = wt.keyed(docs.withColumn(key, F.col(key).cast("long")), key, text)
     words = wt.frequent_words(rows)
     listed = spark.sparkContext.broadcast(words)
     ids = spark.sparkContext.broadcast(_encode_frequent(spark, words, path) if words else (
@@ -265,8 +265,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     file at `path` gives them without added special tokens. The file must lie
     at that path on every machine.
 
-    A null text is empty and has no ids. Rows that repeat id and text give one
-    row each. Other columns are ignored. An empty table gives an empty result.
+    The key is a whole number. A null text is empty and has no ids. Rows that
+    repeat id and text give one row each. Other columns are ignored. An empty table gives an empty result.
     The input is read more than once and must be the same each time, as a
     table is; if it is not, an error says so.
     """

@@ -24,7 +24,8 @@ from taleweave.llm import wordtable as wt
 
 #: What stands for the space before a word in the pieces.
 WORD_START = "▁"
-_COUNTED = "doc_id long, tag long, rows int, n_words long, n_tokens long, score long"
+_SUMS = ["n_words", "n_tokens", "score"]
+_COUNTED = "tag long, more long, n_words long, n_tokens long, score long"
 
 
 def piece_scores(path: str) -> tuple[dict[str, int], list[int]]:
@@ -86,15 +87,11 @@ def _count_words(model):
         trie = TrieScores(*model.value)
         for batch, run_of, words in wt.runs(batches, "word"):
             ends = np.array([trie.terminal(WORD_START + w) for w in words.to_pylist()], np.int64).reshape(-1, 2)
-            at = batch.column("at").to_numpy(zero_copy_only=False)
-            often = at & 0xFFFFFFFF
+            often = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)
             tokens, scores = often * ends[run_of, 0], often * ends[run_of, 1]
-            # one row per document and batch
-            tags = at >> 32
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(tags), pa.array(np.zeros(len(at), np.int32)), pa.array(often),
-                 pa.array(tokens), pa.array(scores)],
-                names=["doc_id", "tag", "rows", "n_words", "n_tokens", "score"])
+                [*[batch.column(c) for c in wt.TAGS], pa.array(often), pa.array(tokens), pa.array(scores)],
+                names=[*wt.TAGS, *_SUMS])
 
     return run
 
@@ -110,9 +107,9 @@ def _count_frequent(listed, values):
                 out.append((len(found), *table[found].sum(axis=0).tolist()))
             sums = np.array(out, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("tag"), pa.array(np.ones(len(sums), np.int32)),
+                [batch.column("doc_id"), *[batch.column(c) for c in wt.TAGS],
                  *[pa.array(np.ascontiguousarray(sums[:, i])) for i in range(3)]],
-                names=["doc_id", "tag", "rows", "n_words", "n_tokens", "score"])
+                names=["doc_id", *wt.TAGS, *_SUMS])
 
     return run
 
@@ -122,30 +119,35 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     tokens of their best unigram segmentations, and the sum of the scores in
     micro-nats. `path` names a sentencepiece file that every machine has.
 
-    A null text is empty: no words, no tokens, score 0. Rows that repeat id
+    A null text is empty: no words, no tokens, score 0. The key may be of any
+    type; rows that share an id are counted apart, and those that repeat id
     and text give one row each. Other columns are ignored. An empty table
     gives an empty result.
     """
     spark = docs.sparkSession
     rows = wt.keyed(docs, key, text)
+    kind = rows.schema["doc_id"].dataType.simpleString()
     model = spark.sparkContext.broadcast(piece_scores(path))
     words = wt.frequent_words(rows)
     # the list is of bounded size; its words are counted over a trie as well
-    listed = pa.table({"doc_id": pa.array(range(len(words)), pa.int64()), "at": pa.array([1] * len(words), pa.int64()),
-                       "word": pa.array(words, pa.binary()).cast(pa.string())})
+    listed = pa.table({
+        "tag": pa.array(range(len(words)), pa.int64()), "more": pa.array([0] * len(words), pa.int64()),
+        "n": pa.array([1] * len(words), pa.int32()), "word": pa.array(words, pa.binary()).cast(pa.string())})
     table = np.zeros((len(words), 2), np.int64)
     if words:
         counted = spark.createDataFrame(listed).repartitionByRange("word").sortWithinPartitions("word").mapInArrow(
-            _count_words(model), _COUNTED).select("doc_id", "n_tokens", "score").toArrow()
-        at = counted.column("doc_id").to_numpy()
+            _count_words(model), _COUNTED).select("tag", "n_tokens", "score").toArrow()
+        at = counted.column("tag").to_numpy()
         table[at, 0], table[at, 1] = counted.column("n_tokens").to_numpy(), counted.column("score").to_numpy()
     shared, values = spark.sparkContext.broadcast(words), spark.sparkContext.broadcast(table)
-    rare = rows.mapInArrow(wt.rare_rows(shared, counts=True), wt.RARE)
+    rare = rows.select(*wt.TAGS, "text").mapInArrow(wt.rare_rows(shared), wt.RARE)
     # ranges of words, so that a task's words share prefixes
     rare = rare.repartitionByRange("word").sortWithinPartitions("word").mapInArrow(_count_words(model), _COUNTED)
-    every = rows.mapInArrow(_count_frequent(shared, values), _COUNTED).unionByName(rare)
-    summed = every.groupBy("doc_id", "tag").agg(
-        F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in ("n_words", "n_tokens", "score")])
+    own = rows.mapInArrow(_count_frequent(shared, values), f"doc_id {kind}, {_COUNTED}")
+    every = own.withColumn("rows", F.lit(1)).unionByName(
+        rare.select(F.lit(None).cast(kind).alias("doc_id"), "*", F.lit(0).alias("rows")))
+    summed = every.groupBy(*wt.TAGS).agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum("rows").alias("rows"), *[F.sum(c).alias(c) for c in _SUMS])
     # rows that repeat id and text have been summed together
-    each = [F.expr(f"{c} div rows").alias(c) for c in ("n_words", "n_tokens", "score")]
+    each = [F.expr(f"{c} div rows").alias(c) for c in _SUMS]
     return summed.select("doc_id", F.explode(F.sequence(F.lit(1).cast("long"), "rows")), *each).drop("col")

@@ -25,12 +25,17 @@ FREQUENT_WORDS, FREQUENT_BYTES, SAMPLE_DOCS = 1 << 18, 8 << 20, 20_000
 WORDS = "[\\x20\\x09-\\x0D]+"
 
 
+#: Columns that tell rows apart: 128 bits of a digest of id and text, so that
+#: very many rows may share an id.
+TAGS = ["tag", "more"]
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, tag, text): the tag tells apart rows that share an id."""
-    body = whole_text(text)
+    """(doc_id, tag, more, text), the id in its own type."""
+    body, own = whole_text(text), F.col(key)
     return docs.select(
-        F.col(key).cast("long").alias("doc_id"),
-        F.xxhash64(body).bitwiseAND(F.lit(0x7FFFFFFF)).alias("tag"), body.alias("text"))
+        own.alias("doc_id"), F.xxhash64(own, body).alias("tag"), F.xxhash64(F.lit(1), own.isNull(), own, body).alias("more"),
+        body.alias("text"))
 
 
 def frequent_words(rows: DataFrame) -> list[bytes]:
@@ -85,36 +90,36 @@ def raw_texts(column: pa.Array) -> Iterator[bytes]:
         yield text.as_py()
 
 
-def rare_rows(shared, counts: bool = False):
-    """Arrow step: (doc_id, at, word) for the words that are not in the list;
-    `at` is the tag and the number of the word, or how often it occurs."""
+def rare_rows(shared):
+    """Arrow step: (tag, more, n, word) for the words that are not in the list,
+    each with how often its document has it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = worker_value(shared, word_codes)
         for batch in batches:
-            ids, tags = batch.column("doc_id"), batch.column("tag").to_numpy(zero_copy_only=False)
-            rows, at, words = [], [], []
+            tags = [batch.column(c) for c in TAGS]
+            rows, often, words = [], [], []
             for i, raw in enumerate(raw_texts(batch.column("text"))):
                 found, own = split_codes(raw, codes)
-                numbers = np.bincount(-1 - found[found < 0], minlength=len(own)) if counts else np.arange(len(own))
                 rows.append(np.full(len(own), i))
-                at.append((tags[i] << 32) | numbers.astype(np.int64))
+                often.append(np.bincount(-1 - found[found < 0], minlength=len(own)))
                 words += own
                 if len(words) > 200_000:
-                    yield _rare_batch(ids, rows, at, words)
-                    rows, at, words = [], [], []
+                    yield _rare_batch(tags, rows, often, words)
+                    rows, often, words = [], [], []
             if words:
-                yield _rare_batch(ids, rows, at, words)
+                yield _rare_batch(tags, rows, often, words)
 
     return run
 
 
-def _rare_batch(ids, rows, at, words):
+def _rare_batch(tags, rows, often, words):
+    at = pa.array(np.concatenate(rows))
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(at), pa.int64()),
-         pa.array(words, pa.binary()).cast(pa.string())], names=["doc_id", "at", "word"])
+        [*[t.take(at) for t in tags], pa.array(np.concatenate(often), pa.int32()), pa.array(words, pa.binary()).cast(pa.string())],
+        names=[*TAGS, "n", "word"])
 
 
-RARE = "doc_id long, at long, word string"
+RARE = "tag long, more long, n int, word string"
 
 
 def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.Array]]:

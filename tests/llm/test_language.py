@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from taleweave.llm import bpe, kneser_ney, tokencount
@@ -148,3 +149,26 @@ def test_token_counts(make, odd, monkeypatch, frequent):
     got = tokencount.count_tokens(make(odd), UNIGRAM).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_tokens"], r["score"]) for r in got) == sorted(want)
     assert tokencount.count_tokens(make([]), UNIGRAM).count() == 0
+
+
+def test_token_counts_of_rows_that_share_an_id(spark, make, monkeypatch):
+    # these texts had the same 31 bits of a hash once
+    pair = [(None, "w104857"), (None, "w231324 more words here to count"), (7, "w104857"), (7, "w231324 more words here to count")]
+    got = tokencount.count_tokens(make(pair), UNIGRAM).collect()
+    assert sorted((str(r["doc_id"]), r["n_words"], r["n_tokens"]) for r in got) == [
+        ("7", 1, 7), ("7", 6, 12), ("None", 1, 7), ("None", 6, 12)]
+    monkeypatch.setattr(wordtable, "FREQUENT_WORDS", 3)
+    many = spark.range(100_000).select(
+        F.lit(None).cast("string").alias("doc_id"), F.concat_ws(" ", F.lit("w"), "id", F.col("id") % 7).alias("text"))
+    got = tokencount.count_tokens(many, UNIGRAM).groupBy("n_words", "n_tokens", "score").count().collect()
+    want = Counter()
+    for i in range(100_000):
+        each = [best("▁" + w) for w in ("w", str(i), str(i % 7))]
+        want[(3, sum(n for n, _ in each), sum(s for _, s in each))] += 1
+    assert {tuple(r)[:3]: r["count"] for r in got} == want
+
+
+def test_token_counts_keep_the_type_of_the_key(spark):
+    docs = spark.createDataFrame([("a/1", "the cat"), ("b", None)], "doc_id string, text string")
+    got = tokencount.count_tokens(docs, UNIGRAM).collect()
+    assert {(r["doc_id"], r["n_words"]) for r in got} == {("a/1", 2), ("b", 0)}
