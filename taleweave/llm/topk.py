@@ -1,14 +1,14 @@
 """Exact top-k inner-product search by term-at-a-time accumulation.
 
 A vector is a sparse row: its terms are the positions of its non-zero
-weights. Candidates are packed into blocks; a block turns into postings, one
-list of (row, weight) per term. A block of queries walks the terms, scatters
-query weight times posting weight into dense score arrays, and keeps each
-query's k best of the block by partition selection. The k best per block are
-merged with a window.
-
-Queries and candidates meet block by block (an equi-join on the number of the
-query block), so no task holds more than one block of each.
+weights. Rows are dealt into blocks by a digest, as many blocks as the number
+of rows asks for; a block turns into postings, one list of (row, weight) per
+term. A block of queries walks the terms, scatters query weight times posting
+weight into dense score arrays, and keeps each query's k best of the block by
+partition selection. The k best per block are merged with a window.
+
+Every pair of a query block and a candidate block is a key of its own, so no
+task holds more than one block of each, and pairs are spread evenly.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from taleweave.llm.common import settled
 
-#: Rows of a candidate block and of a query block.
+#: Rows of a candidate block and of a query block, about.
 BLOCK_ROWS = 4096
-QUERY_ROWS = 256
-_BLOCK = "ids binary, rows binary, terms binary, weights binary"
+QUERY_ROWS = 1024
+_BLOCK = "block int, ids binary, starts binary, rows binary, weights binary, kind string"
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -41,27 +41,57 @@ def usable(key: str, vector: str) -> Column:
     return F.col(key).isNotNull() & F.coalesce(finite, F.lit(False))
 
 
-def _pack(rows: int, key: str):
-    """Arrow step that packs rows of (key, weights) into sparse blocks."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                order = np.argsort(ids, kind="stable")
-                lists = part.column(1).take(pa.array(order))
-                sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                row = np.repeat(np.arange(len(ids)), sizes)
-                term = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                some = np.flatnonzero(flat)
-                some = some[np.argsort(term[some], kind="stable")]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([a.tobytes()], pa.binary()) for a in (
-                        ids[order], row[some].astype(np.int64), term[some].astype(np.int64), flat[some])],
-                    names=["ids", "rows", "terms", "weights"])
-
-    return pack
+def _postings(block: int, ids: np.ndarray, lists: pa.Array) -> pa.RecordBatch:
+    """A block as lists by term: where each term starts, row numbers, weights
+    in the narrowest whole type."""
+    order = np.argsort(ids, kind="stable")
+    lists = lists.take(pa.array(order))
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(ids)), sizes)
+    term = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    some = np.flatnonzero(flat)
+    some = some[np.argsort(term[some], kind="stable")]
+    starts = np.searchsorted(term[some], np.arange(sizes.max(initial=0) + 1))
+    weights = flat[some]
+    top = max(int(weights.max(initial=0)), -int(weights.min(initial=0)))
+    kind = next(k for k in ("i1", "i2", "i4", "i8") if top <= np.iinfo(k).max)
+    arrays = (ids[order], starts.astype(np.int32), row[some].astype(np.int32 if len(ids) > 1 << 15 else np.int16), weights.astype(kind))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), *[pa.array([a.tobytes()], pa.binary()) for a in arrays], pa.array([kind])],
+        names=["block", "ids", "starts", "rows", "weights", "kind"])
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow step over rows (block, id, w) sorted by block: a row per block."""
+    held: list[pa.RecordBatch] = []
+
+    def close() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        return _postings(
+            held[0].column("block")[0].as_py(), rows.column("id").to_numpy(), rows.column("w").combine_chunks())
+
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        for part in np.split(np.arange(len(blocks)), np.flatnonzero(np.diff(blocks)) + 1):
+            if not len(part):
+                continue
+            if held and held[0].column("block")[0].as_py() != blocks[part[0]]:
+                yield close()
+                held = []
+            held.append(batch.slice(int(part[0]), len(part)))
+    if held:
+        yield close()
+
+
+def blocks_of(df: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Blocks of the distinct rows (id, w), and how many blocks there may be:
+    it follows from the number of rows alone."""
+    rows = settled(df.distinct(), "vectors")
+    count = max(1, -(-rows.count() // size))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "w"), F.lit(count)).cast("int"))
+    packed = dealt.repartition("block").sortWithinPartitions("block").select("block", "id", "w").mapInArrow(_pack, _BLOCK)
+    return settled(packed, "blocks"), count
 
 
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -73,37 +103,50 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([above, np.flatnonzero(scores == bar)[: k - len(above)]])
 
 
+class _Block:
+    def __init__(self, batch: pa.RecordBatch, i: int, prefix: str = ""):
+        def read(name, kind):
+            return np.frombuffer(batch.column(prefix + name)[i].as_py(), kind)
+
+        self.ids, self.starts = read("ids", np.int64), read("starts", np.int32)
+        self.rows = read("rows", np.int32 if len(self.ids) > 1 << 15 else np.int16)
+        self.weights = read("weights", batch.column(prefix + "kind")[i].as_py())
+
+    def term(self, t: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.starts[t], self.starts[t + 1]
+        return self.rows[a:b], self.weights[a:b].astype(np.int64)
+
+
 def _accumulate(k: int):
-    def read(batch, name, i):
-        return np.frombuffer(batch.column(name)[i].as_py(), np.int64)
+    def pair(asked: _Block, block: _Block) -> list[np.ndarray]:
+        scores = np.zeros((len(asked.ids), len(block.ids)), np.int64)
+        for t in range(min(len(asked.starts), len(block.starts)) - 1):
+            q_rows, q_weights = asked.term(t)
+            rows, weights = block.term(t)
+            if not len(q_rows) or not len(rows):
+                continue
+            if len(rows) == len(block.ids):  # a dense term: its postings are all rows in order
+                scores[q_rows] += np.multiply.outer(q_weights, weights)
+            else:
+                scores[np.ix_(q_rows, rows)] += np.multiply.outer(q_weights, weights)
+        out = ([], [], [])
+        for row, own in enumerate(asked.ids):
+            line, names = scores[row], block.ids
+            first, last = np.searchsorted(names, [own, own + 1]) if own < np.iinfo(np.int64).max else (
+                np.searchsorted(names, own), len(names))
+            if last > first:
+                line, names = np.delete(line, slice(first, last)), np.delete(names, slice(first, last))
+            best = _best(line, k)
+            out[0].append(np.full(len(best), own))
+            out[1].append(names[best])
+            out[2].append(line[best])
+        return [np.concatenate(c) for c in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, rows, terms, weights = (read(batch, n, i) for n in ("ids", "rows", "terms", "weights"))
-                q_ids, q_rows, q_terms, q_weights = (
-                    read(batch, n, i) for n in ("q_ids", "q_rows", "q_terms", "q_weights"))
-                scores = np.zeros((len(q_ids), len(ids)), np.int64)
-                for term in np.unique(q_terms):
-                    a, b = np.searchsorted(terms, [term, term + 1])
-                    c, d = np.searchsorted(q_terms, [term, term + 1])
-                    if b - a == len(ids):  # a dense term: its postings are all rows in order
-                        scores[q_rows[c:d]] += np.multiply.outer(q_weights[c:d], weights[a:b])
-                    elif b > a:
-                        scores[np.ix_(q_rows[c:d], rows[a:b])] += np.multiply.outer(q_weights[c:d], weights[a:b])
-                out = ([], [], [])
-                for row, own in enumerate(q_ids):
-                    line, names = scores[row], ids
-                    at = np.searchsorted(ids, own)
-                    if at < len(ids) and ids[at] == own:
-                        other = ids != own
-                        line, names = line[other], ids[other]
-                    best = _best(line, k)
-                    out[0].append(np.full(len(best), own))
-                    out[1].append(names[best])
-                    out[2].append(line[best])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c), pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
+                found = pair(_Block(batch, i, "q_"), _Block(batch, i))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -118,26 +161,16 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, key: str = "vec_id"
     is not a candidate for it. Repeated equal rows count once. Shorter
     vectors count as padded with zeros. Other columns are ignored.
     """
-    spark = queries.sparkSession
-
     def rows(df):
         return df.where(usable(key, vector)).select(
             F.col(key).cast("long").alias("id"), whole_weights(vector, scale).alias("w"))
 
-    def spread(df, size):
-        # rows are dealt by a digest of themselves, so repeats meet and drop out
-        return df.distinct().mapInArrow(_pack(size, "id"), _BLOCK)
-
-    asked = spread(rows(queries), QUERY_ROWS).select(*[F.col(c).alias(f"q_{c}") for c in (
-        "ids", "rows", "terms", "weights")], F.monotonically_increasing_id().alias("uid"))
-    asked = settled(asked, "query-blocks")
-    # one small row per block of queries
-    numbers = asked.select("uid", F.row_number().over(Window.orderBy("uid")).alias("q_block"))
-    count = asked.count()
-    blocks = spread(rows(candidates), BLOCK_ROWS).withColumn(
-        "q_block", F.explode(F.sequence(F.lit(1), F.lit(count)) if count else F.array().cast("array<int>")))
-    pairs = blocks.join(asked.join(numbers, "uid").drop("uid"), "q_block")
-    found = pairs.mapInArrow(_accumulate(k), _FOUND)
+    asked, n_asked = blocks_of(rows(queries), QUERY_ROWS)
+    blocks, n_blocks = blocks_of(rows(candidates), BLOCK_ROWS)
+    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns]).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    blocks = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
+    found = blocks.join(asked, ["block", "q_block"]).mapInArrow(_accumulate(k), _FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

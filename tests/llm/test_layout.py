@@ -181,3 +181,16 @@ def test_search_of_few_and_none(spark):
     got = topk.top_k(df.where("vec_id % 50 = 0"), df, 5).orderBy("query_id", "rank").collect()
     assert [tuple(r) for r in got] == [(0, 1, 50, 131072), (0, 2, 51, 0), (50, 1, 0, 131072), (50, 2, 51, 0)]
     assert topk.top_k(df.limit(0), df, 5).count() == 0 and topk.top_k(df.limit(1), df.limit(0), 5).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 211])
+def test_search_blocks_follow_from_rows(spark, monkeypatch, partitions):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * 300 ** rng.randint(0, 1) for _ in range(rng.choice([3, 5]))]) for i in range(500)]
+    df = spark.createDataFrame(rows * 2, "vec_id long, embedding array<double>").repartition(partitions)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    blocks, count = topk.blocks_of(df.select(F.col("vec_id").alias("id"), topk.whole_weights("embedding", 256).alias("w")), 100)
+    assert count == 5 and blocks.count() == 5
+    got = topk.top_k(df.where("vec_id % 50 = 0"), df, 5).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in got] == brute_top(rows, 5, lambda q: q % 50 == 0)
