@@ -163,8 +163,8 @@ def recover_elapsed(artifacts: DataFrame, label: str, stamp: str, keys=()) -> Da
     timed = artifacts.select(*keys, label, stamp)
     gaps = ordering.previous_value(timed, [stamp, label], stamp, keys, "_previous")
     micros = F.unix_micros(F.col(stamp).cast("timestamp")) - F.unix_micros(F.col("_previous").cast("timestamp"))
-    gaps = gaps.withColumn("gap", F.when(
-        F.col("_previous").isNotNull(), F.greatest(micros / F.lit(60e6), F.lit(0.0)))).persist()
+    gaps = R.settle(gaps.withColumn("gap", F.when(
+        F.col("_previous").isNotNull(), F.greatest(micros / F.lit(60e6), F.lit(0.0)))))
     middle = ordering.exact_median(gaps, "gap", keys, "_median")
     filled = gaps.join(middle, keys, "left") if keys else gaps.join(middle)
     return filled.select(*keys, label, F.coalesce("gap", "_median").alias("elapsed_minutes"))

@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from taleweave.functions.text import blank_to_null, col, strip
+from taleweave.session import working_dir
 
 MISSING = ["", "NA", "N/A", "NaN", "nan", "NULL", "null", "None", "n/a", "#N/A", "<NA>"]
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cache and count a derived dimension so that its real size is known.
-
-    Joins with it carry no broadcast hint: Spark compares the cached size with
-    its broadcast threshold and shuffles when the dimension is larger.
-    """
-    df = df.persist()
-    df.count()
-    return df
+    """Write a small derived table once to the shared folder and read it back:
+    its real size is known, later steps do not make it again, and their plans
+    begin at it."""
+    path = working_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def missing_to_null(df: DataFrame, columns=None) -> DataFrame:

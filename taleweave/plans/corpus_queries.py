@@ -11,6 +11,7 @@ from taleweave.operators import corpus as C
 from taleweave.operators import evaluate as E
 from taleweave.operators import ngram as N
 from taleweave.operators import ordering
+from taleweave.operators import relational as R
 from taleweave.operators import speeches as S
 from taleweave.operators import subword
 from taleweave.plans.base import documents, query, sql_digest, sql_list, sql_uniform, table
@@ -441,7 +442,7 @@ SELECT source, CAST(sum(h) AS BIGINT) AS tokens,
 FROM held JOIN model USING (gram) JOIN ctx ON ctx.c = substr(held.gram, 1, 1) GROUP BY source""")
 def split_cross_entropy(spark, sf):
     docs = documents(spark, sf)
-    by_source = N.ngram_counts(docs, 2, "source").cache()
+    by_source = R.settle(N.ngram_counts(docs, 2, "source"))
     model = by_source.groupBy("context", "next").agg(F.sum("n").alias("n"))
     return N.cross_entropy(model, by_source, 256, 0.5, "source").withColumn("loss", F.round("loss", 6))
 
@@ -515,7 +516,6 @@ rows AS (SELECT per.setup, task_a, val_loss FROM per JOIN loss USING (setup) UNI
 SELECT setup, round(task_a, 4) AS task_a, round(val_loss, 4) AS val_loss,
        round(val_loss - (SELECT val_loss FROM rows WHERE setup = 'en'), 4) AS forgetting_delta FROM rows""")
 def setup_comparison(spark, sf):
-    from taleweave.operators import relational as R
 
     acc = E.accuracy(_judged(spark, sf), "lang").select(F.col("lang").alias("setup"), F.col("accuracy").alias("task_a"))
     loss = documents(spark, sf).groupBy(F.col("lang").alias("setup")).agg(
@@ -529,9 +529,8 @@ WITH {SQL_EVAL}, per AS (SELECT lang AS setup, avg(CASE WHEN gold = pred THEN 1.
 SELECT 'best' AS kind, setup, round(task_a, 6) AS task_a FROM (SELECT * FROM per ORDER BY task_a DESC, setup LIMIT 1)
 UNION ALL SELECT 'worst', setup, round(task_a, 6) FROM (SELECT * FROM per ORDER BY task_a, setup LIMIT 1)""")
 def best_setup(spark, sf):
-    from taleweave.operators import relational as R
 
-    acc = E.accuracy(_judged(spark, sf), "lang").select(F.col("lang").alias("setup"), F.col("accuracy").alias("task_a")).cache()
+    acc = R.settle(E.accuracy(_judged(spark, sf), "lang").select(F.col("lang").alias("setup"), F.col("accuracy").alias("task_a")))
     both = [R.arg_best(acc, "task_a", "setup", high).select(F.lit(kind).alias("kind"), "setup", F.round("task_a", 6).alias("task_a"))
             for kind, high in (("best", True), ("worst", False))]
     return both[0].unionByName(both[1])

@@ -384,7 +384,7 @@ hits AS (SELECT doc_id, field, term FROM prompts JOIN terms
          ON regexp_matches(lower(text), '(^|\\W)' || regexp_escape(lower(term)) || '(\\W|$)'))
 SELECT doc_id, field, arg_min(term, (-length(term), term)) AS value FROM hits GROUP BY doc_id, field""")
 def dictionary_matches(spark, sf):
-    terms = _terms(_clean(spark, sf).persist()).unionByName(extract.fixed_terms(spark))
+    terms = _terms(R.settle(_clean(spark, sf))).unionByName(extract.fixed_terms(spark))
     return matching.match_dictionary(_prompts(spark, sf), terms)
 
 
@@ -398,7 +398,7 @@ SELECT doc_id, first || ' ' || last AS name, race, cls AS primary_class, bg AS b
   'eye_color: ' || tint || '; hometown: ' || bg AS traits
 FROM prompts""".replace("greatest_mood(mood, 'calm')", "CASE WHEN length(mood) > 4 THEN mood ELSE 'calm' END"))
 def extract_fields(spark, sf):
-    clean = _clean(spark, sf).persist()
+    clean = R.settle(_clean(spark, sf))
     found = extract.extract_fields(_prompts(spark, sf), _terms(clean), profile.subclass_to_class(clean, "id"))
     wide = extract.pivot_fields(found)
     return wide.select("doc_id", "name", "race", "primary_class", "background", "level", "hp", "weapon", "alignment",
@@ -425,7 +425,7 @@ SELECT * FROM repaired WHERE value IS NOT NULL""")
 def fuzzy_repair(spark, sf):
     """Typed errors repaired by similarity; what is too far from every term
     stays open."""
-    clean = _clean(spark, sf).persist()
+    clean = R.settle(_clean(spark, sf))
     typed = run_sql(spark, sf, TYPOS, (), prompts=_prompts(spark, sf))
     nothing = spark.createDataFrame([], "doc_id long, field string, value string")
     return extract.infer_fuzzy(typed, _terms(clean), nothing, profile.subclass_to_class(clean, "id"),
@@ -454,7 +454,7 @@ SELECT coalesce(m.npc_id, s.npc_id) AS npc_id, coalesce(m.name, s.name) AS name,
 FROM made m FULL JOIN stored s ON m.npc_id = s.npc_id""")
 def created_records(spark, sf):
     """Records made from prompts, over stored ones that some of them replace."""
-    clean = _clean(spark, sf).persist()
+    clean = R.settle(_clean(spark, sf))
     stored = G.conform(run_sql(spark, sf, STORED, ("customer",)))
     made = create.create_records(
         _prompts(spark, sf), profile.Learned(clean), _terms(clean), profile.subclass_to_class(clean, "id"), SEED, stored=stored)
@@ -491,7 +491,7 @@ UNION ALL SELECT doc_id, 'hp', hp FROM good UNION ALL SELECT doc_id, 'trait:lvl'
 UNION ALL SELECT doc_id, 'trait:eye_color', tint FROM good UNION ALL SELECT doc_id, 'trait:tags', 'a, b' FROM good
 UNION ALL SELECT doc_id, 'story', 'Born in {{' || bg || '}}.' FROM good""".replace("{{", "{").replace("}}", "}"))
 def land_responses(spark, sf):
-    landed, _ = landing.land_responses(_responses(spark, sf), _terms(_clean(spark, sf).persist()))
+    landed, _ = landing.land_responses(_responses(spark, sf), _terms(R.settle(_clean(spark, sf))))
     return landed
 
 
@@ -513,7 +513,7 @@ model AS (SELECT doc_id, 'name' AS field, first AS value FROM good UNION ALL SEL
 SELECT doc_id, field, coalesce(a.value, m.value) AS value, CASE WHEN a.value IS NULL THEN 1 ELSE 0 END AS source_rank
 FROM asked a FULL JOIN model m USING (doc_id, field)""")
 def merged_sources(spark, sf):
-    landed, _ = landing.land_responses(_responses(spark, sf), _terms(_clean(spark, sf).persist()))
+    landed, _ = landing.land_responses(_responses(spark, sf), _terms(R.settle(_clean(spark, sf))))
     said = extract._long(_prompts(spark, sf).select("doc_id", F.concat_ws(" ", "first", "last").alias("name"), "hp"), "doc_id", ["name", "hp"])
     return extract.merge_sources(said, landed.where(F.col("field").isin("name", "emotional_state")))
 
@@ -759,7 +759,7 @@ FROM registry r LEFT JOIN f ON f.npc_id = r.npc_id LEFT JOIN n ON n.npc_id = r.n
 def apply_updates(spark, sf):
     log = run_sql(spark, sf, UPDATES, ("orders",))
     # extraction runs per log line, keyed by its sequence number
-    clean = _clean(spark, sf).persist()
+    clean = R.settle(_clean(spark, sf))
     found = extract.extract_fields(log.select(F.col("seq").alias("doc_id"), "text"), _terms(clean), profile.subclass_to_class(clean, "id"))
     attributes = found.withColumnRenamed("doc_id", "seq").join(log.select("npc_id", "seq"), "seq")
     updated = extract.apply_updates(G.conform(_registry(spark, sf)), log, attributes)
@@ -804,7 +804,7 @@ def stream_updates(spark, sf):
     stateful one, in two rounds."""
     folder = working_dir(spark, "updates")
     log = run_sql(spark, sf, UPDATES, ("orders",))
-    clean = _clean(spark, sf).persist()
+    clean = R.settle(_clean(spark, sf))
     terms, classes = _terms(clean), profile.subclass_to_class(clean, "id")
 
     def extracted(batch):
@@ -821,7 +821,6 @@ def stream_updates(spark, sf):
             changes.change_stream(
                 rows.withColumn("reason", F.lit(None).cast("string")), _registry(spark, sf), f"{folder}/out",
                 f"{folder}/rejects", f"{folder}/checkpoint").awaitTermination()
-    clean.unpersist()
     attributes, notes = changes.split_notes(changes.read_changes(spark, f"{folder}/out"))
     updated = extract.apply_updates(G.conform(_registry(spark, sf)), notes, attributes)
     return updated.select("npc_id", "level", "alignment", T.traits_text("extra_traits").alias("traits"), F.array_join("notes", "|").alias("notes"))
