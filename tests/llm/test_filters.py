@@ -58,20 +58,24 @@ def test_chain_finds_toxic_rows(make, corpus, labels):
     assert mean(plain, "p_toxic_prose") > mean(junk, "p_toxic_prose")
 
 
+def sparse(matrix):
+    return toxicity.Hits.of([np.flatnonzero(r).tolist() for r in matrix], matrix.shape[1])
+
+
 def test_chain_feeds_out_of_fold_probabilities(monkeypatch):
     """The second category's model sees what models without the row have said."""
     seen = []
     real = toxicity.fit_logistic
-    monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y, **k: (seen.append((x.copy(), y.copy())), real(x, y, **k))[1])
+    monkeypatch.setattr(toxicity, "fit_logistic", lambda x, y, **k: (seen.append((x, y.copy())), real(x, y, **k))[1])
     rng = np.random.default_rng(2)
-    hits = rng.integers(0, 2, (60, 3)).astype(float)
+    hits = rng.integers(0, 2, (60, 3))
     first = hits[:, 0]
     folds = np.arange(60) % 3
-    toxicity.fit_chain(hits, np.column_stack([first, first * hits[:, 1]]), folds, ["a", "b"], {})
-    fed = seen[-1][0][:, 3]
+    toxicity.fit_chain(sparse(hits), np.column_stack([first, first * hits[:, 1]]), folds, ["a", "b"], {})
+    fed = seen[-1][0].earlier[:, 0]
     for f in range(3):
         x, y = seen[f]
-        assert len(x) == 40
+        assert x.hits.n == len(y) == 40
         own = real(x, y)
         want = toxicity._sigmoid(np.column_stack([hits[folds == f], np.ones(20)]) @ own)
         assert fed[folds == f] == pytest.approx(want)
@@ -79,11 +83,25 @@ def test_chain_feeds_out_of_fold_probabilities(monkeypatch):
 
 def test_logistic_fit_is_a_minimum():
     rng = np.random.default_rng(1)
-    x = np.column_stack([rng.normal(size=(200, 4)), np.ones(200)])
-    y = (x[:, 0] + rng.normal(size=200) > 0.4).astype(float)
-    w = toxicity.fit_logistic(x, y, penalty=0.5)
-    slope = x.T @ (toxicity._sigmoid(x @ w) - y) + 0.5 * np.array([*w[:-1], 0])
-    assert np.abs(slope).max() < 1e-2
+    for width in (4, 150):
+        hits, earlier = rng.integers(0, 2, (200, width)), rng.random((200, 2))
+        x = np.column_stack([hits, earlier, np.ones(200)])
+        y = (hits[:, 0] + earlier[:, 1] + rng.normal(size=200) > 0.9).astype(float)
+        w = toxicity.fit_logistic(toxicity.Design(sparse(hits), earlier), y, penalty=0.5)
+        slope = x.T @ (toxicity._sigmoid(x @ w) - y) + 0.5 * np.array([*w[:-1], 0])
+        assert np.abs(slope).max() < 1e-2
+        assert toxicity.Design(sparse(hits), earlier).times(w) == pytest.approx(x @ w)
+        assert toxicity.Design(sparse(hits), earlier).back(y) == pytest.approx(x.T @ y)
+        assert toxicity.Design(sparse(hits), earlier).back(y, square=True) == pytest.approx((x * x).T @ y)
+
+
+def test_chain_of_repeated_keys(make, labels, corpus):
+    """A key of very many rows is one row of the sample, whatever the partitions."""
+    docs = make(corpus[0] + [(0, f"{corpus[0][0][1]} v{i}") for i in range(300)])
+    one = toxicity.fit(docs, toxicity.label_categories(labels), toxicity.CATEGORIES, most=50)
+    two = toxicity.fit(docs.repartition(7), toxicity.label_categories(labels), toxicity.CATEGORIES, most=50)
+    assert one.features == two.features and len(one.features) <= 150
+    assert all(np.allclose(a, b) for a, b in zip(one.weights, two.weights))
 
 
 def test_chain_without_labels(make, labels):
