@@ -3,19 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taleweave.session import working_dir
 
 
+#: Characters of a plan's description that the driver keeps for each write.
+PLAN_CHARS = 4000
+
+
+@contextmanager
+def short_plans(spark: SparkSession) -> Iterator[None]:
+    """Descriptions of plans are cut inside. The driver keeps them for every
+    job and every change of a running plan; long ones would fill its memory."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(PLAN_CHARS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once to the shared folder and read it back,
     so that later steps do not compute it again and survive lost executors."""
     spark = df.sparkSession
     path = working_dir(spark, name)
-    df.write.parquet(path)
+    with short_plans(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taleweave.llm.common import settled, whole_text
+from taleweave.llm.common import settled, short_plans, whole_text
 
 TREES, DEPTH, STEP, LASSO, SEED = 12, 3, 0.3, 0.002, 3
 
@@ -121,6 +121,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, train=None, key: str = "do
     use = rows if train is None else rows.where(train)
     once = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias("label"))
     labelled = settled(use.select(key, "_stats").join(once, key).select("_stats", "label"), "labelled")
-    constant, kept = fit_rules(labelled)
+    with short_plans(docs.sparkSession):  # hundreds of rules stand in the plans
+        constant, kept = fit_rules(labelled)
     scored = rows.withColumn("score", compile_score(constant, kept)).drop("_stats")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
