@@ -8,13 +8,15 @@ log to the records gives what the batch operators give for the whole one.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from taleweave.functions.text import strip
 from taleweave.operators.extract import TRAIT
@@ -23,70 +25,57 @@ from taleweave.operators.registry import edit_reason
 #: Field of a row that adds a note; every other field keeps its last value.
 NOTE = "+note"
 CHANGE_SCHEMA = "npc_id string, seq long, field string, value string"
-OUT_SCHEMA = "npc_id string, version long, seq long, field string, value string, reason string"
+LOG_SCHEMA = "npc_id string, version long, seq long, field string, value string"
 UNKNOWN = "unknown id"
 
 
-class LastChanges(StatefulProcessor):
-    """Emits the whole short log of each record a batch changes, with a growing
-    version, and a row with its reason for each change that is refused.
+#: Records whose state is held together, about.
+TOGETHER = 256
 
-    Records are known from the initial state; changes of others are refused.
-    Traits come as a set: those of the newest row that has any replace all.
-    """
-
-    def __init__(self, note_cap: int):
-        self.note_cap = note_cap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.version = handle.getValueState("version", "version long")
-        self.fields = handle.getMapState("fields", "field string", "seq long, value string")
-        self.notes = handle.getListState("notes", "seq long, value string")
 
-    def handleInitialState(self, key, initialState, timer_values) -> None:
-        self.version.update((0,))
+def last_changes(note_cap: int):
+    """Step of the stateful query over (bucket, npc_id, seq, field, value): gives
+    the whole short log of each record a batch changes, with a growing version.
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        known = self.version.exists()
-        refused, changed = [], False
-        fields = {f[0]: tuple(v) for f, v in self.fields.iterator()} if known else {}
-        notes = [tuple(n) for n in self.notes.get()] if known and self.notes.exists() else []
-        before = dict(fields)
+    A state holds the records of a bucket, of which there are few, so that a
+    record costs no call of its own. Traits come as a set: those of the newest
+    row that has any replace all.
+    """
+    def step(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = {r[0]: r[1:] for r in json.loads(state.get[0])} if state.exists else {}
+        changed = set()
         for batch in rows:
-            for seq, field, value, reason in batch[["seq", "field", "value", "reason"]].itertuples(index=False, name=None):
-                seq, reason = int(seq), reason if isinstance(reason, str) else None
-                if reason is not None or not known:
-                    refused.append((key[0], None, seq, field, value, reason or UNKNOWN))
-                    continue
-                changed = True
+            for npc, seq, field, value in zip(*[batch[c].tolist() for c in ("npc_id", "seq", "field", "value")]):
+                seq = int(seq)
+                if npc not in changed:
+                    changed.add(npc)
+                    record = held.setdefault(npc, [0, {}, []])
+                    record[0] += 1
+                _, fields, notes = record = held[npc]
                 if field == NOTE:
-                    notes.append((seq, value))
+                    notes.append([seq, value])
+                    if len(notes) >= 4 * note_cap:  # bounded while a long batch passes
+                        record[2] = sorted(notes)[-note_cap:]
                 elif field.startswith(TRAIT):
                     newest = max((s for f, (s, _) in fields.items() if f.startswith(TRAIT)), default=seq)
                     if seq > newest:
-                        fields = {f: v for f, v in fields.items() if not f.startswith(TRAIT)}
+                        for f in [f for f in fields if f.startswith(TRAIT)]:
+                            del fields[f]
                     if seq >= newest:
-                        fields[field] = (seq, value)
+                        fields[field] = [seq, value]
                 elif field not in fields or seq >= fields[field][0]:
-                    fields[field] = (seq, value)
-            notes = sorted(notes)[-self.note_cap:]  # bounded while a long batch passes
-        if changed:
-            version = self.version.get()[0] + 1
-            self.version.update((version,))
-            for f in before.keys() - fields.keys():
-                self.fields.removeKey((f,))
-            for f, v in fields.items():
-                if before.get(f) != v:
-                    self.fields.updateValue((f,), v)
-            if notes:
-                self.notes.put(notes)
-            refused += [(key[0], version, s, f, v, None) for f, (s, v) in fields.items()]
-            refused += [(key[0], version, s, NOTE, v, None) for s, v in notes]
-        out = pd.DataFrame(refused, columns=["npc_id", "version", "seq", "field", "value", "reason"])
-        yield out.astype({"version": "Int64"})
-
-    def close(self) -> None:
-        pass
+                    fields[field] = [seq, value]
+        out = []
+        for npc in changed:
+            record = held[npc]
+            record[2] = sorted(record[2])[-note_cap:]
+            version, fields, notes = record
+            out += [(npc, version, s, f, v) for f, (s, v) in fields.items()]
+            out += [(npc, version, s, NOTE, v) for s, v in notes]
+        state.update((json.dumps([[npc, *record] for npc, record in held.items()]),))
+        yield pd.DataFrame(out, columns=["npc_id", "version", "seq", "field", "value"])
+
+    return step
 
 
 def checked_edits(edits: DataFrame) -> DataFrame:
@@ -113,17 +102,38 @@ def rows_stream(stream: DataFrame, rows_of: Callable[[DataFrame], DataFrame], pa
         .trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _known_ids(records: DataFrame, checkpoint: str) -> DataFrame:
+    """Distinct ids of the records, as they were when the checkpoint was new."""
+    spark, path = records.sparkSession, f"{checkpoint.rstrip('/')}/known-ids"
+    ids = records.select(F.col("npc_id").cast("string").alias("npc_id")).distinct()
+    try:
+        spark.read.text(f"{path}/_SUCCESS*")  # a file that stands once all others do
+    except AnalysisException:
+        ids.write.mode("overwrite").parquet(path)
+    return spark.read.schema(ids.schema).parquet(path)
+
+
 def change_stream(changes: DataFrame, records: DataFrame, path: str, rejects: str, checkpoint: str,
                   note_cap: int = 12, **trigger) -> StreamingQuery:
     """Start the stateful query over (npc_id, seq, field, value, reason) rows.
 
     Short logs go to `path`, refused rows to `rejects`. `records` names the
-    known ids when the query first starts. Needs the RocksDB state store.
+    known ids when the query first starts; changes of others are refused, and
+    no refused row reaches the state. Needs the RocksDB state store.
     """
-    ids = records.select("npc_id").distinct()
-    logs = changes.groupBy("npc_id").transformWithStateInPandas(
-        statefulProcessor=LastChanges(note_cap), outputStructType=OUT_SCHEMA, outputMode="Append", timeMode="None",
-        initialState=ids.groupBy("npc_id"))
+    known = _known_ids(records, checkpoint)
+    # the known ids never change, so neither does the number of buckets
+    buckets = known.count() // TOGETHER + 1
+    ids = known.select(F.col("npc_id").alias("_id"), F.lit(True).alias("_known"))
+    reason = F.coalesce("reason", F.when(F.col("_known").isNull(), UNKNOWN))
+    checked = changes.join(ids, F.col("npc_id").eqNullSafe(F.col("_id")), "left").select(
+        "npc_id", "seq", "field", "value", reason.alias("reason"))
+    kept = checked.where("reason IS NULL").select(
+        F.pmod(F.xxhash64("npc_id"), F.lit(buckets)).alias("bucket"), "npc_id", "seq", "field", "value")
+    logs = kept.groupBy("bucket").applyInPandasWithState(
+        last_changes(note_cap), LOG_SCHEMA, "records string", "append", "NoTimeout")
+    refused = checked.where("reason IS NOT NULL").withColumn("version", F.lit(None).cast("long"))
+    logs = logs.withColumn("reason", F.lit(None).cast("string")).unionByName(refused)
 
     def put(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()  # two sinks, one run of the state
@@ -140,7 +150,7 @@ def change_stream(changes: DataFrame, records: DataFrame, path: str, rejects: st
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
     """(npc_id, seq, field, value): the newest short log of each record."""
     try:
-        logs = spark.read.schema("npc_id string, version long, seq long, field string, value string").parquet(f"{path}/epoch=*")
+        logs = spark.read.schema(LOG_SCHEMA).parquet(f"{path}/epoch=*")
     except AnalysisException:
         return spark.createDataFrame([], CHANGE_SCHEMA)
     newest = logs.groupBy("npc_id").agg(F.max("version").alias("version"))

@@ -173,3 +173,29 @@ def test_update_state_is_bounded_and_whole(spark, tmp_path):
 
     assert state(short_log, short_attributes) == state(log_df, attributes)
     assert C.read_changes(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_records_share_state_and_known_ids_stay(spark, tmp_path):
+    """Many records need few calls of the step, and a restart with other
+    records knows the ids that the first start knew."""
+    from taleweave.streaming import changes as C
+    from taleweave.streaming import history as H
+
+    schema = "npc_id string, seq long, field string, value string"
+    source, at = str(tmp_path / "in"), [str(tmp_path / n) for n in ("out", "no", "cp")]
+    for round_no, known in enumerate((["a", None, *map(str, range(600))], ["late"])):
+        rows = [(str(i), 10 * round_no, "goal", f"g{i} {round_no}") for i in range(600)]
+        rows += [("late", round_no, "goal", "x"), (None, round_no, "goal", "null's"), ("a", -round_no, "goal", f"old {round_no}"), (None, 5, None, "v")]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = C.checked_edits(spark.readStream.schema(schema).parquet(source))
+        records = spark.createDataFrame([(k,) for k in known], "npc_id string")
+        with H.rocksdb(spark):
+            query = C.change_stream(stream, records, *at)
+            query.awaitTermination()
+        # at most a state for 256 records, not one for each
+        assert sum(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:]) <= 3
+    got = {r["npc_id"]: r["value"] for r in C.read_changes(spark, at[0]).collect()}
+    assert got == {"a": "old 0"} | {str(i): f"g{i} 1" for i in range(600)} | ({None: "null's"} if None in got else {})
+    refused = spark.read.parquet(f"{at[1]}/epoch=*")
+    assert {(r["npc_id"], r["reason"]): r["n"] for r in refused.groupBy("npc_id", "reason").agg(F.count("*").alias("n")).collect()} == {
+        ("late", "unknown id"): 2, (None, "unknown field"): 2}
