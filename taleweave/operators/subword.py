@@ -4,9 +4,9 @@ A word is kept as text with one `<hex>` group per symbol, starting from its
 UTF-8 bytes. Merging a pair is one string replacement, left to right and
 without overlaps, so learning stays inside the JVM.
 
-Words are listed under the pairs they hold. A round looks the words of the
-merged pairs up, writes what changes for them alone, and adds the change to the
-counts of pairs; words without such a pair are neither read nor counted again.
+The words lie in the shared folder, one row each. A round reads them, writes
+those that its merges change, and adds the change to the counts of pairs; words
+without a merged pair are neither written nor counted again.
 """
 
 from __future__ import annotations
@@ -28,9 +28,10 @@ WORD_PATTERN = (
     r"('s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+)"
 )
 TOP_PAIRS = 256
-#: Rounds whose postings lie apart before they are put together.
-LOGS = 16
-POSTINGS = "pair string, word string, version int, symbols string, n long, delta long"
+#: Rounds whose merges are applied on reading before the words are written anew.
+LOGS = 4
+WORDS = "word string, n long, symbols string"
+CHANGES = "word string, n long, before string, after string"
 
 
 def words(text) -> Column:
@@ -64,90 +65,66 @@ def pairs_of(symbols) -> Column:
     return F.regexp_extract_all(symbols, F.lit("<(?=([0-9A-F]+><[0-9A-F]+)>)"), F.lit(1))
 
 
-def postings(changed: DataFrame, version: int) -> DataFrame:
-    """What changes under each pair for words (word, n, before, after).
+def pair_changes(changed: DataFrame) -> DataFrame:
+    """(pair, n): how the counts of pairs change with words (n, before, after)."""
+    def signed(symbols, sign):
+        return F.transform(pairs_of(symbols), lambda p: F.struct(p.alias("pair"), (F.col("n") * sign).alias("n")))
 
-    A word is listed anew under all pairs it holds, with its symbols, and with
-    null under pairs it holds no longer. `delta` is the change of the pair's
-    count. A word without `before` is new.
-    """
-    old, new = F.coalesce(pairs_of("before"), F.array().cast("array<string>")), pairs_of("after")
-    rows = changed.select("word", "n", "after", old.alias("old"), new.alias("new"))
-    rows = rows.select("*", F.explode(F.array_distinct(F.concat("new", "old"))).alias("pair"))
-
-    def times(pairs):
-        return F.size(F.filter(pairs, lambda p: p == F.col("pair")))
-
-    return rows.select(
-        "pair", "word", F.lit(version).alias("version"), F.when(F.array_contains("new", F.col("pair")), F.col("after")).alias("symbols"),
-        "n", (F.col("n") * (times("new") - times("old"))).alias("delta"))
+    each = changed.select(F.explode(F.concat(signed("after", 1), signed("before", -1))).alias("p"))
+    return each.groupBy("p.pair").agg(F.sum("p.n").alias("n")).where("n <> 0")
 
 
 class PairIndex:
-    """Words by pair, in the shared folder: a base, and what rounds changed.
+    """Words and the counts of their pairs, in the shared folder.
 
-    The newest posting of a word under a pair holds. Files are sorted by pair,
-    so a look-up reads the pages of the wanted pairs. Every LOGS rounds the
-    changes are put together, and into the base once they have half its rows.
+    A round writes the changed words alone, once, and the few counts of pairs;
+    the words as a whole are written every LOGS rounds, without those that are
+    down to one symbol.
     """
 
     def __init__(self, counted: DataFrame):
         self.spark = counted.sparkSession
-        self.version = 0
-        self.base = self._write(postings(counted.select("word", "n", F.lit(None).cast("string").alias("before"),
-                                                        F.col("symbols").alias("after")), 0))
-        self.settled: list[str] = []  # changes whose deltas are in `counts`
-        self.fresh: list[str] = []
-        self.counts = self._save(self._read([self.base]).groupBy("pair").agg(F.sum("delta").alias("n")), "pair-counts")
+        self.base = self._save(counted.select("word", "n", "symbols"), "words")
+        self.pending: list[tuple[str, str]] = []  # merges since the words were written
+        self.fresh: list[str] = []  # what each of their rounds changed
+        each = self._words().select("n", F.explode(pairs_of("symbols")).alias("pair"))
+        self.counts = self._save(each.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
 
     def _save(self, df: DataFrame, name: str) -> str:
         path = working_dir(self.spark, name)
         df.write.parquet(path)
         return path
 
-    def _write(self, rows: DataFrame) -> str:
-        return self._save(rows.sortWithinPartitions("pair"), "postings")
-
     def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(POSTINGS).parquet(*paths)
+        return self.spark.read.schema(CHANGES).parquet(*paths)
+
+    def _words(self) -> DataFrame:
+        """(word, n, symbols) of the words as they are now."""
+        words = self.spark.read.schema(WORDS).parquet(self.base)
+        return words.withColumn("symbols", _merge(F.col("symbols"), self.pending))
 
     def pair_counts(self) -> DataFrame:
         """(pair, n) of the words as they are now."""
-        counts = self.spark.read.schema("pair string, n long").parquet(self.counts)
-        if self.fresh:
-            changes = self._read(self.fresh).select("pair", F.col("delta").alias("n"))
-            counts = counts.unionByName(changes).groupBy("pair").agg(F.sum("n").alias("n"))
-        return counts.where("n > 0")
+        return self.spark.read.schema("pair string, n long").parquet(self.counts).where("n > 0")
 
     def words_with(self, pairs: list[tuple[str, str]]) -> DataFrame:
         """(word, n, symbols) of the words that hold one of a few pairs."""
-        names = [f"{a}><{b}" for a, b in pairs]
-        rows = self._read([self.base, *self.settled, *self.fresh]).where(F.col("pair").isin(names))
-        # a change lists a word under all its pairs, so the newest row is the word as it is
-        newest = F.max_by(F.struct("symbols", "n"), F.struct("version", F.col("symbols").isNotNull()))
-        return rows.groupBy("word").agg(newest.alias("w")).where("w.symbols IS NOT NULL").select("word", "w.n", "w.symbols")
+        return self._words().where(_merge(F.col("symbols"), pairs) != F.col("symbols"))
 
     def merge(self, pairs: list[tuple[str, str]]) -> None:
         """Merge pairs without a common symbol, in the words that hold them."""
-        self.version += 1
         words = self.words_with(pairs)
         changed = words.select("word", "n", F.col("symbols").alias("before"), _merge(F.col("symbols"), pairs).alias("after"))
-        self.fresh.append(self._write(postings(changed, self.version)))
+        self.fresh.append(self._save(changed, "changes"))
+        every = self.pair_counts().unionByName(pair_changes(self._read(self.fresh[-1:])))
+        self.counts = self._save(every.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0"), "pair-counts")
+        self.pending += pairs
         if len(self.fresh) >= LOGS:
             self._gather()
 
     def _gather(self) -> None:
-        self.counts = self._save(self.pair_counts(), "pair-counts")
-        logs = self._read([*self.settled, *self.fresh])
-        whole = 2 * logs.count() > self._read([self.base]).count()
-        rows = logs.unionByName(self._read([self.base])) if whole else logs
-        newest = rows.groupBy("pair", "word").agg(F.max_by(F.struct("version", "symbols", "n"), "version").alias("r")) \
-            .select("pair", "word", "r.version", "r.symbols", "r.n", F.lit(0).cast("long").alias("delta"))
-        self.fresh = []
-        if whole:
-            self.base, self.settled = self._write(newest.where("symbols IS NOT NULL")), []
-        else:
-            self.settled = [self._write(newest)]
+        self.base = self._save(self._words().where(F.contains("symbols", F.lit("><"))), "words")
+        self.pending, self.fresh = [], []
 
 
 def safe_prefix(ranked: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:

@@ -199,3 +199,16 @@ def test_records_share_state_and_known_ids_stay(spark, tmp_path):
     refused = spark.read.parquet(f"{at[1]}/epoch=*")
     assert {(r["npc_id"], r["reason"]): r["n"] for r in refused.groupBy("npc_id", "reason").agg(F.count("*").alias("n")).collect()} == {
         ("late", "unknown id"): 2, (None, "unknown field"): 2}
+
+
+def test_a_round_writes_one_row_for_each_changed_word(spark):
+    docs = spark.createDataFrame([(1, "banana bandana cat cat aaaa nab")], "doc_id long, text string")
+    index = B.PairIndex(B.word_counts(docs))
+    for i, pair in enumerate([("61", "6E"), ("63", "61"), ("62", "616E"), ("61", "61"), ("20", "62616E"), ("6361", "74")]):
+        held = sorted(r["word"] for r in index.words_with([pair]).collect())
+        index.merge([pair])
+        if index.fresh:
+            assert sorted(r["word"] for r in index._read(index.fresh[-1:]).collect()) == held
+        assert index.words_with([pair]).count() == 0
+    assert {r["symbols"] for r in index._words().collect()} == {
+        "<2062616E><616E><61>", "<2062616E><64><616E><61>", "<20><636174>", "<20><6161><6161>", "<20><6E><61><62>"}
