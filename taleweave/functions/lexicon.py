@@ -203,6 +203,8 @@ PAIR_PATTERN = (
     r"([A-Za-z][A-Za-z _-]{1,30})\s*[:=]\s*(.+?)"
     r"(?=\s+[A-Za-z][A-Za-z _-]{1,30}\s*[:=]|[,;\n]|$)"
 )
+# key and value of one such match
+PAIR_PARTS = r"^([A-Za-z][A-Za-z _-]{1,30})\s*[:=]\s*(.+)\z"
 WIELD_PATTERN = r"(?iU)\bwields?\s+(?:an?\s+)?([A-Za-z][A-Za-z' -]{1,40})"
 NAME_HINT_PATTERNS = [
     r"(?iU)\b(?:named|called|name)\b\s+([A-Za-z][A-Za-z' -]{0,60})",

@@ -60,13 +60,30 @@ def to_int(c) -> Column:
     return F.when(whole.isNotNull(), F.greatest(low, F.least(top, whole)).cast("int"))
 
 
+def case_folded(c) -> Column:
+    """Text in which every letter that a pattern without case takes for one of
+    a-z stands as that letter."""
+    return F.lower(F.translate(col(c), "\u0130\u0131\u017f\u212a", "iisk"))
+
+
+def first_group(c, label: str, pattern: str, folded=None) -> Column:
+    """First group of a pattern that holds a label, or null. Given the folded
+    text, the pattern runs only where the label occurs at all: looking for it
+    is much cheaper."""
+    hit = F.nullif(F.regexp_extract(col(c), pattern, 1), F.lit(""))
+    # a last letter that may be missing is not looked for
+    return hit if folded is None else F.when(F.contains(col(folded), F.lit(label[:-2] if label.endswith("?") else label)), hit)
+
+
+def digits_after(c, labels: list[str], folded=None) -> Column:
+    """Digits that follow the first label found, as text."""
+    return F.coalesce(*[
+        first_group(c, label, rf"(?iU)\b{label}\b\s*(?:is\b|=|:)?\s*(\d+)", folded) for label in labels])
+
+
 def number_after(c, labels: list[str]) -> Column:
     """Whole number that follows the first label found: `level is 7`, `hp=42`."""
-    hits = [
-        F.nullif(F.regexp_extract(col(c), rf"(?iU)\b{label}\b\s*(?:is\b|=|:)?\s*(\d+)", 1), F.lit(""))
-        for label in labels
-    ]
-    return to_int(F.coalesce(*hits))
+    return to_int(digits_after(c, labels))
 
 
 def labelled_pairs(c) -> Column:
@@ -74,11 +91,14 @@ def labelled_pairs(c) -> Column:
 
     Keys are lower-cased with underscores; empty values are left out.
     """
-    keys = F.regexp_extract_all(col(c), F.lit(X.PAIR_PATTERN), F.lit(1))
-    values = F.regexp_extract_all(col(c), F.lit(X.PAIR_PATTERN), F.lit(2))
-    pairs = F.zip_with(keys, values, lambda k, v: F.struct(
-        key_slug(k).alias("key"), strip(v, X.EDGE_PUNCTUATION).alias("value")))
-    return F.filter(pairs, lambda p: p["value"] != "")
+    # the search costs most, so it runs once, and only where there is a mark
+    found = F.regexp_extract_all(col(c), F.lit(X.PAIR_PATTERN), F.lit(0))
+    pairs = F.transform(found, lambda p: F.struct(
+        key_slug(F.regexp_extract(p, X.PAIR_PARTS, 1)).alias("key"),
+        strip(F.regexp_extract(p, X.PAIR_PARTS, 2), X.EDGE_PUNCTUATION).alias("value")))
+    kept = F.filter(pairs, lambda p: p["value"] != "")
+    marked = F.contains(col(c), F.lit(":")) | F.contains(col(c), F.lit("="))
+    return F.when(~marked, F.array().cast("array<struct<key:string,value:string>>")).otherwise(kept)
 
 
 def last_per_key(pairs: Column) -> Column:
@@ -91,22 +111,20 @@ def last_per_key(pairs: Column) -> Column:
     )
 
 
-def text_after(c, labels: list[str], stops: list[str] | None = None) -> Column:
+def text_after(c, labels: list[str], stops: list[str] | None = None, folded=None) -> Column:
     """Text that follows the first label found, up to a stop word or the end."""
     ends = "|".join(regex_quote(s) for s in (stops or X.VALUE_STOP_WORDS))
     hits = [
-        F.nullif(F.regexp_extract(
-            col(c),
-            rf"(?iU)\b{label}\b\s*(?:is\b|=|:)?\s*([A-Za-z][A-Za-z' -]{{1,40}}?)(?=\s+(?:{ends})\b|$)", 1),
-            F.lit(""))
+        first_group(
+            c, label, rf"(?iU)\b{label}\b\s*(?:is\b|=|:)?\s*([A-Za-z][A-Za-z' -]{{1,40}}?)(?=\s+(?:{ends})\b|$)", folded)
         for label in labels
     ]
     return strip(F.coalesce(*hits), X.EDGE_PUNCTUATION)
 
 
-def wielded(c) -> Column:
+def wielded(c, folded=None) -> Column:
     """What follows `wields a ...`."""
-    return strip(F.nullif(F.regexp_extract(col(c), X.WIELD_PATTERN, 1), F.lit("")), X.EDGE_PUNCTUATION)
+    return strip(first_group(c, "wields?", X.WIELD_PATTERN, folded), X.EDGE_PUNCTUATION)
 
 
 def title(c) -> Column:

@@ -30,23 +30,37 @@ def canonical_field(key, aliases: dict = X.PAIR_ALIASES) -> Column:
     return F.coalesce(R.lookup(key, aliases), T.col(key))
 
 
-def regex_fields(text="text") -> dict[str, Column]:
-    """Fields read by pattern: numbers, names and labelled phrases."""
+def _numbers(stat: str) -> list[tuple[str, list[str]]]:
+    # when both spellings occur the later one in the list wins
+    return [(f"_{stat}{i}", [w]) for i, w in enumerate(reversed(X.STAT_WORDS[stat]))]
+
+
+#: Number fields read by pattern: where their digits are kept, and the labels before them.
+NUMBER_LABELS = {
+    "level": [("_level", ["level", "lvl"])], "hp": [("_hp", ["hp", "hit points?"])], "ac": [("_ac", ["ac", "armor class"])],
+    **{stat: _numbers(stat) for stat in X.STAT_WORDS},
+}
+
+
+def _said(raw: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, field, value) read by pattern: numbers, names and labelled phrases."""
+    def phrase(labels):
+        return T.text_after(text, labels, folded="_folded")
+
     fields = {
-        "name": T.title(T.text_after(text, ["name", "named", "called"])),
-        "level": T.number_after(text, ["level", "lvl"]),
-        "hp": T.number_after(text, ["hp", "hit points?"]),
-        "ac": T.number_after(text, ["ac", "armor class"]),
-        "goal": T.text_after(text, ["goal", "wants", "motivation"]),
-        "quirk": T.text_after(text, ["quirk"]),
-        "secret": T.text_after(text, ["secret"]),
-        "subclass_said": T.title(T.text_after(text, ["subclass", "archetype"])),
-        "weapon_said": T.title(F.coalesce(T.blank_to_null(T.text_after(text, ["weapon"])), T.blank_to_null(T.wielded(text)))),
+        "name": T.title(phrase(["name", "named", "called"])),
+        "goal": phrase(["goal", "wants", "motivation"]),
+        "quirk": phrase(["quirk"]),
+        "secret": phrase(["secret"]),
+        "subclass_said": T.title(phrase(["subclass", "archetype"])),
+        "weapon_said": T.title(F.coalesce(T.blank_to_null(phrase(["weapon"])), T.blank_to_null(T.wielded(text, "_folded")))),
     }
-    for stat, words in X.STAT_WORDS.items():
-        # when both spellings occur the later one in the list wins
-        fields[stat] = F.coalesce(*[T.number_after(text, [w]) for w in reversed(words)])
-    return fields
+    digits = {name: T.digits_after(text, labels, "_folded") for kept in NUMBER_LABELS.values() for name, labels in kept}
+    folded = raw.select(key, text, T.case_folded(text).alias("_folded"))
+    # digits are a column of their own: a number refers to them many times
+    found = folded.select(key, *[c.alias(f) for f, c in (fields | digits).items()])
+    numbers = {f: F.coalesce(*[T.to_int(name) for name, _ in kept]) for f, kept in NUMBER_LABELS.items()}
+    return _long(found.select(key, *fields, *[c.alias(f) for f, c in numbers.items()]), key, [*fields, *numbers])
 
 
 def _long(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -63,8 +77,7 @@ def extract_fields(docs: DataFrame, terms: DataFrame, class_of_subclass: DataFra
     and once for dictionary runs; only short attribute rows are shuffled.
     """
     raw = docs.select(key, T.strip(text).alias("_text")).where("_text <> ''")
-    said = _long(raw.select(key, *[c.alias(f) for f, c in regex_fields("_text").items()]), key,
-                 list(regex_fields("_text")))
+    said = _said(raw, key, "_text")
     every = R.settle(terms.unionByName(fixed_terms(docs.sparkSession)))
     known = matching.match_dictionary(raw, every, key, "_text")
     known = known.withColumn("value", F.when(F.col("field") == "weapon", T.title("value")).otherwise(F.col("value")))
@@ -80,11 +93,11 @@ def extract_fields(docs: DataFrame, terms: DataFrame, class_of_subclass: DataFra
     pairs = pairs.withColumn("field", canonical_field("said_key"))
     pairs = _normalise_pairs(pairs, every, key)
     is_field = F.col("field").isin(FIELDS)
-    canonical = pairs.where(is_field).select(key, "field", "value", (F.lit(2) + F.col("pos")).alias("rank"))
     # a key whose field was read by another pattern is not repeated as a trait
-    trait = pairs.where(~is_field).select(
-        key, F.concat(F.lit(TRAIT), F.col("field")).alias("field"), "value", F.lit(0).alias("rank"))
-    best = direct.unionByName(canonical).unionByName(trait).groupBy(key, "field").agg(
+    named = pairs.select(
+        key, F.when(is_field, F.col("field")).otherwise(F.concat(F.lit(TRAIT), F.col("field"))).alias("field"), "value",
+        F.when(is_field, F.lit(2) + F.col("pos")).otherwise(0).alias("rank"))
+    best = direct.unionByName(named).groupBy(key, "field").agg(
         F.min_by("value", "rank").alias("value"), F.min("rank").cast("double").alias("rank"))
     return _with_class(best, class_of_subclass, key)
 

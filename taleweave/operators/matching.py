@@ -16,6 +16,9 @@ from taleweave.operators import relational as R
 TOKEN = r"(?U)(\w+)"
 #: First words of a dictionary up to which runs are looked at before the join.
 FIRST_WORDS = 2000
+#: Bytes of a text that goes along with its runs, and terms up to which the
+#: dictionary is small beside any table of texts, so that runs need no shuffle.
+CARRIED_BYTES, FEW_TERMS = 4096, 50_000
 
 
 def words_of(c) -> Column:
@@ -43,9 +46,10 @@ def windows(tokens: Column, widths, firsts: list[str] | None = None) -> Column:
 
 # --- containment -------------------------------------------------------------
 
-def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int], list[str] | None]:
-    """Dictionary with the word run each term is looked up by, run widths, and
-    the first words of runs, or None if they are too many for a filter."""
+def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int], list[str] | None, bool]:
+    """Dictionary with the word run each term is looked up by, run widths, the
+    first words of runs, or None if they are too many for a filter, and whether
+    the terms are few."""
     keyed = R.settle(
         terms.select("field", "term").distinct()
         .withColumn("_words", words_of("term"))
@@ -55,8 +59,9 @@ def _keyed_terms(terms: DataFrame) -> tuple[DataFrame, list[int], list[str] | No
         .withColumn("_plain", F.regexp_like(F.lower("term"), F.lit(r"(?U)^\w+$")))
         .withColumn("_first", F.get("_words", F.lit(0))).drop("_words"))
     widths = keyed.where("_width > 0").agg(F.collect_set("_width").alias("w")).first()["w"]
+    few = keyed.where("_width > 0").limit(FEW_TERMS + 1).count() <= FEW_TERMS
     firsts = [r["_first"] for r in keyed.where("_width > 0").select("_first").distinct().limit(FIRST_WORDS + 1).collect()]
-    return keyed.drop("_width", "_first"), sorted(widths) or [1], firsts if len(firsts) <= FIRST_WORDS else None
+    return keyed.drop("_width", "_first"), sorted(widths) or [1], firsts if len(firsts) <= FIRST_WORDS else None, few
 
 
 def _whole_words(text: str, term: str) -> Column:
@@ -70,17 +75,25 @@ def match_dictionary(docs: DataFrame, terms: DataFrame, key: str = "doc_id", tex
     `terms` has (field, term). Texts are cut into word runs as long as the
     longest term and joined to the dictionary on the run, which costs text
     length and not text x dictionary; the pattern check then settles
-    punctuation (`Half-Elf` against `half elf`), and only the hits that need
-    it meet their text again. Equal lengths go to the alphabetically first
+    punctuation (`Half-Elf` against `half elf`): in place for short texts, while
+    of long ones only the hits that need it meet their text again. Equal lengths go to the alphabetically first
     term. `key` names a text. Returns (key, field, value).
     """
-    keyed, widths, firsts = _keyed_terms(terms)
+    keyed, widths, firsts, few = _keyed_terms(terms)
     lowered = docs.select(key, F.lower(F.col(text)).alias("_text"))
     # runs that begin with no term's first word are not shuffled
-    hits = lowered.select(key, F.explode(windows(words_of("_text"), widths, firsts)).alias("_run")).join(keyed, "_run")
+    runs = F.explode(windows(words_of("_text"), widths, firsts)).alias("_run")
+    carried = CARRIED_BYTES if few and firsts is not None else 0
+    # short texts go with their runs to the dictionary, and are checked there
+    short = lowered.where(F.octet_length("_text") <= carried).select(key, "_text", runs).join(keyed, "_run")
+    holds = F.col("_plain") | (F.col(key).isNotNull() & _whole_words("_text", "term"))
+    # longer ones stay behind, and only the hits that need it meet them
+    longer = lowered.where(F.octet_length("_text") > carried)
+    hits = longer.select(key, runs).join(keyed, "_run")
     unsure = hits.where(~F.col("_plain")).select(key, "field", "term", "_plain")
-    checked = unsure.join(lowered, key).where(_whole_words("_text", "term"))
+    checked = unsure.join(longer, key).where(_whole_words("_text", "term"))
     sure = hits.where("_plain").select(key, "field", "term").unionByName(checked.select(key, "field", "term"))
+    sure = sure.unionByName(short.where(holds).select(key, "field", "term"))
     best = F.min(F.struct((-F.length("term")).alias("size"), F.col("term").alias("term")))
     return sure.groupBy(key, "field").agg(best.alias("_best")).select(
         key, "field", F.col("_best.term").alias("value"))
@@ -93,7 +106,7 @@ def spell(rows: DataFrame, terms: DataFrame, by: list[str], field: str = "field"
     One pass over the rows: word runs are looked up by (field, run) in a left
     join and folded back per row. `by` identifies a row.
     """
-    keyed, widths, firsts = _keyed_terms(terms)
+    keyed, widths, firsts, _ = _keyed_terms(terms)
     keyed = keyed.withColumnRenamed("field", field)
     runs = rows.withColumn("_text", F.lower(value)) \
         .withColumn("_run", F.explode_outer(windows(words_of("_text"), widths, firsts)))

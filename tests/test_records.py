@@ -53,6 +53,31 @@ def test_containment(spark):
         1: {"race": "Elf", "other": "Half-Elf"}, 2: {"race": "Elf"}, 5: {"race": "Elf"}}
 
 
+def test_containment_in_short_and_long_texts(spark, monkeypatch):
+    rows = [(1, "a half-elf rogue"), (1, "a half elf"), (None, "a half-elf, an elf"), (4, None), (5, "half-elf of the half elf")]
+    docs = spark.createDataFrame([(k, None if t is None else t + " x" * n) for k, t in rows for n in (0, 4000)], "doc_id long, text string")
+    terms = spark.createDataFrame([("race", "Elf"), ("other", "Half-Elf")], "field string, term string")
+    want = {1: {"race": "Elf", "other": "Half-Elf"}, None: {"race": "Elf"}, 5: {"race": "Elf", "other": "Half-Elf"}}
+    assert found(matching.match_dictionary(docs, terms)) == want
+    monkeypatch.setattr(matching, "FEW_TERMS", 0)
+    assert found(matching.match_dictionary(docs, terms)) == want
+
+
+def test_extraction_searches_pairs_once(spark, terms, owners):
+    docs = spark.createDataFrame([(1, "eye_color: amber")], "doc_id long, text string")
+    plan = extract.extract_fields(docs, terms, owners)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(X.PAIR_PATTERN) == 1
+
+
+def test_labels_in_any_case(spark, terms, owners):
+    """A text that is not searched for a label does not hold it in any case."""
+    texts = ["\u017ftr 5 LEVEL 3", "H\u0130T PO\u0131NTS = 7", "qu\u0131r\u212a is odd", "\u017fecret lies", "GOAL: Gold", "W\u0131eld\u017f a Pike", "h\u0131t po\u0131nt 4"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    said = found(extract._said(docs, "doc_id", "text"))
+    assert said == {0: {"str": "5", "level": "3"}, 1: {"hp": "7"}, 2: {"quirk": "odd"}, 3: {"secret": "lies"}, 4: {"goal": "Gold"},
+                    5: {"weapon_said": "Pike"}, 6: {"hp": "4"}}
+
+
 def test_fuzzy_brute_force(spark):
     """The blocked join gives every pair that the plain double loop gives."""
     import random

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from taleweave.functions import lexicon as X
 from taleweave.functions import text as T
 from taleweave.operators import speeches as S
 
@@ -17,6 +18,17 @@ def test_labelled_pairs(spark):
     assert got == [{"level": "5", "hp": "20", "mood": "calm", "class": "Rogue"}, {}]
 
 
+def test_pairs_are_parts_of_the_pattern(spark):
+    """Key and value of a match are the groups of the search itself."""
+    import random
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab :=\n\t,;_-\u00e4\u2028") for _ in range(rng.randrange(24))) for _ in range(400)] + [None, "", "a:  ", "ab : \t"]
+    def group(i):
+        return F.regexp_extract_all("t", F.lit(X.PAIR_PATTERN), F.lit(i))
+    pairs = F.zip_with(group(1), group(2), lambda k, v: F.struct(T.key_slug(k).alias("key"), T.strip(v, X.EDGE_PUNCTUATION).alias("value")))
+    assert values(spark, texts, T.labelled_pairs("t")) == values(spark, texts, F.filter(pairs, lambda p: p["value"] != ""))
+
+
 def test_repeated_key_keeps_last(spark):
     assert values(spark, ["hat: red, hat: blue"], T.last_per_key(T.labelled_pairs("t"))) == [{"hat": "blue"}]
 
