@@ -12,9 +12,12 @@ without a merged pair are neither written nor counted again.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,8 @@ WORD_PATTERN = (
     r"('s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+)"
 )
 TOP_PAIRS = 256
+#: Texts whose ids are laid out at a time.
+SLICE = 500
 #: Rounds whose merges are applied on reading before the words are written anew.
 LOGS = 4
 WORDS = "word string, n long, symbols string"
@@ -191,11 +196,14 @@ def learn_bpe(docs: DataFrame, vocab_size: int = 2000, min_freq: int = 2, text:
 
 def encode_word(symbols_of_word: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     """Apply merges to one word, best rank first."""
-    parts = list(symbols_of_word)
+    parts, last = list(symbols_of_word), len(ranks)
     while len(parts) > 1:
-        best = min(zip(parts, parts[1:]), key=lambda p: ranks.get(p, len(ranks)))
-        if best not in ranks:
+        pairs = list(zip(parts, parts[1:]))
+        found = list(map(ranks.get, pairs, repeat(last)))
+        rank = min(found)
+        if rank == last:
             break
+        best = pairs[found.index(rank)]
         merged, i = [], 0
         while i < len(parts):
             if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
@@ -208,12 +216,73 @@ def encode_word(symbols_of_word: list[str], ranks: dict[tuple[str, str], int]) -
     return parts
 
 
+class WordEncoder:
+    """Encodes many words together: in each round every word that is not done
+    merges its pair of best rank, as `encode_word` does for one word."""
+
+    def __init__(self, ids: dict[str, int], ranks: dict[tuple[str, str], int]):
+        self.bytes = np.array([ids.get(f"{b:02X}", 0) for b in range(256)], np.int64)
+        # a pair is learned only of tokens that are in the vocabulary
+        codes = {ids[a] << 32 | ids[b]: (rank, ids[a + b]) for (a, b), rank in ranks.items()}
+        self.codes = np.array(sorted(codes), np.int64)
+        self.ranks, self.merged = np.array([codes[c] for c in self.codes.tolist()], np.int64).reshape(-1, 2).T
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """32-bit ids of each word."""
+        raw = [w.encode("utf-8") for w in words]
+        word = np.repeat(np.arange(len(raw)), np.fromiter(map(len, raw), np.int64, len(raw)))
+        symbols, done = self.bytes[np.frombuffer(b"".join(raw), np.uint8)], []
+        while len(symbols) and len(self.codes):
+            code = symbols[:-1] << 32 | symbols[1:]
+            place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            at = np.flatnonzero((self.codes[place] == code) & (word[:-1] == word[1:]))
+            if not len(at):
+                break
+            rank = self.ranks[place[at]]
+            first = np.flatnonzero(np.diff(word[at], prepend=-1))
+            best = np.repeat(np.minimum.reduceat(rank, first), np.diff(first, append=len(at)))
+            at = at[rank == best]
+            # of pairs that overlap, which are equal, every other one from the left
+            run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0]
+            symbols[at] = self.merged[place[at]]
+            stays = np.ones(len(symbols), bool)
+            stays[at + 1] = False
+            open_ = np.zeros(len(raw), bool)
+            open_[word[at]] = True
+            ends = ~open_[word]
+            done.append((word[ends], symbols[ends]))
+            stays &= ~ends
+            word, symbols = word[stays], symbols[stays]
+        word = np.concatenate([*[w for w, _ in done], word])
+        order = np.argsort(word, kind="stable")
+        flat = np.concatenate([*[s for _, s in done], symbols])[order].astype(np.int32).tobytes()
+        stops = (4 * np.cumsum(np.bincount(word, minlength=len(raw)))).tolist()
+        return [flat[i:j] for i, j in zip([0, *stops], stops)]
+
+
+def _laid_out(texts: pa.Array, ids_of: Callable[[list[str]], list[bytes]]) -> pa.Array:
+    """Ids of texts given as lists of words; null for null."""
+    listed = texts.flatten().dictionary_encode()
+    ids = ids_of(listed.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat, starts = np.frombuffer(b"".join(ids), np.int32), np.cumsum(lengths) - lengths
+    words = listed.indices.to_numpy(zero_copy_only=False)
+    size = lengths[words]
+    ends = np.cumsum(size)
+    values = flat[np.repeat(starts[words] - (ends - size), size) + np.arange(size.sum())]
+    counts = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), mask=texts.is_null())
+
+
 def bpe_encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Token ids of every document: (key, ids).
 
-    Words are cut in the JVM; the Arrow step merges each distinct word of a
-    task once and looks repeats up, so documents stay in place and no word
-    rows are shuffled. The vocabulary is at most 65,536 rows.
+    Words are cut in the JVM; the Arrow step looks up each distinct word of a
+    batch once, merges those that its task has not met, and lays the ids end to
+    end, so documents stay in place and no word rows are shuffled. The
+    vocabulary is at most 65,536 rows.
     """
     rows = vocab.select("id", "token", "left", "right").orderBy("id").limit(MAX_TOKEN_ID + 2).collect()
     if len(rows) > MAX_TOKEN_ID + 1:
@@ -222,22 +291,21 @@ def bpe_encode(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str
     ranks = {(r["left"], r["right"]): i for i, r in enumerate(r for r in rows if r["left"] is not None)}
     model = docs.sparkSession.sparkContext.broadcast((ids, ranks))
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, order = model.value
-        memo: dict[str, list[int]] = {}
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = WordEncoder(*model.value)
+        memo: dict[str, bytes] = {}
 
-        def one(word: str) -> list[int]:
-            found = memo.get(word)
-            if found is None:
-                parts = encode_word([f"{b:02X}" for b in word.encode("utf-8")], order)
-                found = [known.get(p, 0) for p in parts]
-                if len(memo) < 500_000:  # bounds the memory of a task, not the result
-                    memo[word] = found
-            return found
+        def ids_of(words: list[str]) -> list[bytes]:
+            fresh = [w for w in words if w not in memo]
+            made = dict(zip(fresh, encoder.encode(fresh)))
+            if len(memo) < 500_000:  # bounds the memory of a task, not the result
+                memo.update(made)
+            return [made[w] if w in made else memo[w] for w in words]
 
         for batch in batches:
-            yield pd.Series([None if ws is None else [i for w in ws for i in one(w)] for ws in batch])
+            made = [_laid_out(batch.slice(i, SLICE), ids_of) for i in range(0, len(batch), SLICE)]
+            yield pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.int32()))
 
     return docs.select(key, encode(words(text)).alias("ids"))
 

@@ -212,3 +212,30 @@ def test_a_round_writes_one_row_for_each_changed_word(spark):
         assert index.words_with([pair]).count() == 0
     assert {r["symbols"] for r in index._words().collect()} == {
         "<2062616E><616E><61>", "<2062616E><64><616E><61>", "<20><636174>", "<20><6161><6161>", "<20><6E><61><62>"}
+
+
+def test_words_encoded_together():
+    """Many words at once get the ids that each gets alone."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(9)
+    tokens, ranks = [f"{b:02X}" for b in b"abc"], {}
+    for _ in range(40):
+        pair = (rng.choice(tokens), rng.choice(tokens))
+        ranks.setdefault(pair, len(ranks))
+        tokens.append("".join(pair))
+    ids = {t: i + 1 for i, t in enumerate(tokens)}
+    words = ["".join(rng.choice("aabbc\u00e4") for _ in range(rng.randrange(30))) for _ in range(500)] + ["a" * n for n in range(40)]
+    for known in (ranks, {}):
+        want = [[ids.get(p, 0) for p in B.encode_word([f"{b:02X}" for b in w.encode()], known)] for w in words]
+        assert [np.frombuffer(x, np.int32).tolist() for x in B.WordEncoder(ids, known).encode(words)] == want
+    assert B.WordEncoder(ids, ranks).encode([]) == []
+
+
+def test_encoding_keeps_null_and_empty_texts(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (4, "b")], "doc_id int, text string")
+    vocab = B.learn_bpe(docs, 8)
+    got = {r["doc_id"]: r["text"] for r in B.bpe_encode(docs, vocab).withColumn("text", B.bpe_decode("ids", vocab)).collect()}
+    assert got == {1: " a b", 2: None, 3: " ", 4: " b"}
