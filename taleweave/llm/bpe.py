@@ -16,6 +16,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,12 @@ def _expand(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
 
 
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch as Python values, one at a time: a row may be large."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def _parts(block, bucket, rare, ids, sizes, payload) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(block, pa.int64()), pa.array(bucket, pa.int32()), pa.array(rare, pa.int32()),
@@ -152,6 +159,17 @@ def _rare_words(shared, buckets: int):
     return run
 
 
+def _encode_distinct(tokenizer, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of ids of each word, and all ids end to end. No more than a batch
+    of words is ever held as Python values."""
+    sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+    for i in range(0, len(words), _BATCH):
+        found = encode_words(tokenizer, words.slice(i, _BATCH).cast(pa.large_string()).to_pylist())
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
+    return np.concatenate(sizes), np.concatenate(flat)
+
+
 def _rare_ids(path: str):
     """Arrow step over rows sorted by bucket: every distinct word of a bucket is
     encoded once; each block gets the ids of its words, in their order."""
@@ -160,19 +178,22 @@ def _rare_ids(path: str):
         bucket, rows = None, []
 
         def close() -> Iterator[pa.RecordBatch]:
-            asked = [zlib.decompress(packed).split(b"\n") for _, packed in rows]
-            places: dict[bytes, int] = {}
-            for words in asked:
-                for w in words:
-                    places.setdefault(w, len(places))
-            ids = [np.asarray(x, np.uint32) for x in encode_words(tokenizer, [w.decode() for w in places])]
-            for (block, _), words in zip(rows, asked):
-                mine = [ids[places[w]] for w in words]
-                sizes = np.array([len(x) for x in mine], np.uint32)
-                yield _parts([block], [bucket], [len(mine)], [None], [None], [_squeeze(np.concatenate([sizes, *mine]))])
+            asked = [pa.array(zlib.decompress(packed).split(b"\n"), pa.large_binary()) for _, packed in rows]
+            counts = list(map(len, asked))
+            listed = pa.concat_arrays(asked).dictionary_encode()
+            del asked
+            places = listed.indices.to_numpy(zero_copy_only=False)
+            lengths, flat = _encode_distinct(tokenizer, listed.dictionary)
+            starts = np.cumsum(lengths) - lengths
+            for (block, _), stop, n in zip(rows, np.cumsum(counts).tolist(), counts):
+                own = places[stop - n:stop]
+                size = lengths[own]
+                ends = np.cumsum(size)
+                ids = flat[np.repeat(starts[own] - (ends - size), size) + np.arange(size.sum())]
+                yield _parts([block], [bucket], [n], [None], [None], [_squeeze(np.concatenate([size.astype(np.uint32), ids]))])
 
         for batch in batches:
-            for block, b, packed in zip(*[batch.column(c).to_pylist() for c in ("block", "bucket", "words")]):
+            for block, b, packed in _rows_of(batch.select(["block", "bucket", "words"])):
                 if b != bucket:
                     if rows:
                         yield from close()
@@ -227,7 +248,7 @@ def _in_order(shared, finish):
                     yield finisher(made) if finisher else made
 
         for batch in batches:
-            for name, bucket, rare, ids, sizes, payload in zip(*[c.to_pylist() for c in batch.columns]):
+            for name, bucket, rare, ids, sizes, payload in _rows_of(batch):
                 if name != block:
                     if block is not None:
                         yield from close()

@@ -172,3 +172,31 @@ def test_token_counts_keep_the_type_of_the_key(spark):
     docs = spark.createDataFrame([("a/1", "the cat"), ("b", None)], "doc_id string, text string")
     got = tokencount.count_tokens(docs, UNIGRAM).collect()
     assert {(r["doc_id"], r["n_words"]) for r in got} == {("a/1", 2), ("b", 0)}
+
+
+def test_bucket_holds_few_words_as_values(monkeypatch, tmp_path):
+    """The words of a bucket are encoded some at a time, each once."""
+    import zlib
+
+    import pyarrow as pa
+
+    from taleweave.llm import bpe
+
+    seen = []
+
+    def fake(_, words):
+        seen.append(words)
+        return [[len(w), int(w)] if w != "7" else [] for w in words]
+
+    monkeypatch.setattr(bpe, "encode_words", fake)
+    monkeypatch.setattr(bpe, "load_tokenizer", lambda path: None)
+    asked = [[str(i) for i in range(a, b)] for a, b in ((0, 6000), (3000, 9000), (7, 8))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2, 3], pa.int64()), pa.array([4, 4, 5], pa.int32()),
+         pa.array([zlib.compress("\n".join(words).encode()) for words in asked], pa.binary())], names=["block", "bucket", "words"])
+    made = [row for out in bpe._rare_ids("x")(iter([batch])) for row in out.to_pylist()]
+    assert [(r["block"], r["bucket"], r["rare"]) for r in made] == [(1, 4, 6000), (2, 4, 6000), (3, 5, 1)]
+    for row, words in zip(made, asked):
+        ids = fake(None, words)
+        assert bpe._expand(row["payload"]).tolist() == [*map(len, ids), *(x for i in ids for x in i)]
+    assert max(map(len, seen[:-3])) <= bpe._BATCH and sum(map(len, seen[:-3])) == 9001
