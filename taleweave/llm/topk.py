@@ -7,8 +7,10 @@ term. A block of queries walks the terms, scatters query weight times posting
 weight into dense score arrays, and keeps each query's k best of the block by
 partition selection. The k best per block are merged with a window.
 
-Every pair of a query block and a candidate block is a key of its own, so no
-task holds more than one block of each, and pairs are spread evenly.
+Candidate blocks are dealt to tasks, a few to each. A task reads the query
+blocks one by one from the shared folder, so they are not copied for each
+candidate block, by a shuffle or by the driver. Where candidate blocks are few,
+each goes to several tasks, which read different files of query blocks.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +30,11 @@ from taleweave.llm.common import settled
 #: Rows of a candidate block and of a query block, about.
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
+#: Tasks that there are at least if blocks suffice, and candidate blocks of a
+#: task, about, where there are more.
+TASKS, TASK_BLOCKS = 256, 4
+#: Scores that are worked on together, so that they stay in the cache.
+SCORES = 1 << 17
 _BLOCK = "block int, ids binary, starts binary, rows binary, weights binary, kind string"
 _FOUND = "query_id long, vec_id long, score long"
 
@@ -104,49 +113,96 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
 
 
 class _Block:
-    def __init__(self, batch: pa.RecordBatch, i: int, prefix: str = ""):
+    def __init__(self, batch: pa.RecordBatch, i: int):
         def read(name, kind):
-            return np.frombuffer(batch.column(prefix + name)[i].as_py(), kind)
+            return np.frombuffer(batch.column(name)[i].as_py(), kind)
 
         self.ids, self.starts = read("ids", np.int64), read("starts", np.int32)
         self.rows = read("rows", np.int32 if len(self.ids) > 1 << 15 else np.int16)
-        self.weights = read("weights", batch.column(prefix + "kind")[i].as_py())
+        self.weights = read("weights", batch.column("kind")[i].as_py())
 
     def term(self, t: int) -> tuple[np.ndarray, np.ndarray]:
         a, b = self.starts[t], self.starts[t + 1]
         return self.rows[a:b], self.weights[a:b].astype(np.int64)
 
 
-def _accumulate(k: int):
-    def pair(asked: _Block, block: _Block) -> list[np.ndarray]:
-        scores = np.zeros((len(asked.ids), len(block.ids)), np.int64)
-        for t in range(min(len(asked.starts), len(block.starts)) - 1):
+def _stored(paths: list[str]) -> Iterator[_Block]:
+    """The blocks in files of the shared folder, one at a time."""
+    for path in paths:
+        store, name = fs.FileSystem.from_uri(path)
+        with store.open_input_file(name) as f:
+            for batch in pq.ParquetFile(f, buffer_size=1 << 20).iter_batches(batch_size=1):
+                if batch.num_rows:
+                    yield _Block(batch, 0)
+
+
+def _filled(rows: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    if len(rows) == size:  # all rows in order
+        return weights
+    every = np.zeros(size, np.int64)
+    every[rows] = weights
+    return every
+
+
+def _scores(asked: _Block, block: _Block) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of scores of a query block, some at a time, with the first's number."""
+    size = max(1, SCORES // max(1, len(block.ids)))
+    terms = range(min(len(asked.starts), len(block.starts)) - 1)
+    added = np.empty((size, len(block.ids)), np.int64)
+    for low in range(0, len(asked.ids), size):
+        scores = np.zeros((min(size, len(asked.ids) - low), len(block.ids)), np.int64)
+        for t in terms:
             q_rows, q_weights = asked.term(t)
+            first, last = np.searchsorted(q_rows, [low, low + len(scores)])
+            q_rows, q_weights = q_rows[first:last] - low, q_weights[first:last]
             rows, weights = block.term(t)
             if not len(q_rows) or not len(rows):
                 continue
-            if len(rows) == len(block.ids):  # a dense term: its postings are all rows in order
+            if 2 * len(rows) < len(block.ids):
+                scores[np.ix_(q_rows, rows)] += np.multiply.outer(q_weights, weights)
+                continue
+            # a term of most rows: the others weigh nothing
+            weights = _filled(rows, weights, len(block.ids))
+            if 2 * len(q_rows) < len(scores):
                 scores[q_rows] += np.multiply.outer(q_weights, weights)
             else:
-                scores[np.ix_(q_rows, rows)] += np.multiply.outer(q_weights, weights)
+                scores += np.multiply.outer(_filled(q_rows, q_weights, len(scores)), weights, out=added[:len(scores)])
+        yield low, scores
+
+
+def _accumulate(k: int, paths: list[str], parts: int):
+    """Arrow step over candidate blocks (with `part`, the share of the files
+    of query blocks that they meet): the k best of each query row."""
+    def pair(asked: _Block, block: _Block) -> list[np.ndarray]:
         out = ([], [], [])
-        for row, own in enumerate(asked.ids):
-            line, names = scores[row], block.ids
-            first, last = np.searchsorted(names, [own, own + 1]) if own < np.iinfo(np.int64).max else (
-                np.searchsorted(names, own), len(names))
-            if last > first:
-                line, names = np.delete(line, slice(first, last)), np.delete(names, slice(first, last))
-            best = _best(line, k)
-            out[0].append(np.full(len(best), own))
-            out[1].append(names[best])
-            out[2].append(line[best])
+        for low, scores in _scores(asked, block):
+            for row, line in enumerate(scores, low):
+                own, names = asked.ids[row], block.ids
+                first, last = np.searchsorted(names, [own, own + 1]) if own < np.iinfo(np.int64).max else (
+                    np.searchsorted(names, own), len(names))
+                if last > first:
+                    line, names = np.delete(line, slice(first, last)), np.delete(names, slice(first, last))
+                best = _best(line, k)
+                out[0].append(np.full(len(best), row))
+                out[1].append(names[best])
+                out[2].append(line[best])
         return [np.concatenate(c) for c in out]
 
+    def best_of(asked: _Block, blocks: list[_Block]) -> list[np.ndarray]:
+        row, names, scores = (np.concatenate(c) for c in zip(*[pair(asked, b) for b in blocks]))
+        order = np.lexsort((names, ~scores, row))
+        row, names, scores = row[order], names[order], scores[order]
+        kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return [asked.ids[row[kept]], names[kept], scores[kept]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                found = pair(_Block(batch, i, "q_"), _Block(batch, i))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["query_id", "vec_id", "score"])
+            part = batch.column("part").to_numpy()
+            for p in np.unique(part):
+                blocks = [_Block(batch, int(i)) for i in np.flatnonzero(part == p)]
+                for asked in _stored(paths[p::parts]):
+                    found = best_of(asked, blocks)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -165,12 +221,13 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, key: str = "vec_id"
         return df.where(usable(key, vector)).select(
             F.col(key).cast("long").alias("id"), whole_weights(vector, scale).alias("w"))
 
-    asked, n_asked = blocks_of(rows(queries), QUERY_ROWS)
-    blocks, n_blocks = blocks_of(rows(candidates), BLOCK_ROWS)
-    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns]).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    blocks = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))))
-    found = blocks.join(asked, ["block", "q_block"]).mapInArrow(_accumulate(k), _FOUND)
+    paths = sorted(blocks_of(rows(queries), QUERY_ROWS)[0].inputFiles())
+    blocks, count = blocks_of(rows(candidates), BLOCK_ROWS)
+    parts = max(1, min(len(paths), -(-TASKS // count)))
+    dealt = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    tasks = min(count * parts, max(TASKS, -(-count * parts // TASK_BLOCKS)))
+    dealt = dealt.repartition(tasks, "block", "part")
+    found = dealt.mapInArrow(_accumulate(k, paths, parts), _FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

@@ -183,6 +183,24 @@ def test_search_of_few_and_none(spark):
     assert topk.top_k(df.limit(0), df, 5).count() == 0 and topk.top_k(df.limit(1), df.limit(0), 5).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 256])
+def test_search_copies_no_query_blocks(spark, monkeypatch, tasks):
+    """Query blocks go to no broadcast, whatever the number of their files."""
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([0.0, rng.uniform(-1, 1)]), rng.random(), 1.0]) for i in range(400)] + [(0, [0.5, 0.5, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for name, value in {"BLOCK_ROWS": 50, "QUERY_ROWS": 7, "TASKS": tasks, "TASK_BLOCKS": 2, "SCORES": 150}.items():
+        monkeypatch.setattr(topk, name, value, raising=False)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so there are several files
+    try:
+        found = topk.top_k(df.where("vec_id % 10 = 0"), df, 5)
+        got = found.orderBy("query_id", "rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got] == brute_top(rows, 5, lambda q: q % 10 == 0)
+
+
 @pytest.mark.parametrize("partitions", [1, 211])
 def test_search_blocks_follow_from_rows(spark, monkeypatch, partitions):
     rng = random.Random(4)
