@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from taleweave.functions import text as T
 from taleweave.functions.records import record_id
 from taleweave.operators import extract, landing, ordering, profile, registry, render
-from taleweave.operators.relational import settle
+from taleweave.operators.relational import keyed, settle
 
 DETAILS = ["goal", "quirk", "secret"]
 
@@ -46,11 +46,11 @@ def create_records(prompts: DataFrame, learned: profile.Learned, terms: DataFram
         drawn = drawn.withColumns({d: F.coalesce(T.blank_to_null(d), profile.phrase_for(d)) for d in DETAILS})
     stories = fixed.where(F.col("field") == "story").select(key, F.col("value").alias("_story"))
     none = F.create_map().cast("map<string,string>")
-    full = drawn.join(wide.select(key, "extra_traits"), key, "left").join(stories, key, "left") \
+    full = drawn.join(keyed(wide.select(key, "extra_traits")), key, "left").join(keyed(stories), key, "left") \
         .withColumn("extra_traits", F.coalesce("extra_traits", none)).drop("source_prompt")
     told = render.render_story(full, seed, key).withColumn("story", F.coalesce("_story", "story"))
-    told = told.join(prompts.select(key, F.col(text).alias("source_prompt")), key).withColumn("npc_id", record_id(key))
-    placed = told.join(ordering.ordinal(prompts.select(key), key, out="seq"), key)
+    told = told.join(keyed(prompts.select(key, F.col(text).alias("source_prompt"))), key).withColumn("npc_id", record_id(key))
+    placed = told.join(keyed(ordering.ordinal(prompts.select(key), key, out="seq")), key)
     if stored is None:
         return registry.conform(placed, key)
     top = stored.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("m")).first()["m"]

@@ -141,7 +141,7 @@ def infer_class(attributes: DataFrame, class_of_subclass: DataFrame, key: str =
     """Add the class of a known subclass where the class is absent."""
     sub = attributes.where(F.col("field") == "subclass").select(key, F.lower("value").alias("name"))
     has = attributes.where(F.col("field") == "primary_class").select(key)
-    inferred = sub.join(has, key, "left_anti").join(class_of_subclass, "name").select(
+    inferred = sub.join(R.keyed(has), key, "left_anti").join(class_of_subclass, "name").select(
         key, F.lit("primary_class").alias("field"), F.col("owner").alias("value"))
     return attributes.unionByName(inferred)
 
@@ -180,9 +180,10 @@ def infer_fuzzy(docs: DataFrame, terms: DataFrame, existing: DataFrame, class_of
     limits = every.withColumn("cutoff", R.lookup("field", cutoffs))
     found = matching.fuzzy_match(docs, limits, key, text).select(key, "field", "value")
     # few short rows, read for the classes and for the result
-    fresh = R.settle(found.join(existing.select(key, "field"), [key, "field"], "left_anti"))
+    fresh = R.settle(found.join(R.keyed(existing.select(key, "field")), [key, "field"], "left_anti"))
     known = fresh.unionByName(existing.select(key, "field", "value"))
-    classes = infer_class(known, class_of_subclass, key).join(known.select(key, "field"), [key, "field"], "left_anti")
+    taken = R.keyed(known.select(key, "field"))
+    classes = infer_class(known, class_of_subclass, key).join(taken, [key, "field"], "left_anti")
     return fresh.unionByName(classes)
 
 

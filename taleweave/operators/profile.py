@@ -212,7 +212,7 @@ def synthesise(keys: DataFrame, learned: Learned, seed: int, key: str = "id",
     df = df.withColumns({f: F.lit(None).cast("string") for f in open_fields})
     df = df.withColumn("source_prompt", F.lit(""))
     if overrides is not None:
-        df = R.apply_overrides(df, overrides, key)
+        df = R.apply_overrides(df, R.keyed(overrides), key)
     df = df.withColumns({f: R.clamp(f, low, high) for f, (low, high) in X.CLAMPS.items()})
 
     def given(field, otherwise):

@@ -21,6 +21,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """The right side of a join that has a row or more for each row of the
+    input: sorted by key and never broadcast. Spark guesses its size from that
+    of its compressed files and of its columns' types, which can be far too low."""
+    return df.hint("merge")
+
+
 def missing_to_null(df: DataFrame, columns=None) -> DataFrame:
     """One rule for every spelling of a missing value in text columns."""
     names = columns or [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]

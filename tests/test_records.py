@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from taleweave.functions import lexicon as X
 from taleweave.functions import records as RF
+from taleweave.operators import create
 from taleweave.operators import dialogue as D
 from taleweave.operators import evaluate as E
 from taleweave.operators import extract, landing, matching, profile, render
@@ -169,6 +170,21 @@ def test_synthesis(spark, characters):
     assert seen == {"Elf", "Human", "Orc"}
 
 
+def test_tables_of_prompts_are_not_broadcast(spark, terms, owners, characters):
+    """What has a row for each prompt is joined by sorted key, however small its files are."""
+    prompts = spark.createDataFrame([
+        (1, "elf rogue named Mira level 7 hp 42 weapon rapier chaotic good; eye_color: amber"), (2, "humn fihgter"), (3, None)],
+        "doc_id long, text string")
+    made = create.create_records(prompts, profile.Learned(characters), terms, owners, 11)
+    nothing = spark.createDataFrame([], "doc_id long, field string, value string")
+    repaired = extract.infer_fuzzy(prompts, terms, nothing, owners)
+    for df in (made, repaired):
+        assert "BroadcastHashJoin [doc_id" not in df._jdf.queryExecution().executedPlan().toString()
+    rows = {r["seq"]: r for r in made.collect()}
+    assert sorted(rows) == [1, 2, 3]
+    assert (rows[1]["name"], rows[1]["race"], rows[1]["level"], rows[1]["extra_traits"]) == ("Mira", "Elf", 7, {"eye_color": "amber"})
+
+
 def test_record_texts(spark):
     hero = G.conform(spark.createDataFrame([("Test Hero", 16, 5, "x", "hm")], "name string, str int, level int, junk string, emotional_state string"), "name")
     row = hero.select("*", RF.stat_block().alias("b"), F.size("notes").alias("n")).first()
